@@ -25,15 +25,16 @@ def ordered_scan(
     lags: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Add window columns over ``keys`` in ascending ``order``.
+    """Add window columns over ``keys`` in ascending ``order`` (a total order).
 
-    ``slice_by`` must be monotone in the first order column (equal values share a
-    slice). ``keys`` may be empty for one global order. ``total`` adds the row
-    count of the key.
+    ``slice_by`` must be monotone in that order. ``rank`` and ``dense_rank`` compare the
+    first order column only, whose equal values must then share a slice. ``keys`` may be
+    empty for one global order. ``total`` adds the row count of the key.
     """
     sums, lags, leads = sums or {}, lags or {}, leads or {}
     sliced = df.withColumn("_slice", slice_by)
     local = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    by_value = Window.partitionBy(*keys, "_slice").orderBy(order[0])
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = F.struct(*order)
 
@@ -62,9 +63,9 @@ def ordered_scan(
     if row_number:
         windows.append(F.row_number().over(local).alias("_rn"))
     if rank:
-        windows.append(F.rank().over(local).alias("_rank"))
+        windows.append(F.rank().over(by_value).alias("_rank"))
     if dense_rank:
-        windows.append(F.dense_rank().over(local).alias("_dense"))
+        windows.append(F.dense_rank().over(by_value).alias("_dense"))
     windows += [F.sum(c).over(running).alias(f"_lsum_{n}") for n, c in sums.items()]
     windows += [F.lag(F.struct(F.col(c).alias("v"))).over(local).alias(f"_llag_{n}") for n, c in lags.items()]
     windows += [F.lead(F.struct(F.col(c).alias("v"))).over(local).alias(f"_llead_{n}") for n, c in leads.items()]
@@ -85,6 +86,33 @@ def ordered_scan(
     return joined.select(*df.columns, *out)
 
 
+def sessionise(df: DataFrame, key: str, order: list[str], gap: str, slice_by: Column, name: str = "session_id") -> DataFrame:
+    """Number the sessions of each key: a new one starts after a silence longer than ``gap``.
+
+    Same cut as ``ordered_scan``: one shuffle of the rows on (key, slice), then only the
+    slice edges are compared per key.
+    """
+    ts = order[0]
+    limit = F.expr(f"INTERVAL {gap}")
+    local = Window.partitionBy(key, "_slice").orderBy(*order)
+    flagged = (
+        df.withColumn("_slice", slice_by)
+        .withColumn("_prev", F.lag(ts).over(local))
+        .withColumn("_new", F.coalesce((F.col(ts) > F.col("_prev") + limit).cast("int"), F.lit(0)))
+        .withColumn("_run", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    )
+    edges = flagged.groupBy(key, "_slice").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_new").alias("_inner"))
+    slices = Window.partitionBy(key).orderBy("_slice")
+    previous = F.lag("_last").over(slices)
+    starts = (
+        edges.withColumn("_start", F.when(previous.isNull() | (F.col("_first") > previous + limit), 1).otherwise(0))
+        .withColumn("_sessions", F.col("_start") + F.col("_inner"))
+        .withColumn("_base", F.sum("_sessions").over(slices.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_inner"))
+        .select(key, "_slice", "_base")
+    )
+    return flagged.join(starts, [key, "_slice"]).select(*df.columns, (F.col("_base") + F.col("_run")).cast("bigint").alias(name))
+
+
 def tiles(position: Column, total: Column, n: int) -> Column:
     """The bucket that ``ntile(n)`` gives to a row at ``position`` of ``total``."""
     small = F.floor(total / n)

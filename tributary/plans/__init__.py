@@ -1,4 +1,4 @@
 """Query plans; importing this package fills the registry."""
 
-from tributary.plans import cdc_queries  # noqa: F401
+from tributary.plans import cdc_queries, segment_queries, shaping_queries  # noqa: F401
 from tributary.plans.registry import QUERIES  # noqa: F401

@@ -16,8 +16,8 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys that hold at least ``share`` of all rows: never more than 1/share of them."""
     counts = df.groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.join(F.broadcast(total), F.col("_n") >= F.col("_total") * share).select(key)
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") >= total * share).select(key)
 
 
 def salted_join(big: DataFrame, other: DataFrame, key: str, row_id: str, salts: int = 16, share: float = 0.01) -> DataFrame:
@@ -47,8 +47,8 @@ def hot_split_join(big: DataFrame, other: DataFrame, key: str, share: float = 0.
 def skew_profile(df: DataFrame, key: str) -> DataFrame:
     """Rows per key and the share of all rows each key holds."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = F.broadcast(df.agg(F.count("*").alias("total")))
-    return counts.join(total, F.lit(True)).select(key, "n", (F.col("n") / F.col("total")).alias("share"))
+    total = df.agg(F.count("*")).scalar()
+    return counts.select(key, "n", (F.col("n") / total).alias("share"))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

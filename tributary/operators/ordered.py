@@ -24,14 +24,16 @@ def ordered_scan(
     sums: dict[str, str] | None = None,
     lags: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
+    maxes_before: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add window columns over ``keys`` in ascending ``order`` (a total order).
 
     ``slice_by`` must be monotone in that order. ``rank`` and ``dense_rank`` compare the
     first order column only, whose equal values must then share a slice. ``keys`` may be
-    empty for one global order. ``total`` adds the row count of the key.
+    empty for one global order. ``total`` adds the row count of the key; ``maxes_before``
+    is the maximum over all earlier rows.
     """
-    sums, lags, leads = sums or {}, lags or {}, leads or {}
+    sums, lags, leads, maxes = sums or {}, lags or {}, leads or {}, maxes_before or {}
     sliced = df.withColumn("_slice", slice_by)
     local = Window.partitionBy(*keys, "_slice").orderBy(*order)
     by_value = Window.partitionBy(*keys, "_slice").orderBy(order[0])
@@ -44,6 +46,7 @@ def ordered_scan(
     edge += [F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     edge += [F.max_by(F.struct(F.col(c).alias("v")), position).alias(f"_last_{n}") for n, c in lags.items()]
     edge += [F.min_by(F.struct(F.col(c).alias("v")), position).alias(f"_first_{n}") for n, c in leads.items()]
+    edge += [F.max(c).alias(f"_max_{n}") for n, c in maxes.items()]
     per_slice = sliced.groupBy(*keys, "_slice").agg(*edge)
 
     slices = Window.partitionBy(*keys).orderBy("_slice")
@@ -57,6 +60,7 @@ def ordered_scan(
     carried += [zero(F.sum(f"_sum_{n}").over(before)).alias(f"_csum_{n}") for n in sums]
     carried += [F.lag(f"_last_{n}").over(slices).alias(f"_clag_{n}") for n in lags]
     carried += [F.lead(f"_first_{n}").over(slices).alias(f"_clead_{n}") for n in leads]
+    carried += [F.max(f"_max_{n}").over(before).alias(f"_cmax_{n}") for n in maxes]
     carry = per_slice.select(*keys, "_slice", *carried)
 
     windows = []
@@ -69,6 +73,8 @@ def ordered_scan(
     windows += [F.sum(c).over(running).alias(f"_lsum_{n}") for n, c in sums.items()]
     windows += [F.lag(F.struct(F.col(c).alias("v"))).over(local).alias(f"_llag_{n}") for n, c in lags.items()]
     windows += [F.lead(F.struct(F.col(c).alias("v"))).over(local).alias(f"_llead_{n}") for n, c in leads.items()]
+    earlier = local.rowsBetween(Window.unboundedPreceding, -1)
+    windows += [F.max(c).over(earlier).alias(f"_lmax_{n}") for n, c in maxes.items()]
 
     joined = sliced.select("*", *windows).join(carry, [*keys, "_slice"])
     out = []
@@ -83,6 +89,7 @@ def ordered_scan(
     out += [(F.col(f"_lsum_{n}") + F.col(f"_csum_{n}")).alias(n) for n in sums]
     out += [F.coalesce(f"_llag_{n}", f"_clag_{n}")["v"].alias(n) for n in lags]
     out += [F.coalesce(f"_llead_{n}", f"_clead_{n}")["v"].alias(n) for n in leads]
+    out += [F.greatest(f"_lmax_{n}", f"_cmax_{n}").alias(n) for n in maxes]
     return joined.select(*df.columns, *out)
 
 

@@ -105,8 +105,9 @@ def overlaps(periods: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
     Linear: compares each period with the latest end before it, not with every other period.
     """
-    earlier = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    return periods.withColumn("previous_end", F.max(end).over(earlier)).filter(F.col(start) < F.col("previous_end"))
+    by_month = F.trunc(start, "month")
+    seen = ordered_scan(periods, [key], [start, end], by_month, maxes_before={"previous_end": end})
+    return seen.filter(F.col(start) < F.col("previous_end"))
 
 
 def column_profile(df: DataFrame, columns: list[str], top: int = 3) -> DataFrame:
@@ -143,8 +144,8 @@ def dependency(df: DataFrame, a: str, b: str) -> DataFrame:
     pairs = df.groupBy(a, b).agg(F.count("*").alias("n"))
     per_a = pairs.groupBy(a).agg(F.sum("n").alias("n_a"))
     per_b = pairs.groupBy(b).agg(F.sum("n").alias("n_b"))
-    total = F.broadcast(pairs.agg(F.sum("n").alias("total")))
-    joined = pairs.join(per_a, a).join(per_b, b).join(total, F.lit(True))
+    total = pairs.agg(F.sum("n")).scalar()
+    joined = pairs.join(per_a, a).join(per_b, b).withColumn("total", total)
     return joined.select(
         a,
         b,
@@ -156,7 +157,6 @@ def dependency(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def sampled_count(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Row count estimated from a sample next to the exact one."""
-    exact = df.agg(F.count("*").alias("exact"))
-    estimate = df.sample(fraction, seed).agg((F.count("*") / fraction).alias("estimate"))
-    both = exact.join(estimate, F.lit(True))
+    sampled = df.sample(fraction, seed).agg(F.count("*") / fraction).scalar()
+    both = df.agg(F.count("*").alias("exact")).withColumn("estimate", sampled)
     return both.select("exact", "estimate", (F.abs(F.col("estimate") - F.col("exact")) / F.col("exact")).alias("error"))

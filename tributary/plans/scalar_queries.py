@@ -172,8 +172,8 @@ def explode_outer(t: Tables) -> DataFrame:
     "arr_02_higher_order",
     with_(
         "shop_products",
-        """SELECT product_id, array_to_string(list_transform(tags, x -> upper(x)), ',') AS upper, array_to_string(list_filter(tags, x -> length(x) > 4), ',') AS long,
-        CAST(list_sum(list_transform(tags, x -> length(x))) AS INTEGER) AS letters, len(list_filter(tags, x -> x LIKE 's%')) > 0 AS any_s FROM shop_products""",
+        """SELECT product_id, array_to_string(list_transform(tags, lambda x: upper(x)), ',') AS upper, array_to_string(list_filter(tags, lambda x: length(x) > 4), ',') AS long,
+        CAST(list_sum(list_transform(tags, lambda x: length(x))) AS INTEGER) AS letters, len(list_filter(tags, lambda x: x LIKE 's%')) > 0 AS any_s FROM shop_products""",
     ),
 )
 def higher_order(t: Tables) -> DataFrame:
@@ -188,7 +188,7 @@ def higher_order(t: Tables) -> DataFrame:
 
 @query(
     "arr_02_higher_order_sql",
-    with_("shop_products", "SELECT product_id, array_to_string(list_transform(tags, x -> x || '!'), ',') AS loud FROM shop_products"),
+    with_("shop_products", "SELECT product_id, array_to_string(list_transform(tags, lambda x: x || '!'), ',') AS loud FROM shop_products"),
 )
 def higher_order_sql(t: Tables) -> DataFrame:
     return t.shop_products.selectExpr("product_id", "array_join(transform(tags, x -> x || '!'), ',') AS loud")
@@ -212,7 +212,8 @@ def entries(t: Tables) -> DataFrame:
     "SELECT p_partkey AS id, p_brand AS brand, p_size AS size, p_brand || '/' || p_type AS label, CAST(NULL AS VARCHAR) AS missing FROM part",
 )
 def build_and_access(t: Tables) -> DataFrame:
-    pairs = F.array(F.struct(F.lit("brand"), "p_brand"), F.struct(F.lit("type"), "p_type"))
+    pair = lambda key, value: F.struct(F.lit(key).alias("key"), F.col(value).alias("value"))
+    pairs = F.array(pair("brand", "p_brand"), pair("type", "p_type"))
     built = t.part.select(F.col("p_partkey").alias("id"), F.map_from_entries(pairs).alias("m"), F.struct(F.col("p_size").alias("size")).alias("s"))
     return built.select(
         "id",

@@ -245,10 +245,10 @@ def allocate_stock(t: Tables) -> DataFrame:
 
 
 STATE_AT = """SELECT v, id, row_json FROM (SELECT v, id, deleted, row_json, row_number() OVER (PARTITION BY v, id ORDER BY lsn DESC) AS rn FROM bronze_once
-    JOIN (VALUES (0), (1), (2), (3), (4)) x(v) ON lsn < (v + 1) * 1000000000) WHERE rn = 1 AND NOT deleted"""
+    JOIN (VALUES (CAST(0 AS BIGINT)), (1), (2), (3), (4)) x(v) ON lsn < (v + 1) * 1000000000) WHERE rn = 1 AND NOT deleted"""
 
 
-@query("ups_07_as_of_read", with_("bronze_once", f"SELECT v AS version, row_json ->> '$.status' AS status, count(*) AS n FROM ({STATE_AT}) GROUP BY 1, 2"))
+@query("ups_07_as_of_read", with_("bronze_once", f"SELECT CAST(v AS INTEGER) AS version, row_json ->> '$.status' AS status, count(*) AS n FROM ({STATE_AT}) GROUP BY 1, 2"))
 def as_of_read(t: Tables) -> DataFrame:
     """The table as of the end of each of five versions of the change log, in one job."""
     states = cdc.states_at(bronze_changes(t), [(v + 1) * BILLION - 1 for v in range(5)])
@@ -296,15 +296,15 @@ def schema_change(t: Tables) -> DataFrame:
 
 @query("ups_11_layout_change", with_("shop_orders", "SELECT order_id, customer_id, CAST(created_at AS VARCHAR)[1:10] AS day FROM shop_orders"))
 def layout_change(t: Tables) -> DataFrame:
-    """Old data by month, new data by month and customer bucket; one reader over both."""
+    """Old data by year, new data by year and customer bucket; one reader over both."""
     path = run_path(t.spark, "layouts")
-    rows = t.shop_orders.select("order_id", "customer_id", F.to_date("created_at").alias("day")).withColumn("month", F.date_format("day", "yyyy-MM"))
+    rows = t.shop_orders.select("order_id", "customer_id", F.to_date("created_at").alias("day")).withColumn("year", F.year("day"))
     old = F.col("day") < F.lit("1998-01-01").cast("date")
-    sinks.write_partitioned(rows.filter(old), f"{path}/by_month", "month")
+    sinks.write_partitioned(rows.filter(old), f"{path}/by_year", "year")
     bucketed = rows.filter(~old).withColumn("bucket", F.pmod(F.hash("customer_id"), F.lit(16)))
-    sinks.write_partitioned(bucketed, f"{path}/by_month_and_bucket", "month", "bucket")
-    schema = "order_id bigint, customer_id bigint, day date, month string"
-    both = t.spark.read.schema(schema).parquet(f"{path}/by_month").unionByName(
-        t.spark.read.schema(schema + ", bucket int").parquet(f"{path}/by_month_and_bucket").drop("bucket")
+    sinks.write_partitioned(bucketed, f"{path}/by_year_and_bucket", "year", "bucket")
+    schema = "order_id bigint, customer_id bigint, day date, year int"
+    both = t.spark.read.schema(schema).parquet(f"{path}/by_year").unionByName(
+        t.spark.read.schema(schema + ", bucket int").parquet(f"{path}/by_year_and_bucket").drop("bucket")
     )
     return both.select("order_id", "customer_id", F.col("day").cast("string").alias("day"))

@@ -23,8 +23,8 @@ EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING
 cte(
     "cdc_events",
     """SELECT topic, part, off, lsn, op, k, TIMESTAMP '2023-11-14 22:13:20' + INTERVAL 1 MILLISECOND * (lsn % 1000000000) AS ts FROM
-    (SELECT b.topic, b.part, b.off, e.lsn, e.op, e.k FROM cdc_good b JOIN cdc_ev e ON b.off = e.lsn)""",
-    "cdc_good",
+    (SELECT b.topic, b.part, b.off, e.lsn, e.op, e.k FROM cdc_raw b JOIN cdc_ev e ON b.off = e.lsn)""",
+    "cdc_raw",
     "cdc_ev",
 )
 

@@ -38,11 +38,16 @@ def parse_envelopes(messages: DataFrame, strict: bool = True, blank_is_tombstone
         rejected = rejected | F.col("e.source").isNull()
     text = lambda c: F.coalesce(c, F.lit(""))
     number = lambda c: F.coalesce(c.try_cast("bigint"), F.lit(0).cast("bigint"))
-    return messages.withColumn("e", envelope).select(
+    # As the output of a generator each envelope is parsed once; inlined into the columns
+    # and filters below, it would be parsed once for every field.
+    once = messages.select(
+        "topic", "partition", "offset", (value.isNull() | empty).alias("empty"), F.explode(F.array(envelope)).alias("e")
+    )
+    return once.select(
         "topic",
         "partition",
         "offset",
-        F.when(value.isNull() | empty, "tombstone").when(rejected, "malformed").otherwise("ok").alias("status"),
+        F.when(F.col("empty"), "tombstone").when(rejected, "malformed").otherwise("ok").alias("status"),
         F.col("e.op").alias("op"),
         F.concat(text(F.col("e.source.schema")), F.lit("."), text(F.col("e.source.table"))).alias("source_table"),
         number(F.col("e.source.lsn")).alias("lsn"),

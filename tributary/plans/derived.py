@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tributary.operators import cdc
-from tributary.tables import MONEY, Tables
+from tributary.tables import MONEY, Tables, spread
 
 BILLION = 1_000_000_000
 
@@ -35,7 +35,7 @@ def change_messages(t: Tables) -> DataFrame:
         junk(k % 500 == 1, 6, 1, "{"),
         junk(k % 500 == 2, 7, 2, '{"op":"u"}'),
     )
-    rows = t.orders.select(
+    rows = spread(t.orders).select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("cu"),
         F.col("o_orderstatus").alias("s0"),
@@ -57,15 +57,12 @@ def change_messages(t: Tables) -> DataFrame:
         (F.lit(1_700_000_000_000) + F.col("e.lsn") % BILLION).cast("string"),
         F.lit("}"),
     )
-    copies = F.when(F.col("e.raw").isNull() & (F.col("e.lsn") % 50 == 0), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (
-        rows.withColumn("copy_no", F.explode(copies))
-        .select(
-            F.lit("shop.public.orders").alias("topic"),
-            (F.col("e.part3") % 3).cast("int").alias("partition"),
-            F.col("e.lsn").alias("offset"),
-            F.coalesce("e.raw", value).alias("value"),
-        )
+    copies = F.when(F.col("e.raw").isNull() & (F.col("e.lsn") % 50 == 0), 2).otherwise(1)
+    return rows.select(
+        F.lit("shop.public.orders").alias("topic"),
+        (F.col("e.part3") % 3).cast("int").alias("partition"),
+        F.col("e.lsn").alias("offset"),
+        F.explode(F.array_repeat(F.coalesce("e.raw", value), copies)).alias("value"),
     )
 
 

@@ -17,6 +17,13 @@ TABLES = (
 ).split()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has far fewer splits than the cluster has cores, ahead
+    of heavy work per row. A large table has splits enough and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+
+
 class Tables:
     """Lazy readers; each attribute is a DataFrame over one table or view."""
 
@@ -152,6 +159,6 @@ class Tables:
     @property
     def search_docs(self) -> DataFrame:
         """Title is the first line of the text, body the whole text."""
-        return self.documents.select(
+        return spread(self.documents).select(
             "doc_id", "lang", "source", F.split("text", "\n").getItem(0).alias("title"), F.col("text").alias("body")
         )

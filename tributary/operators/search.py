@@ -7,9 +7,12 @@ inverted index is an ordinary table ``(term, doc_id, weight, positions)``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 from operator import and_, or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 WORD = r"[\p{L}\p{N}]+"
@@ -55,12 +58,48 @@ def token_rows(docs: DataFrame, text: str, *keep: str, accents: bool = True) ->
     return rows.withColumn("pos", F.col("pos") + 1)
 
 
+def _group_positions(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Word lists of a batch of texts → one row per text and distinct word with its positions."""
+    lists = batch.column("words")
+    kept = [i for i, name in enumerate(batch.schema.names) if name != "words"]
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    lengths, values = np.diff(ends), lists.flatten().dictionary_encode()
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    position = np.arange(len(values)) - np.repeat(ends[:-1] - ends[0], lengths) + 1
+    word = values.indices.to_numpy()
+    pair = text * max(len(values.dictionary), 1) + word
+    order = np.argsort(pair, kind="stable")
+    starts = np.flatnonzero(np.diff(pair[order], prepend=-1))
+    first = order[starts]
+    positions = pa.ListArray.from_arrays(
+        pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array(position[order].astype(np.int32))
+    )
+    columns = [batch.column(i).take(pa.array(text[first])) for i in kept]
+    terms = values.dictionary.take(pa.array(word[first])).cast(pa.string())
+    return pa.RecordBatch.from_arrays([*columns, terms, positions], names=[*[batch.schema.names[i] for i in kept], "term", "positions"])
+
+
+def _index_words(texts: DataFrame) -> DataFrame:
+    """Rows with a ``words`` array → index rows. A text is one row, so its words are grouped
+    where they are and the text is never shuffled word by word."""
+    kept = [f for f in texts.schema.fields if f.name != "words"]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept] + ["term string", "positions array<int>"])
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _group_positions(batch)
+
+    return texts.mapInArrow(group, schema)
+
+
 def postings(docs: DataFrame, text: str, key: str, english: bool = False) -> DataFrame:
-    """Inverted index rows (term, key, positions); a group is one word of one document."""
-    rows = token_rows(docs, text, key)
+    """Inverted index rows (key, term, positions); ``english`` drops stopwords and stems."""
+    words = tokens(F.col(text))
     if english:
-        rows = rows.filter(~F.col("term").isin(STOPWORDS)).withColumn("term", stem(F.col("term")))
-    return rows.groupBy("term", key).agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+        words = F.transform(words, lambda w: F.when(w.isin(STOPWORDS), "").otherwise(stem(w)))
+    index = _index_words(docs.select(key, words.alias("words")))
+    return index.filter(F.col("term") != "")
 
 
 def weighted_postings(docs: DataFrame, title: str, body: str, key: str) -> DataFrame:
@@ -68,9 +107,8 @@ def weighted_postings(docs: DataFrame, title: str, body: str, key: str) -> DataF
     parts = F.array(
         F.struct(F.lit("A").alias("weight"), F.col(title).alias("text")), F.struct(F.lit("B").alias("weight"), F.col(body).alias("text"))
     )
-    both = docs.select(key, F.explode(parts).alias("p")).select(key, "p.weight", "p.text")
-    rows = token_rows(both, "text", key, "weight")
-    return rows.groupBy("term", key, "weight").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    both = docs.select(key, F.explode(parts).alias("p")).select(key, "p.weight", tokens(F.col("p.text")).alias("words"))
+    return _index_words(both)
 
 
 def has_words(text: Column, words: list[str]) -> Column:

@@ -86,7 +86,7 @@ def source_orders(t: Tables) -> DataFrame:
 def signal_log(t: Tables) -> DataFrame:
     """Every tag signal an actor ever got: 1 = add, -1 = remove."""
     tag = (F.lit(1) + F.col("l_partkey") % 20).cast("int")
-    return t.lineitem.select(
+    return spread(t.lineitem).select(
         (F.floor((tag - 1) / 5) + 1).cast("int").alias("attribute_id"),
         F.col("l_orderkey").alias("actor_id"),
         tag.alias("tag_id"),

@@ -39,10 +39,13 @@ def to_silver(spark: SparkSession, source: str, target: str) -> None:
 def reload_day(spark: SparkSession, source: str, target: str, day: str) -> None:
     """Rebuild one day of silver from bronze; the other days are not touched.
 
-    Bronze is cut to events of that day before the newest copy is chosen: all copies of
-    an event share its id, so its day is decided among them first.
+    Only events with a copy on that day are looked at, but with all their copies: the
+    newest one may lie on the next day, which then keeps the event.
     """
-    rows = silver_rows(read_bronze(spark, source)).filter(F.col("event_date") == F.lit(day).cast("date"))
+    wanted = F.lit(day).cast("date")
+    events = read_bronze(spark, source)
+    ids = events.filter(F.to_date(quality.parse_time(F.col("ts"))) == wanted).select("event_id").distinct()
+    rows = silver_rows(events.join(ids, "event_id", "left_semi")).filter(F.col("event_date") == wanted)
     sinks.overwrite_partitions(rows, target, "event_date")
 
 

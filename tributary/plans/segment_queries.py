@@ -10,7 +10,7 @@ from tributary.operators.segments import Segment, tag
 from tributary.plans.derived import signal_log
 from tributary.plans.registry import query
 from tributary.plans.sql import with_
-from tributary.storage import run_path
+from tributary.storage import run_path, write_and_read
 from tributary.tables import Tables
 
 T = {n: tag(n) for n in [*range(1, 21), 99]}
@@ -94,7 +94,7 @@ def tag_members(t: Tables) -> DataFrame:
 def replace_tag(t: Tables) -> DataFrame:
     """Store all tags, then replace one of them twice."""
     path = run_path(t.spark, "tag-bitmaps")
-    words = tag_words(t)
+    words = write_and_read(tag_words(t), "tag-words")
     words.repartition("tag_id", F.shiftright("word_no", 14)).write.partitionBy("tag_id").parquet(path)
     for _ in range(2):
         segments.replace_tag(words, path, 7)

@@ -26,11 +26,6 @@ def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "erro
     clustered.write.mode(mode).option("maxRecordsPerFile", max_rows_per_file).partitionBy(*columns).parquet(path)
 
 
-def write_by_key(df: DataFrame, path: str, *columns: str, mode: str = "error") -> None:
-    """One shuffle by the partition columns, so each directory gets a single file."""
-    df.repartition(*columns).write.mode(mode).partitionBy(*columns).parquet(path)
-
-
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
     """Replace only the partitions that occur in ``df``."""
     (
@@ -43,7 +38,10 @@ def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str) -> None:
-    """Bucketed and sorted table; equal bucketing on both sides joins without a shuffle."""
+    """Bucketed and sorted table; equal bucketing on both sides joins without a shuffle.
+
+    A bucket is one task, so this suits keys without a hot value; ``joins`` has ways for those.
+    """
     df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
 
 

@@ -73,11 +73,13 @@ def windowed_with_late(stream: DataFrame, ts: str, delay: str, length: str, keys
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read once for both outputs
         marks = spark.read.schema("ts TIMESTAMP, batch_id INT").parquet(f"{path}/marks")
         late = late_rows(batch, ts, marks.filter(F.col("batch_id") < batch_id), delay)
         counted = batch.withColumn("late", late).groupBy(F.window(ts, length).alias("w"), *keys, "late").agg(F.count("*").alias("n"))
         counted.select(F.col("w.start").alias("start"), *keys, "late", "n").write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
         batch.agg(F.max(ts).alias("ts")).write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+        batch.unpersist()
 
     # An empty first mark gives the folder its schema.
     spark.range(0).select(F.lit(None).cast("timestamp").alias("ts")).write.mode("ignore").parquet(f"{path}/marks/batch_id=-1")

@@ -46,11 +46,13 @@ def test_random_trees_equal_set_algebra_on_every_path(world):
     assert as_sets(segments.evaluate_rows(df, trees)) == expected
 
 
-def test_map_path_equals_pivot_path(world, monkeypatch):
+def test_column_path_equals_block_path(world):
     df, trees, expected = world
-    monkeypatch.setattr(segments, "MAX_PIVOT_TAGS", 3)
-    words = segments.evaluate_members(df, trees)
-    assert as_sets(bitmaps.members(words, ["segment_id"])) == {i: s for i, s in expected.items() if s}
+    few = {i: trees[i] for i in (3, 17, 41)}
+    assert segments._fits_columns(few) and not segments._fits_columns(trees)
+    expected = {i: expected[i] for i in few if expected[i]}
+    assert as_sets(bitmaps.members(segments.evaluate(segments.tag_bitmaps(df), few), ["segment_id"])) == expected
+    assert as_sets(bitmaps.members(segments.evaluate_members(df, few), ["segment_id"])) == expected
 
 
 def test_each_tag_is_used_once():

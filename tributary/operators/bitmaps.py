@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_ID = 4294967295  # ids are unsigned 32-bit
+BLOCK_BITS = 8  # a block is 256 words, 16,384 ids
 
 
 def checked_id(member: Column) -> Column:
@@ -50,29 +51,51 @@ def members(words: DataFrame, keys: list[str], name: str = "actor_id") -> DataFr
 
 
 def contains(words: DataFrame, probes: DataFrame, keys: list[str], member: str) -> DataFrame:
-    """Adds ``found`` to each probe; an absent set contains nothing."""
-    asked = probes.withColumn("word_no", word_no(F.col(member).cast("bigint")))
+    """Adds ``found`` to each probe; an absent set contains nothing.
+
+    Hits come from an inner join, so a short probe list is broadcast and the words stay
+    where they are; a long one joins by shuffle.
+    """
+    asked = probes.select(*keys, member).distinct().withColumn("word_no", word_no(F.col(member).cast("bigint")))
     hit = F.getbit("bits", F.col(member).bitwiseAND(F.lit(63)).cast("int")) == 1
-    return asked.join(words, [*keys, "word_no"], "left").select(*probes.columns, F.coalesce(hit, F.lit(False)).alias("found"))
+    hits = words.join(asked, [*keys, "word_no"]).filter(hit).select(*keys, member, F.lit(True).alias("found"))
+    return probes.join(hits, [*keys, member], "left").select(*probes.columns, F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def block_counts(words: DataFrame, keys: list[str]) -> DataFrame:
+    """Members per block and up to its end; at most 2**18 blocks per set of 32-bit ids."""
+    so_far = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = words.groupBy(*keys, F.shiftright("word_no", BLOCK_BITS).alias("block")).agg(F.sum(F.bit_count("bits")).alias("n"))
+    return blocks.withColumn("through", F.sum("n").over(so_far))
 
 
 def pages(words: DataFrame, requests: DataFrame, keys: list[str], size: int = 1000, name: str = "actor_id") -> DataFrame:
     """First ``size`` ids >= cursor, ascending, per request (keys, cursor).
 
-    A non-empty word holds an id, so ``size`` words from the cursor on are enough;
-    both cuts are top-n windows that limit before the shuffle.
+    Block counts tell which blocks hold the page: the cursor's own and those that follow
+    until ``size`` members are certain. Only their words are joined to the request.
     """
     request = Window.partitionBy(*keys, "cursor")
-    at_cursor = F.col("word_no") == word_no(F.col("cursor"))
+    wanted = requests.select(*keys, "cursor").distinct()
+    start = F.shiftright("cursor", 6 + BLOCK_BITS)
+    candidates = block_counts(words, keys).join(wanted, keys)
+    base = F.max(F.when(F.col("block") <= start, F.col("through")).otherwise(0))
+    bases = candidates.groupBy(*keys, "cursor").agg(base.alias("_base"))
+    needed = (
+        candidates.filter(F.col("block") >= start)
+        .join(bases, [*keys, "cursor"])
+        .filter((F.col("block") == start) | (F.col("through") - F.col("n") - F.col("_base") < size))
+        .select(*keys, "cursor", "block")
+    )
     from_cursor = F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.col("cursor").bitwiseAND(F.lit(63)).cast("int"))
+    at_cursor = F.col("word_no") == word_no(F.col("cursor"))
     kept = F.when(at_cursor, F.col("bits").bitwiseAND(from_cursor)).otherwise(F.col("bits"))
     near = (
-        words.join(requests, keys)
+        words.withColumn("block", F.shiftright("word_no", BLOCK_BITS))
+        .join(needed, [*keys, "block"])
         .filter(F.col("word_no") >= word_no(F.col("cursor")))
         .withColumn("bits", kept)
         .filter(F.col("bits") != 0)
-        .withColumn("_w", F.row_number().over(request.orderBy("word_no")))
-        .filter(F.col("_w") <= size)
     )
     ids = members(near, [*keys, "cursor"], name)
     ranked = ids.withColumn("_r", F.row_number().over(request.orderBy(name)))

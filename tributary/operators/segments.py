@@ -6,12 +6,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.operators import bitmaps
 
-# Above this many tags, words travel as one map per word instead of one column per tag.
-MAX_PIVOT_TAGS = 200
+# Up to this many leaves in all, expressions are columns of one generated function; larger sets
+# of segments would outgrow it and are computed block by block on word arrays instead.
+MAX_COLUMN_LEAVES = 64
+BLOCK_BITS = 9  # words per block: 512
 
 
 @dataclass(frozen=True)
@@ -49,6 +53,7 @@ WORDS = {
     "or": lambda a, b: a.bitwiseOR(b),
     "and_not": lambda a, b: a.bitwiseAND(F.bitwise_not(b)),
 }
+ARRAYS = {"and": np.bitwise_and, "or": np.bitwise_or, "and_not": lambda a, b: a & ~b}
 FLAGS = {"and": lambda a, b: a & b, "or": lambda a, b: a | b, "and_not": lambda a, b: a & ~b}
 # Size of a combination if tags were independent.
 CHANCE = {"and": lambda a, b: a * b, "or": lambda a, b: 1 - (1 - a) * (1 - b), "and_not": lambda a, b: a * (1 - b)}
@@ -82,6 +87,10 @@ def _explode_segments(per_word: DataFrame, segments: dict[int, Segment], leaf: C
     return per_word.select("word_no", F.explode(results).alias("s")).select("s.segment_id", "word_no", "s.bits").filter(F.col("bits") != 0)
 
 
+def _fits_columns(segments: dict[int, Segment]) -> bool:
+    return sum(len(s.tags()) for s in segments.values()) <= MAX_COLUMN_LEAVES
+
+
 def evaluate(tag_words: DataFrame, segments: dict[int, Segment]) -> DataFrame:
     """All segments in one job: (segment_id, word_no, bits), empty words left out.
 
@@ -89,21 +98,40 @@ def evaluate(tag_words: DataFrame, segments: dict[int, Segment]) -> DataFrame:
     """
     tags = _needed(segments)
     wanted = tag_words.filter(F.col("tag_id").isin(tags))
-    zero = F.lit(0).cast("bigint")
-    if len(tags) <= MAX_PIVOT_TAGS:
-        columns = [F.coalesce(F.bit_or(F.when(F.col("tag_id") == t, F.col("bits"))), zero).alias(f"t{t}") for t in tags]
-        return _explode_segments(wanted.groupBy("word_no").agg(*columns), segments, lambda t: F.col(f"t{t}"))
-    # At most one entry per tag, so a word's map stays small whatever the data.
-    by_tag = F.map_from_entries(F.collect_list(F.struct("tag_id", "bits"))).alias("m")
-    return _explode_segments(wanted.groupBy("word_no").agg(by_tag), segments, lambda t: F.coalesce(F.try_element_at("m", F.lit(t)), zero))
+    if not _fits_columns(segments):
+        return _evaluate_blocks(wanted, segments, tags)
+    columns = [F.coalesce(F.bit_or(F.when(F.col("tag_id") == t, F.col("bits"))), F.lit(0).cast("bigint")).alias(f"t{t}") for t in tags]
+    return _explode_segments(wanted.groupBy("word_no").agg(*columns), segments, lambda t: F.col(f"t{t}"))
+
+
+def _evaluate_blocks(tag_words: DataFrame, segments: dict[int, Segment], tags: list[int]) -> DataFrame:
+    """Hundreds of segments: one group per block of 512 words, which holds at most 512 rows
+    per tag; every expression is a few bitwise operations on arrays of that length."""
+    size = 1 << BLOCK_BITS
+    tag_ids = np.array(tags)
+
+    def compute(table: pa.Table) -> pa.Table:
+        word = table.column("word_no").to_numpy()
+        first = word[0] & ~(size - 1)
+        dense = np.zeros((len(tag_ids), size), dtype=np.int64)
+        dense[np.searchsorted(tag_ids, table.column("tag_id").to_numpy()), word - first] = table.column("bits").to_numpy()
+        rows = dict(zip(tags, dense))
+        results = np.stack([s.fold(rows.__getitem__, ARRAYS) for s in segments.values()])
+        which, at = np.nonzero(results)
+        ids = np.fromiter(segments, dtype=np.int32)
+        return pa.table({"segment_id": ids[which], "word_no": first + at.astype(np.int64), "bits": results[which, at]})
+
+    block = F.shiftright("word_no", BLOCK_BITS).alias("block")
+    unique = tag_words.select("tag_id", "word_no", "bits", block)
+    return unique.groupBy("block").applyInArrow(compute, "segment_id int, word_no bigint, bits bigint")
 
 
 def evaluate_members(membership: DataFrame, segments: dict[int, Segment]) -> DataFrame:
     """Membership rows → segment words with a single shuffle on word_no: the tag words
     are only a partial aggregate here and are never exchanged on their own."""
-    tags = _needed(segments)
-    if len(tags) > MAX_PIVOT_TAGS:
+    if not _fits_columns(segments):
         return evaluate(tag_bitmaps(membership), segments)
+    tags = _needed(segments)
     rows = active(membership).filter(F.col("tag_id").isin(tags)).withColumn("_id", bitmaps.checked_id(F.col("actor_id").cast("bigint")))
     zero = F.lit(0).cast("bigint")
     one = bitmaps.bit(F.col("_id"))

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import time
 
+from pyspark.sql import functions as F
+
+from tributary.operators import bitmaps, generate, segments
+from tributary.operators.segments import Segment, tag
 from tributary.plans import QUERIES
 from tributary.session import local_session
+from tributary.storage import write_and_read
+from tributary.tables import Tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -50,17 +57,54 @@ HEADLINE = [
 ]
 
 
-def run(spark, key: str) -> float:
+def timed(job) -> float:
     start = time.perf_counter()
-    QUERIES[key](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+    job().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
+def run(spark, key: str) -> float:
+    return timed(lambda: QUERIES[key](spark, SF_DIR))
+
+
+def random_segment(rng: random.Random, tags: int, leaves: int):
+    """Ten distinct tags joined at random: half AND, three tenths OR, the rest AND NOT."""
+    pool = [tag(n) for n in rng.sample(range(1, tags + 1), leaves)]
+    while len(pool) > 1:
+        left, at = pool.pop(rng.randrange(len(pool))), rng.randrange(len(pool) - 1 or 1)
+        op = rng.choices(["and", "or", "and_not"], [5, 3, 2])[0]
+        pool[at] = Segment(op, left, pool[at])
+    return pool[0]
+
+
+def segmentation(spark) -> dict[str, float]:
+    """50 tags and 300 ten-leaf segments over twenty actors per order; inputs are stored first."""
+    spread = F.sequence(F.col("o_orderkey") * 20, F.col("o_orderkey") * 20 + 19)
+    actors = Tables(spark, SF_DIR).orders.select(F.explode(spread).alias("actor_id"))
+    gold = write_and_read(generate.membership(actors.repartitionByRange(8, "actor_id"), "actor_id", tags=50), "bench-gold")
+    tags = write_and_read(segments.tag_bitmaps(gold), "bench-tags")
+    rng = random.Random(42)
+    wanted = {i: random_segment(rng, 50, 10) for i in range(1, 301)}
+    found = write_and_read(segments.evaluate(tags, wanted), "bench-segments")
+    probes = spark.range(2000).select((F.col("id") % 300 + 1).cast("int").alias("segment_id"), (F.col("id") * 1499).alias("actor_id"))
+    cursors = probes.select("segment_id", F.col("actor_id").alias("cursor"))
+    jobs = {
+        "bulk_build_50_tags": lambda: segments.tag_bitmaps(gold),
+        "bulk_300_segments": lambda: segments.evaluate(tags, wanted),
+        "bulk_40_full_reads": lambda: bitmaps.members(found.filter("segment_id <= 40"), ["segment_id"]),
+        "bulk_2000_contains": lambda: bitmaps.contains(found, probes, ["segment_id"], "actor_id"),
+        "bulk_2000_pages": lambda: bitmaps.pages(found, cursors, ["segment_id"]),
+    }
+    return {name: round(min(timed(job) for _ in range(2)), 3) for name, job in jobs.items()}
+
+
 def main() -> None:
     spark = local_session(CPUS, memory=os.environ.get("BENCH_MEMORY", "8g"))
     keys = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
     run(spark, "agg_02_conditional")  # start the executors' code paths outside the clock
     seconds = {key: round(min(run(spark, key) for _ in range(2)), 3) for key in keys}
+    if keys is HEADLINE:
+        seconds |= segmentation(spark)
     print(
         json.dumps(
             {"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": SF_DIR.rsplit("sf", 1)[-1]}

@@ -11,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def _place(keys: list[str], slice_by: Column) -> Column:
+    """Key and slice as one value that is never NULL itself, so a NULL key joins like any other."""
+    return F.struct(*keys, slice_by.alias("_slice"))
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -34,34 +39,35 @@ def ordered_scan(
     is the maximum over all earlier rows.
     """
     sums, lags, leads, maxes = sums or {}, lags or {}, leads or {}, maxes_before or {}
-    sliced = df.withColumn("_slice", slice_by)
-    local = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    by_value = Window.partitionBy(*keys, "_slice").orderBy(order[0])
+    sliced = df.withColumn("_at", _place(keys, slice_by))
+    local = Window.partitionBy("_at").orderBy(*order)
+    by_value = Window.partitionBy("_at").orderBy(order[0])
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = F.struct(*order)
 
     edge = [F.count(F.lit(1)).alias("_n")]
     if dense_rank:
-        edge.append(F.count_distinct(order[0]).alias("_d"))
+        edge.append(F.count_distinct(F.struct(order[0])).alias("_d"))
     edge += [F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     edge += [F.max_by(F.struct(F.col(c).alias("v")), position).alias(f"_last_{n}") for n, c in lags.items()]
     edge += [F.min_by(F.struct(F.col(c).alias("v")), position).alias(f"_first_{n}") for n, c in leads.items()]
     edge += [F.max(c).alias(f"_max_{n}") for n, c in maxes.items()]
-    per_slice = sliced.groupBy(*keys, "_slice").agg(*edge)
+    per_slice = sliced.groupBy("_at").agg(*edge)
 
-    slices = Window.partitionBy(*keys).orderBy("_slice")
+    of_key = [F.col("_at")[k] for k in keys]
+    slices = Window.partitionBy(*of_key).orderBy(F.col("_at")["_slice"])
     before = slices.rowsBetween(Window.unboundedPreceding, -1)
     zero = lambda c: F.coalesce(c, F.lit(0))
     carried = [zero(F.sum("_n").over(before)).alias("_before")]
     if total:
-        carried.append(F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"))
+        carried.append(F.sum("_n").over(Window.partitionBy(*of_key)).alias("_total"))
     if dense_rank:
         carried.append(zero(F.sum("_d").over(before)).alias("_dbefore"))
     carried += [zero(F.sum(f"_sum_{n}").over(before)).alias(f"_csum_{n}") for n in sums]
     carried += [F.lag(f"_last_{n}").over(slices).alias(f"_clag_{n}") for n in lags]
     carried += [F.lead(f"_first_{n}").over(slices).alias(f"_clead_{n}") for n in leads]
     carried += [F.max(f"_max_{n}").over(before).alias(f"_cmax_{n}") for n in maxes]
-    carry = per_slice.select(*keys, "_slice", *carried)
+    carry = per_slice.select("_at", *carried)
 
     windows = []
     if row_number:
@@ -76,7 +82,7 @@ def ordered_scan(
     earlier = local.rowsBetween(Window.unboundedPreceding, -1)
     windows += [F.max(c).over(earlier).alias(f"_lmax_{n}") for n, c in maxes.items()]
 
-    joined = sliced.select("*", *windows).join(carry, [*keys, "_slice"])
+    joined = sliced.select("*", *windows).join(carry, "_at")
     out = []
     if row_number:
         out.append((F.col("_rn") + F.col("_before")).alias(row_number))
@@ -101,23 +107,23 @@ def sessionise(df: DataFrame, key: str, order: list[str], gap: str, slice_by: Co
     """
     ts = order[0]
     limit = F.expr(f"INTERVAL {gap}")
-    local = Window.partitionBy(key, "_slice").orderBy(*order)
+    local = Window.partitionBy("_at").orderBy(*order)
     flagged = (
-        df.withColumn("_slice", slice_by)
+        df.withColumn("_at", _place([key], slice_by))
         .withColumn("_prev", F.lag(ts).over(local))
         .withColumn("_new", F.coalesce((F.col(ts) > F.col("_prev") + limit).cast("int"), F.lit(0)))
         .withColumn("_run", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
-    edges = flagged.groupBy(key, "_slice").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_new").alias("_inner"))
-    slices = Window.partitionBy(key).orderBy("_slice")
+    edges = flagged.groupBy("_at").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_new").alias("_inner"))
+    slices = Window.partitionBy(F.col("_at")[key]).orderBy(F.col("_at")["_slice"])
     previous = F.lag("_last").over(slices)
     starts = (
         edges.withColumn("_start", F.when(previous.isNull() | (F.col("_first") > previous + limit), 1).otherwise(0))
         .withColumn("_sessions", F.col("_start") + F.col("_inner"))
         .withColumn("_base", F.sum("_sessions").over(slices.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_inner"))
-        .select(key, "_slice", "_base")
+        .select("_at", "_base")
     )
-    return flagged.join(starts, [key, "_slice"]).select(*df.columns, (F.col("_base") + F.col("_run")).cast("bigint").alias(name))
+    return flagged.join(starts, "_at").select(*df.columns, (F.col("_base") + F.col("_run")).cast("bigint").alias(name))
 
 
 def tiles(position: Column, total: Column, n: int) -> Column:
@@ -139,13 +145,14 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: lis
     interpolate: linear between neighbours; otherwise nearest rank ``ceil(q * n)``.
     Returns keys, ``q``, ``value`` (double).
     """
-    binned = df.filter(F.col(value).isNotNull()).withColumn("_bin", F.floor(F.col(value) / width))
-    by_bin = Window.partitionBy(*keys).orderBy("_bin")
+    group = F.struct(F.lit(0).alias("_"), *keys)  # never NULL itself, so a NULL key keeps its percentiles
+    binned = df.filter(F.col(value).isNotNull()).select(group.alias("_g"), value, F.floor(F.col(value) / width).alias("_bin"))
+    by_bin = Window.partitionBy("_g").orderBy("_bin")
     bins = (
-        binned.groupBy(*keys, "_bin")
+        binned.groupBy("_g", "_bin")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_hi", F.sum("_n").over(by_bin.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_all", F.sum("_n").over(Window.partitionBy(*keys)))
+        .withColumn("_all", F.sum("_n").over(Window.partitionBy("_g")))
     )
     targets = []
     for q in quantiles:
@@ -161,20 +168,20 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: lis
     wanted = (
         bins.withColumn("t", F.explode(F.array(*targets)))
         .filter((F.col("t.r") > F.col("_hi") - F.col("_n")) & (F.col("t.r") <= F.col("_hi")))
-        .select(*keys, "_bin", (F.col("_hi") - F.col("_n")).alias("_lo"), "t.*")
+        .select("_g", "_bin", (F.col("_hi") - F.col("_n")).alias("_lo"), "t.*")
     )
-    in_bin = Window.partitionBy(*keys, "_bin").orderBy(value)
+    in_bin = Window.partitionBy("_g", "_bin").orderBy(value)
     values = (
-        binned.join(wanted.select(*keys, "_bin").distinct(), [*keys, "_bin"], "left_semi")
-        .groupBy(*keys, "_bin", value)
+        binned.join(wanted.select("_g", "_bin").distinct(), ["_g", "_bin"], "left_semi")
+        .groupBy("_g", "_bin", value)
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_vhi", F.sum("_c").over(in_bin.rowsBetween(Window.unboundedPreceding, 0)))
     )
-    at_rank = wanted.join(values, [*keys, "_bin"]).filter(
+    at_rank = wanted.join(values, ["_g", "_bin"]).filter(
         (F.col("r") - F.col("_lo") > F.col("_vhi") - F.col("_c")) & (F.col("r") - F.col("_lo") <= F.col("_vhi"))
     )
     low = F.max(F.when(F.col("side") == 0, F.col(value).cast("double")))
     high = F.max(F.when(F.col("side") == 1, F.col(value).cast("double")))
-    result = at_rank.groupBy(*keys, "q").agg(low.alias("_low"), high.alias("_high"), F.max("f").alias("_f"))
+    result = at_rank.groupBy("_g", "q").agg(low.alias("_low"), high.alias("_high"), F.max("f").alias("_f"))
     picked = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_f") if interpolate else F.col("_low")
-    return result.select(*keys, "q", picked.alias("value"))
+    return result.select(*[F.col("_g")[k].alias(k) for k in keys], "q", picked.alias("value"))

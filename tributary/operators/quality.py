@@ -139,13 +139,15 @@ def position_correlation(df: DataFrame, position: str, value: str, slice_by: Col
 
 
 def dependency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """How far ``a`` determines ``b``: share of rows whose ``a`` has a single ``b``, and
-    the joint frequency of each pair against the product of its parts."""
+    """How far two columns depend on each other: the frequency of each pair next to the
+    product of the frequencies of its parts."""
     pairs = df.groupBy(a, b).agg(F.count("*").alias("n"))
-    per_a = pairs.groupBy(a).agg(F.sum("n").alias("n_a"))
-    per_b = pairs.groupBy(b).agg(F.sum("n").alias("n_b"))
-    total = pairs.agg(F.sum("n")).scalar()
-    joined = pairs.join(per_a, a).join(per_b, b).withColumn("total", total)
+    joined = pairs.select(
+        "*",
+        F.sum("n").over(Window.partitionBy(a)).alias("n_a"),
+        F.sum("n").over(Window.partitionBy(b)).alias("n_b"),
+        pairs.agg(F.sum("n")).scalar().alias("total"),
+    )
     return joined.select(
         a,
         b,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tributary.operators import cdc
-from tributary.plans.derived import BILLION, bronze_changes, change_messages, source_orders
+from tributary.plans.derived import bronze_changes, change_messages, source_orders, stored_bronze
 from tributary.plans.registry import query
 from tributary.plans.sql import with_
 from tributary.tables import Tables
@@ -127,7 +127,7 @@ def reconcile(t: Tables) -> DataFrame:
     ),
 )
 def status_audit(t: Tables) -> DataFrame:
-    return cdc.status_changes(bronze_changes(t))
+    return cdc.status_changes(stored_bronze(t))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tributary.operators import cdc
+from tributary.storage import write_and_read
 from tributary.tables import MONEY, Tables, spread
 
 BILLION = 1_000_000_000
@@ -72,6 +73,11 @@ def bronze_changes(t: Tables) -> DataFrame:
     return cdc.to_bronze(changes, F.timestamp_millis("source_ts_ms"))
 
 
+def stored_bronze(t: Tables) -> DataFrame:
+    """The bronze log as the table it is in practice, for jobs that read it more than once."""
+    return write_and_read(bronze_changes(t), "bronze-log")
+
+
 def source_orders(t: Tables) -> DataFrame:
     """The source table after all changes, computed from ``orders`` without any message."""
     k = F.col("o_orderkey")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tributary.operators import cdc, quality, versions
 from tributary.operators.segments import union_all
-from tributary.plans.derived import BILLION, bronze_changes
+from tributary.plans.derived import BILLION, bronze_changes, stored_bronze
 from tributary.plans.registry import query
 from tributary.plans.sql import cte, with_
 from tributary.sources import sinks
@@ -267,7 +267,7 @@ def as_of_read(t: Tables) -> DataFrame:
 )
 def roll_back(t: Tables) -> DataFrame:
     """Write the state of an older version as the new table and report what that changes."""
-    bronze = bronze_changes(t)
+    bronze = stored_bronze(t)
     path = run_path(t.spark, "rolled-back")
     sinks.write(cdc.as_of_state(bronze, lsn=2 * BILLION - 1).select("id", "row_json"), path)
     compared = versions.compare_versions(cdc.current_state(bronze).select("id", "row_json"), t.spark.read.parquet(path), "id")

@@ -124,8 +124,9 @@ def range_versus_rows(t: Tables) -> DataFrame:
     by_rows = ordered_scan(orders, ["customer_id"], ["created_at", "order_id"], F.col("created_at"), sums={"by_rows": "total"})
     daily = orders.groupBy("customer_id", "created_at").agg(F.sum("total").alias("total"))
     so_far = Window.partitionBy("customer_id").orderBy("created_at").rowsBetween(Window.unboundedPreceding, 0)
-    by_range = daily.select("customer_id", "created_at", F.sum("total").over(so_far).alias("by_range"))
-    return by_rows.join(by_range, ["customer_id", "created_at"]).select(
+    day = F.struct("customer_id", "created_at").alias("day")  # joins a missing customer, too
+    by_range = daily.select(day, F.sum("total").over(so_far).alias("by_range"))
+    return by_rows.select("*", day).join(by_range, "day").select(
         "order_id", F.col("by_rows").cast("double").alias("by_rows"), F.col("by_range").cast("double").alias("by_range")
     )
 

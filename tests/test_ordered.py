@@ -21,7 +21,8 @@ def same(a, b):
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
 
 
-def test_scan_equals_plain_windows(skewed):
+@pytest.mark.parametrize("hot_rows", [0, 500, 10**6])
+def test_scan_equals_plain_windows(skewed, hot_rows):
     w = Window.partitionBy("k").orderBy("o", "id")
     by_value = Window.partitionBy("k").orderBy("o")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -38,7 +39,7 @@ def test_scan_equals_plain_windows(skewed):
     )
     scanned = ordered_scan(
         skewed, ["k"], ["o", "id"], F.floor(F.col("o") / 7), row_number="rn", rank="r", dense_rank="d", total="n",
-        sums={"s": "id"}, lags={"before": "v"}, leads={"after": "v"}, maxes_before={"m": "id"},
+        sums={"s": "id"}, lags={"before": "v"}, leads={"after": "v"}, maxes_before={"m": "id"}, hot_rows=hot_rows,
     )
     same(scanned, plain)
 
@@ -58,12 +59,13 @@ def test_no_task_holds_a_whole_key(skewed):
     assert "hashpartitioning(_at" in plan
 
 
-def test_sessions_equal_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [0, 200, 10**6])
+def test_sessions_equal_brute_force(spark, hot_rows):
     rng = random.Random(3)
     start = dt.datetime(2024, 1, 1)
     rows = [(1 if i % 3 == 0 else rng.choice([None, 2, 3, 4, 5]), start + dt.timedelta(minutes=rng.randrange(60 * 24 * 12)), i) for i in range(900)]
     df = spark.createDataFrame(rows, "u int, ts timestamp_ntz, id int")
-    got = {r["id"]: r["session_id"] for r in sessionise(df, "u", ["ts", "id"], "3 HOURS", F.to_date("ts")).collect()}
+    got = {r["id"]: r["session_id"] for r in sessionise(df, "u", ["ts", "id"], "3 HOURS", F.to_date("ts"), hot_rows=hot_rows).collect()}
     expected, last = {}, {}
     for u, ts, i in sorted(rows, key=lambda r: r[1:]):
         n, previous = last.get(u, (0, None))

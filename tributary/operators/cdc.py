@@ -179,7 +179,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -
     return a.join(b, key, "full").select(key, verdict.alias("verdict"))
 
 
-def status_changes(bronze: DataFrame, slice_width: int = 500_000_000) -> DataFrame:
+def status_changes(bronze: DataFrame, slice_width: int = 1_000_000) -> DataFrame:
     """One row whenever the status of a key differs from its previous event (null-safe)."""
     events = drop_redelivered(keyed(bronze)).select(
         "id",

@@ -1,6 +1,6 @@
 """Ordered scans that never put one key's whole history into one task.
 
-A plain window sends every row of a key to the same task. Here each key is cut
+A plain window sends every row of a key to the same task. Here a hot key is cut
 into slices along the order; windows run per (key, slice), and a small table
 with one row per (key, slice) carries counts, sums and edge values across the
 cut. Only that small table is windowed per key.
@@ -10,10 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+HOT_SHARE = 1e-5  # at most 100,000 keys can hold this share of all rows
+HOT_ROWS = 100_000  # a key below this fits a task whatever its share
 
-def _place(keys: list[str], slice_by: Column) -> Column:
-    """Key and slice as one value that is never NULL itself, so a NULL key joins like any other."""
-    return F.struct(*keys, slice_by.alias("_slice"))
+
+def _place(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int) -> DataFrame:
+    """Add ``_at``: key and slice as one value that is never NULL itself, so a NULL key joins
+    like any other. Only keys with at least ``hot_rows`` rows and HOT_SHARE of all rows are
+    cut, which are never more than 1/HOT_SHARE; any other key is one slice.
+    """
+    if not keys:
+        return df.withColumn("_at", F.struct(slice_by.alias("_slice")))
+    counts = df.groupBy(F.struct(*keys).alias("_key")).agg(F.count("*").alias("_n"))
+    least = F.greatest(F.lit(hot_rows), df.agg(F.count("*")).scalar() * HOT_SHARE)
+    hot = F.broadcast(counts.filter(F.col("_n") >= least).select("_key", F.lit(True).alias("_hot")))
+    marked = df.withColumn("_key", F.struct(*keys)).join(hot, "_key", "left")
+    return marked.withColumn("_at", F.struct(*keys, F.when(F.col("_hot"), slice_by).alias("_slice"))).drop("_key", "_hot")
 
 
 def ordered_scan(
@@ -30,6 +42,7 @@ def ordered_scan(
     lags: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
     maxes_before: dict[str, str] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add window columns over ``keys`` in ascending ``order`` (a total order).
 
@@ -39,7 +52,7 @@ def ordered_scan(
     is the maximum over all earlier rows.
     """
     sums, lags, leads, maxes = sums or {}, lags or {}, leads or {}, maxes_before or {}
-    sliced = df.withColumn("_at", _place(keys, slice_by))
+    sliced = _place(df, keys, slice_by, hot_rows)
     local = Window.partitionBy("_at").orderBy(*order)
     by_value = Window.partitionBy("_at").orderBy(order[0])
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -99,7 +112,7 @@ def ordered_scan(
     return joined.select(*df.columns, *out)
 
 
-def sessionise(df: DataFrame, key: str, order: list[str], gap: str, slice_by: Column, name: str = "session_id") -> DataFrame:
+def sessionise(df: DataFrame, key: str, order: list[str], gap: str, slice_by: Column, name: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number the sessions of each key: a new one starts after a silence longer than ``gap``.
 
     Same cut as ``ordered_scan``: one shuffle of the rows on (key, slice), then only the
@@ -109,7 +122,7 @@ def sessionise(df: DataFrame, key: str, order: list[str], gap: str, slice_by: Co
     limit = F.expr(f"INTERVAL {gap}")
     local = Window.partitionBy("_at").orderBy(*order)
     flagged = (
-        df.withColumn("_at", _place([key], slice_by))
+        _place(df, [key], slice_by, hot_rows)
         .withColumn("_prev", F.lag(ts).over(local))
         .withColumn("_new", F.coalesce((F.col(ts) > F.col("_prev") + limit).cast("int"), F.lit(0)))
         .withColumn("_run", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))

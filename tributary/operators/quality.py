@@ -105,8 +105,7 @@ def overlaps(periods: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
     Linear: compares each period with the latest end before it, not with every other period.
     """
-    by_month = F.trunc(start, "month")
-    seen = ordered_scan(periods, [key], [start, end], by_month, maxes_before={"previous_end": end})
+    seen = ordered_scan(periods, [key], [start, end], F.col(start), maxes_before={"previous_end": end})
     return seen.filter(F.col(start) < F.col("previous_end"))
 
 

@@ -215,8 +215,8 @@ def nested_objects(t: Tables) -> DataFrame:
     """One JSON object per order and thousand lines, lines in order; a giant order gives
     several objects instead of one giant group."""
     order = ["line_no", "shipped_at", "product_id", "supplier_id", "line_total"]
-    month_no = F.year("shipped_at") * 12 + F.month("shipped_at")
-    numbered = ordered_scan(t.shop_items, ["order_id"], order, F.col("line_no") * 100000 + month_no, row_number="rn")
+    day_no = F.unix_date(F.to_date("shipped_at"))
+    numbered = ordered_scan(t.shop_items, ["order_id"], order, F.col("line_no") * 100000 + day_no, row_number="rn")
     part = F.floor((F.col("rn") - 1) / ITEMS_PER_OBJECT)
     line = F.struct("rn", F.struct("line_no", "product_id", "qty", "line_total").alias("line"))
     lines = numbered.groupBy("order_id", part.alias("part")).agg(F.sort_array(F.collect_list(line)).alias("sorted"))

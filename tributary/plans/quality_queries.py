@@ -240,7 +240,7 @@ def allocate_stock(t: Tables) -> DataFrame:
     requests = t.shop_items.select("order_id", "product_id", "qty", "shipped_at", "line_no", "supplier_id", "line_total")
     stock = t.part.select(F.col("p_partkey").alias("product_id"), (F.col("p_size") * 20).alias("stock"))
     order = ["shipped_at", "order_id", "line_no", "supplier_id", "line_total"]
-    allocated = versions.allocate(requests, stock, "product_id", "qty", order, F.trunc(F.to_date("shipped_at"), "month"))
+    allocated = versions.allocate(requests, stock, "product_id", "qty", order, F.to_date("shipped_at"))
     return allocated.select("order_id", "product_id", "qty", "demand", "accepted")
 
 

@@ -275,14 +275,10 @@ def time_sql(row_id: str, seed: int) -> str:
     return f"make_timestamp((1700000000 + {mixed_sql(row_id, seed)} % 63072000) * 1000000)"
 
 
-CITIES = ["Hanoi", "Ho Chi Minh", "Da Nang", "Hai Phong", "Can Tho"]
-TIERS = ["free", "free", "free", "silver", "gold"]
-STATUSES = ["pending", "paid", "shipped", "delivered", "delivered", "delivered", "cancelled"]
-
 cte(
     "gen_orders",
     f"""SELECT o_orderkey AS order_id, CASE WHEN {mixed_sql('o_orderkey', 31)} % 100 < 5 THEN 1
-    ELSE 1 + CAST(floor(u * u * b) AS BIGINT) END AS customer_id, {pick_sql(STATUSES, 'o_orderkey', 33)} AS status, {time_sql('o_orderkey', 34)} AS created_at
+    ELSE 1 + CAST(floor(u * u * b) AS BIGINT) END AS customer_id, {pick_sql(generate.STATUSES, 'o_orderkey', 33)} AS status, {time_sql('o_orderkey', 34)} AS created_at
     FROM (SELECT o_orderkey, CAST({mixed_sql('o_orderkey', 32)} AS DOUBLE) / 2147483647 AS u, (SELECT count(*) * 9 // 10 FROM customer) AS b FROM orders)""",
 )
 
@@ -291,7 +287,7 @@ def generated_orders(t: Tables) -> DataFrame:
     return generate.orders(t.orders.select(F.col("o_orderkey").alias("id")), t.customer.count() * 9 // 10)
 
 
-@query("gen_01_weighted_pick", f"SELECT c_custkey AS customer_id, {pick_sql(TIERS, 'c_custkey', 12)} AS tier FROM customer")
+@query("gen_01_weighted_pick", f"SELECT c_custkey AS customer_id, {pick_sql(generate.TIERS, 'c_custkey', 12)} AS tier FROM customer")
 def weighted_pick(t: Tables) -> DataFrame:
     return generate.customers(t.customer.select(F.col("c_custkey").alias("id"))).select("customer_id", "tier")
 
@@ -303,7 +299,7 @@ def uniform_time(t: Tables) -> DataFrame:
 
 @query(
     "gen_03_periodic_nulls",
-    f"SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 20 <> 0 THEN {pick_sql(CITIES, 'c_custkey', 11)} END AS city, 'user' || c_custkey || '@example.com' AS email FROM customer",
+    f"SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 20 <> 0 THEN {pick_sql(generate.CITIES, 'c_custkey', 11)} END AS city, 'user' || c_custkey || '@example.com' AS email FROM customer",
 )
 def periodic_nulls(t: Tables) -> DataFrame:
     return generate.customers(t.customer.select(F.col("c_custkey").alias("id"))).select("customer_id", "city", "email")
@@ -329,13 +325,10 @@ def order_lines(t: Tables) -> DataFrame:
     return lines.select("order_id", "line_no", "product_id", "qty", F.col("line_total").cast("double").alias("line_total"))
 
 
-EVENT_MIX = ["view", "view", "view", "view", "click", "click", "add_to_cart", "purchase"]
-
-
 @query(
     "gen_06_dirty_events",
     f"""SELECT event_id, CASE WHEN {mixed_sql('event_id', 51)} % 100 >= 3 THEN 1 + CAST(floor(u * u * c) AS BIGINT) END AS user_id,
-    {pick_sql(EVENT_MIX, 'event_id', 53)} AS event_type, strftime({time_sql('event_id', 56)}, '%Y-%m-%dT%H:%M:%S') AS ts
+    {pick_sql(generate.EVENT_TYPES, 'event_id', 53)} AS event_type, strftime({time_sql('event_id', 56)}, '%Y-%m-%dT%H:%M:%S') AS ts
     FROM (SELECT event_id, CAST({mixed_sql('event_id', 52)} AS DOUBLE) / 2147483647 AS u, (SELECT count(*) FROM customer) AS c FROM events)
     JOIN (VALUES (0), (1)) x(copy_no) ON copy_no = 0 OR {mixed_sql('event_id', 57)} % 100 = 0""",
 )

@@ -179,14 +179,21 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -
     return a.join(b, key, "full").select(key, verdict.alias("verdict"))
 
 
-def status_changes(bronze: DataFrame, slice_width: int = 1_000_000) -> DataFrame:
-    """One row whenever the status of a key differs from its previous event (null-safe)."""
-    events = drop_redelivered(keyed(bronze)).select(
+def status_events(bronze: DataFrame) -> DataFrame:
+    """The status each event sets, once per message; NULL after a delete."""
+    return drop_redelivered(keyed(bronze)).select(
         "id",
         "lsn",
         "kafka_offset",
         F.when(~F.col("deleted"), F.get_json_object("row_json", "$.status")).alias("status"),
     )
+
+
+def status_changes(events: DataFrame, slice_width: int = 1_000_000) -> DataFrame:
+    """One row whenever the status of a key differs from its previous event (null-safe).
+
+    Reads ``events`` several times, so store them if they are costly to compute.
+    """
     scanned = ordered_scan(
         events, ["id"], ["lsn", "kafka_offset"], F.floor(F.col("lsn") / slice_width), row_number="n", lags={"old_status": "status"}
     )

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tributary.operators import cdc
-from tributary.plans.derived import bronze_changes, change_messages, source_orders, stored_bronze
+from tributary.plans.derived import bronze_changes, change_messages, source_orders
 from tributary.plans.registry import query
 from tributary.plans.sql import with_
+from tributary.storage import write_and_read
 from tributary.tables import Tables
 
 PARSED = "topic, part AS partition, off AS offset, op, source_table, lsn, ts_ms, before_json, after_json"
@@ -127,7 +128,7 @@ def reconcile(t: Tables) -> DataFrame:
     ),
 )
 def status_audit(t: Tables) -> DataFrame:
-    return cdc.status_changes(stored_bronze(t))
+    return cdc.status_changes(write_and_read(cdc.status_events(bronze_changes(t)), "status-events"))
 
 
 @query(

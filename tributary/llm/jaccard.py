@@ -2,18 +2,17 @@
 
 Two sets link when 100 * intersection >= 80 * union.
 
-1. Equal sets are one class. Each set's n-grams are put in one order over the corpus (rare ones
-   first, then by hash); sets that link share one of the first n - ceil(0.8 n) + 1.
+1. Equal sets are one class. Each set's n-grams are put in one order over the corpus (common ones
+   last, else by hash). Sets that link share k of the first n - ceil(0.8 n) + k, whatever k; it is a
+   tenth of the size here. Index lists are made of these starts, and sets leave that share fewer than k with all others.
 2. Sets in one index list whose sizes allow a link are joined into bundles: connected components
-   of neighbours in the lists ordered by size. Every link lies inside a bundle. A batch of a task
-   sends one row per list and run of sizes, whose sets it has joined itself, so a list that holds a
-   third of all sets is short.
+   of neighbours in the lists ordered by size. Every link lies inside a bundle.
 3. Inside a bundle index lists are ordered by size, and a set reads only the blocks whose sizes allow a link.
    A set that links with one whose overlaps are known gets its own from them: only the lists
    of the n-grams that one set has and the other lacks are read.
 
 Each set is shuffled once, and only if it is in a bundle. A bundle above ``TASK`` n-grams is cut
-into blocks by size and hash, and every pair of blocks whose sizes allow a link is a task of its own.
+into pools by size, these into blocks by hash, and every pair of blocks of a pool is a task of its own.
 
 Defined cases. Null and empty texts, and texts without words, have the empty set, which links with
 nothing. Fewer words than the n-gram are one n-gram. Rows that repeat an id are documents of their own;
@@ -37,9 +36,11 @@ from tributary.storage import write_and_read
 
 SIZE = 5  # words of an n-gram
 NUMBER, PER = 4, 5  # similarity 0.8
+SHARED = 10  # of so many n-grams of a set, linked sets share one more in their starts
+ROUNDS = 2  # of leaving out sets that share too little; more only save work
 COMMON = 500  # an n-gram in one of so many documents is common: it goes last in the order
 SEEN = 3  # documents of a batch that share an n-gram before the batch reports it
-TASK = 1_000_000  # n-grams compared in one task
+TASK = 3_000_000  # n-grams of a block
 SET_COST = 200  # a set counts as so many n-grams more
 
 
@@ -59,8 +60,13 @@ def set_key(found: np.ndarray) -> int:
         return int(signed(mix(np.array([total + np.uint64(len(found)) * np.uint64(0xC2B2AE3D27D4EB4F)], np.uint64)))[0])
 
 
+def shared_least(n):
+    """How many n-grams two linked sets share in their starts, at least, for the smaller set's size n."""
+    return -(-n // SHARED)
+
+
 def prefix_length(n: int) -> int:
-    return n - -(-NUMBER * n // PER) + 1
+    return n - -(-NUMBER * n // PER) + shared_least(n)
 
 
 @dataclass
@@ -97,8 +103,8 @@ def _common(facts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([a for a, _ in order], np.uint64), np.array([b for _, b in order], np.int64)
 
 
-def _edges(rows: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Pairs of set keys (a, b) that join the sets of each index list whose sizes allow a link."""
+def _starts(rows: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(gram, key, n): the start of each distinct set of a batch."""
     sent = rows.sparkSession.sparkContext.broadcast(common)
     table = WordHashes()
 
@@ -117,38 +123,37 @@ def _edges(rows: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray]) ->
             found = ngram_set((text or "").encode("utf-8", "surrogatepass"), table, size)
             if len(found):
                 sets.setdefault(set_key(found), found)
-        if not sets:
-            return
-        starts = [prefix(s) for s in sets.values()]
-        count = np.array([len(p) for p in starts])
-        gram = np.concatenate(starts)
-        key = np.repeat(np.array(list(sets), np.int64), count)
-        n = np.repeat(np.array([len(s) for s in sets.values()]), count)
-        order = np.lexsort((key, n, gram))
-        gram, key, n = gram[order], key[order], n[order]
-        # neighbours in a list whose sizes allow a link are one run
-        joined = np.r_[False, (gram[1:] == gram[:-1]) & (n[1:] * NUMBER <= n[:-1] * PER)]
-        a, b = key[1:][joined[1:]], key[:-1][joined[1:]]
-        first = np.flatnonzero(~joined)
-        last = np.r_[first[1:], len(gram)] - 1
-        local = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-        schema = pa.schema([("gram", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
-        random = signed(mix(local[:, 0].view(np.uint64) ^ mix(np.ascontiguousarray(local[:, 1]).view(np.uint64))) if len(local) else np.empty(0, np.uint64))
-        yield arrow_rows(
-            schema,
-            gram=np.concatenate([signed(gram[first]), random]),
-            low=np.concatenate([n[first], np.zeros(len(local), np.int64)]).astype(np.int32),
-            high=np.concatenate([n[last], np.zeros(len(local), np.int64)]).astype(np.int32),
-            a=np.concatenate([key[first], local[:, 0]]),
-            b=pa.array(np.concatenate([np.zeros(len(first), np.int64), local[:, 1]]), mask=np.r_[np.ones(len(first), bool), np.zeros(len(local), bool)]),
-        )
+        if sets:
+            starts = [prefix(s) for s in sets.values()]
+            count = np.array([len(p) for p in starts])
+            schema = pa.schema([("gram", pa.int64()), ("key", pa.int64()), ("n", pa.int32())])
+            # a set's rows follow one another, which compresses well in the shuffle
+            yield arrow_rows(schema, gram=signed(np.concatenate(starts)), key=np.repeat(np.array(list(sets), np.int64), count), n=np.repeat(np.array([len(s) for s in sets.values()], np.int32), count))
 
-    spans = map_texts(rows.select("text"), run, "gram long, low int, high int, a long, b long")
-    # of the runs that start lower, the one that reaches highest
-    reach = F.max(F.struct("high", "a")).over(Window.partitionBy("gram").orderBy("low", "high", "a").rowsBetween(Window.unboundedPreceding, -1))
-    near = F.when(F.col("low") * NUMBER <= F.col("reach.high").cast("long") * PER, F.col("reach.a"))
-    found = spans.withColumn("reach", reach).select("a", F.coalesce("b", near).alias("b"))
-    return found.filter("b is not null and a != b").distinct()
+    return map_texts(rows.select("text"), run, "gram long, key long, n int")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows, once each, whose n-gram starts another set, too."""
+    of_gram = Window.partitionBy("gram")
+    several = rows.withColumn("several", F.min("key").over(of_gram) != F.max("key").over(of_gram))
+    return several.filter("several").groupBy("gram", "key", "n").agg(F.lit(0).alias("_")).drop("_")
+
+
+def _edges(rows: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Pairs of set keys (a, b) that join the sets of each index list whose sizes allow a link.
+
+    Before that, sets go that share too little of their start with all others together: the
+    passage that many texts quote does not make them candidates.
+    """
+    smaller = F.ceil(F.col("n") * NUMBER / PER)
+    live = write_and_read(_shared(_starts(rows, size, common)), "jaccard-lists")
+    for _ in range(ROUNDS):
+        enough = live.groupBy("key", "n").agg(F.count("*").alias("shared")).filter(F.col("shared") >= F.ceil(smaller / SHARED))
+        live = write_and_read(_shared(live.join(enough.select("key"), "key", "left_semi")), "jaccard-lists")
+    before = Window.partitionBy("gram").orderBy("n", "key")
+    found = live.select(F.col("key").alias("a"), "n", F.lag("key").over(before).alias("b"), F.lag("n").over(before).alias("m"))
+    return found.filter(F.col("n") * NUMBER <= F.col("m") * PER).select("a", "b").distinct()
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -165,11 +170,12 @@ class Bundle:
     set can link with is found by two searches and all else is skipped.
     """
 
-    def __init__(self, sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray | None):
+    def __init__(self, sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray | None = None, upper: np.ndarray | None = None):
         self.n = np.array([len(s) for s in sets])
         order = np.argsort(self.n, kind="stable")
         self.order, self.n, self.weight = order, self.n[order], weight[order]
         self.side = None if side is None else side[order]
+        self.upper = None if upper is None or not upper.any() else upper[order]
         count = len(sets)
         flat = np.concatenate([sets[i] for i in order])
         owner = np.repeat(np.arange(count), self.n)
@@ -198,6 +204,8 @@ class Bundle:
         hit[x] = False
         if self.side is not None:
             hit &= self.side != self.side[x]
+        if self.upper is not None and self.upper[x]:
+            hit &= ~self.upper
         return np.flatnonzero(hit)
 
     def solve(self) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +229,7 @@ class Bundle:
             known = self.read(mine, *wide)
             found = self.linked(x, known)
             answer(x, found)
-            similar = np.flatnonzero(known * (NUMBER + PER) >= NUMBER * (self.n + self.n[x])) if self.side is not None else found
+            similar = np.flatnonzero(known * (NUMBER + PER) >= NUMBER * (self.n + self.n[x])) if self.side is not None or self.upper is not None else found
             for y in similar[~answered[similar]].tolist():
                 if answered[y]:
                     continue
@@ -238,48 +246,61 @@ class Bundle:
 
 
 def _tasks(members: DataFrame) -> DataFrame:
-    """Give each member (key, bundle, n, …) its tasks: ``task`` and ``side`` (null: all pairs of the task count)."""
+    """Give each member (key, bundle, n, …) its tasks.
+
+    A large bundle is cut into size classes; a pool holds one class and the next, as links reach no
+    farther. Pairs ``upper`` on both sides belong to the next pool. Pools that are still too
+    large are cut by hash into blocks; ``side`` tells the two blocks of a task apart (null: one block).
+    """
     cost = F.col("n") + SET_COST
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(PER / NUMBER)).cast("int")
     sums = members.groupBy("bundle", size_class.alias("s")).agg(F.sum(cost).alias("c"))
-    blocks = sums.groupBy("bundle").agg(
-        F.sum("c").alias("total"), F.map_from_entries(F.collect_list(F.struct("s", F.ceil(F.col("c") / TASK).cast("int").alias("nb")))).alias("blocks")
-    )  # one entry per size class
-    rows = members.withColumn("s", size_class).join(blocks.withColumnRenamed("bundle", "_b"), F.col("bundle") == F.col("_b"))
-    at = F.struct(F.col("s").alias("s"), F.pmod(F.xxhash64("key"), F.col("blocks")[F.col("s")]).cast("int").alias("i"))
-    near = F.filter(F.transform(F.array(F.col("s") - 1, F.col("s"), F.col("s") + 1), lambda s: F.struct(s.alias("s"), F.col("blocks")[s].alias("nb"))), lambda x: x["nb"].isNotNull())
-    others = F.flatten(F.transform(near, lambda x: F.transform(F.sequence(F.lit(0), x["nb"] - 1), lambda i: F.struct(x["s"].alias("s"), i.alias("i")))))
-    rows = rows.withColumn("at", at).withColumn("other", F.explode(F.when(F.col("total") > TASK, others).otherwise(F.array(F.col("at")))))
-    small = F.col("total") <= TASK
-    task = F.when(small, F.xxhash64("bundle")).otherwise(F.xxhash64("bundle", F.least("at", "other"), F.greatest("at", "other")))
-    side = F.when(~small & (F.col("at") != F.col("other")), F.when(F.col("at") < F.col("other"), 0).otherwise(1))
-    return rows.select("key", "rep", "mult", task.alias("task"), side.alias("side"))
-
-
-def _solve(sets: DataFrame) -> DataFrame:
-    """(key, links, root) per task of (task, key, mult, side, members)."""
+    costs = sums.groupBy("bundle").agg(F.sum("c").alias("total"), F.map_from_entries(F.collect_list(F.struct("s", "c"))).alias("costs"))  # one entry per size class
+    rows = members.withColumn("s", size_class).join(costs.withColumnRenamed("bundle", "_b"), F.col("bundle") == F.col("_b"))
+    of = lambda s: F.coalesce(F.col("costs")[s], F.lit(0))
+    pool = lambda s, upper: F.struct(s.alias("s"), F.lit(upper).alias("upper"), F.ceil((of(s) + of(s + 1)) / TASK).cast("int").alias("blocks"))
+    whole = F.array(F.struct(F.lit(-1).alias("s"), F.lit(False).alias("upper"), F.lit(1).alias("blocks")))
+    below = F.when(of(F.col("s") - 1) > 0, F.array(pool(F.col("s"), False), pool(F.col("s") - 1, True))).otherwise(F.array(pool(F.col("s"), False)))
+    rows = rows.withColumn("pool", F.explode(F.when(F.col("total") <= TASK, whole).otherwise(below)))
+    rows = rows.withColumn("i", F.pmod(F.xxhash64("key"), F.col("pool.blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("pool.blocks") - 1)))
+    task = F.xxhash64("bundle", "pool.s", F.least("i", "j"), F.greatest("i", "j"))
+    side = F.when(F.col("i") != F.col("j"), (F.col("i") > F.col("j")).cast("int"))
+    return rows.select("key", "rep", "mult", task.alias("task"), side.alias("side"), "pool.upper")
+
+
+def _sets(rows: DataFrame, tasks: DataFrame) -> DataFrame:
+    """The representatives' compressed texts, sent to their tasks: smaller than the sets they are made into there."""
+    wanted = tasks.withColumns({"d": F.col("rep.doc_id"), "kk": F.col("rep.k")}).drop("rep")
+    found = packed(rows).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk")))
+    return found.select("task", "side", "upper", "key", "mult", "packed")
+
+
+def _solve(sets: DataFrame, size: int) -> DataFrame:
+    """(key, links, root) per task."""
     parts = sets.repartition("task").sortWithinPartitions("task")
     schema = pa.schema([("key", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+    table = WordHashes()
 
     def solved(rows: dict):
-        keys = np.array(list(rows), np.int64)
-        mult, side = np.array([r[0] for r in rows.values()]), [r[1] for r in rows.values()]
-        if len(keys) < 2:
+        if len(rows) < 2:
             return
-        bundle = Bundle([np.frombuffer(r[2], np.uint64) for r in rows.values()], mult, None if side[0] is None else np.array(side))
-        links, label = bundle.solve()
+        keys = np.array(list(rows), np.int64)
+        mult, side, upper, sets = zip(*rows.values())
+        links, label = Bundle(list(sets), np.array(mult), None if side[0] is None else np.array(side), np.array(upper)).solve()
         some = links > 0
         if some.any():
             yield keys[some], links[some], keys[label[some]]
 
     def run(batches):
-        task, rows, out, waiting = None, {}, [], 0
+        task, rows, out = None, {}, []
         for batch in batches:
-            for t, key, mult, side, members in zip(*(batch.column(c).to_pylist() for c in ("task", "key", "mult", "side", "members"))):
+            for t, key, mult, side, upper, blob in zip(*(batch.column(c).to_pylist() for c in ("task", "key", "mult", "side", "upper", "packed"))):
                 if t != task:
                     out += solved(rows)
                     task, rows = t, {}
-                rows[key] = (mult, side, members)
+                found = ngram_set(unpacked(blob), table, size)
+                if set_key(found) == key:  # not another text with the same id
+                    rows[key] = (mult, side, upper, found)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], schema=schema)
                 out = []
@@ -302,8 +323,7 @@ def join(documents: DataFrame, id_column: str = "doc_id", text: str = "text", si
     bundles = components(_edges(rows, size, _common(facts)))
     members = classes.join(bundles.select(F.col("node").alias("key"), F.col("root").alias("bundle")), "key")
     tasks = write_and_read(_tasks(members), "jaccard-tasks")
-    sets = _sets(rows, tasks, size)
-    found = write_and_read(_solve(sets), "jaccard-links")
+    found = write_and_read(_solve(_sets(rows, tasks), size), "jaccard-links")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(found, "key", "root").select(F.col("node").alias("key"), "root")
     placed = classes.join(links, "key", "left").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -314,23 +334,6 @@ def join(documents: DataFrame, id_column: str = "doc_id", text: str = "text", si
     return Join(own, write_and_read(done, "jaccard-done"))
 
 
-def _sets(rows: DataFrame, tasks: DataFrame, size: int) -> DataFrame:
-    """Read the representatives' texts again and send each set to its tasks."""
-    table = WordHashes()
-    wanted = tasks.groupBy("rep.doc_id", "rep.k", "key", "mult").agg(F.collect_list(F.struct("task", "side")).alias("to")).withColumnsRenamed({"doc_id": "d", "k": "kk"})
-    found = packed(rows).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).select("key", "mult", "to", "packed")
-
-    def run(batch: pa.RecordBatch):
-        sets = [ngram_set(unpacked(b), table, size) for b in batch.column("packed").to_pylist()]
-        right = [set_key(s) == key for s, key in zip(sets, batch.column("key").to_pylist())]
-        schema = pa.schema([batch.schema.field(c) for c in ("key", "mult", "to")] + [("members", pa.binary())])
-        out = arrow_rows(schema, members=[s.tobytes() for s in sets], **{c: batch.column(c) for c in ("key", "mult", "to")})
-        yield out.filter(pa.array(right))
-
-    made = map_texts(found, run, "key long, mult long, to array<struct<task:long,side:int>>, members binary")
-    return made.select("key", "mult", "members", F.explode("to").alias("to")).select("to.task", "to.side", "key", "mult", "members")
-
-
 def linked_documents(result: Join) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links, one row per document."""
     classes = result.classes.select(F.col("key").alias("c"), "n_links", "component_id")

@@ -89,7 +89,7 @@ def facts(rows: DataFrame) -> DataFrame:
 
 
 def piece_rows(rows: DataFrame, window: int) -> DataFrame:
-    """Chosen pieces: hash g, hashes l and r of their extensions, place; ``settled``: known to repeat on both sides."""
+    """Chosen pieces: hash g, hashes of their extensions in lr, place; the last bit of lr: known to repeat on both sides."""
     short, half = levels(window)
     table = WordHashes()
 
@@ -114,17 +114,20 @@ def piece_rows(rows: DataFrame, window: int) -> DataFrame:
             row_, at_, g_, l_, r_ = (np.concatenate(x) for x in (row, at, g, l, r))
             known = witnesses(g_, l_, r_)
             spread = np.where(known, mix(g_ + mix(at_.astype(np.uint64) + (row_.astype(np.uint64) << np.uint64(32)))), g_)
-            schema = pa.schema([batch.schema.field("doc_id"), ("kp", pa.int64()), ("g", pa.int64()), ("l", pa.int64()), ("r", pa.int64()), ("settled", pa.bool_())])
+            schema = pa.schema([batch.schema.field("doc_id"), ("kp", pa.int64()), ("g", pa.int64()), ("lr", pa.int64())])
             kp = ks.to_numpy()[row_].astype(np.int64) << 32 | at_
-            yield arrow_rows(schema, doc_id=ids.take(pa.array(row_)), kp=kp, g=signed(spread), l=signed(l_), r=signed(r_), settled=known)
+            # 32 and 31 bits of the extensions' hashes: they only tell rows of one g apart
+            lr = (l_ >> np.uint64(32) << np.uint64(32)) | (r_ >> np.uint64(33) << np.uint64(1)) | known.astype(np.uint64)
+            yield arrow_rows(schema, doc_id=ids.take(pa.array(row_)), kp=kp, g=signed(spread), lr=signed(lr))
 
-    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, kp long, g long, l long, r long, settled boolean")
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, kp long, g long, lr long")
 
 
 def candidates(pieces: DataFrame) -> DataFrame:
     """doc_id, k, marks: places of pieces that repeat, times four, plus 1 and 2 for a repeating extension to the left and right."""
-    same = lambda *c: F.count("*").over(Window.partitionBy(*c)) > 1  # noqa: E731  all three need one shuffle, by g
-    flagged = pieces.select("doc_id", "kp", "settled", same("g").alias("again"), same("g", "l").alias("left"), same("g", "r").alias("right"))
+    same = lambda *c: F.count("*").over(Window.partitionBy(*c)) > 1  # noqa: E731  one shuffle, by g, is enough for both
+    parts = pieces.select("doc_id", "kp", "g", F.shiftright("lr", 32).alias("l"), F.col("lr").bitwiseAND(F.lit(0xFFFFFFFE)).alias("r"), (F.col("lr") % 2 != 0).alias("settled"))
+    flagged = parts.select("doc_id", "kp", "settled", same("g", "l").alias("left"), same("g", "r").alias("right"))
     left, right = (F.col("settled") | F.col(c) for c in ("left", "right"))
     mark = F.col("kp").bitwiseAND(F.lit(0xFFFFFFFF)) * 4 + F.when(left, 1).otherwise(0) + F.when(right, 2).otherwise(0)
     k = F.shiftright("kp", 32).cast("int")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import random
 import time
 
 from pyspark.sql import functions as F
@@ -67,14 +66,16 @@ def run(spark, key: str) -> float:
     return timed(lambda: QUERIES[key](spark, SF_DIR))
 
 
-def random_segment(rng: random.Random, tags: int, leaves: int):
-    """Ten distinct tags joined at random: half AND, three tenths OR, the rest AND NOT."""
-    pool = [tag(n) for n in rng.sample(range(1, tags + 1), leaves)]
-    while len(pool) > 1:
-        left, at = pool.pop(rng.randrange(len(pool))), rng.randrange(len(pool) - 1 or 1)
-        op = rng.choices(["and", "or", "and_not"], [5, 3, 2])[0]
-        pool[at] = Segment(op, left, pool[at])
-    return pool[0]
+def segment_of(number: int, tags: int, leaves: int) -> Segment:
+    """Expression number ``number``: every seventh tag from it on, halves joined by turns of AND, OR and AND NOT."""
+
+    def build(first: int, count: int) -> Segment:
+        if count == 1:
+            return tag((number + 7 * first) % tags + 1)
+        half = count // 2
+        return Segment(("or", "and", "and_not")[(number + count) % 3], build(first, half), build(first + half, count - half))
+
+    return build(0, leaves)
 
 
 def segmentation(spark) -> dict[str, float]:
@@ -83,8 +84,7 @@ def segmentation(spark) -> dict[str, float]:
     actors = Tables(spark, SF_DIR).orders.select(F.explode(spread).alias("actor_id"))
     gold = write_and_read(generate.membership(actors.repartitionByRange(8, "actor_id"), "actor_id", tags=50), "bench-gold")
     tags = write_and_read(segments.tag_bitmaps(gold), "bench-tags")
-    rng = random.Random(42)
-    wanted = {i: random_segment(rng, 50, 10) for i in range(1, 301)}
+    wanted = {i: segment_of(i, 50, 10) for i in range(1, 301)}
     found = write_and_read(segments.evaluate(tags, wanted), "bench-segments")
     probes = spark.range(2000).select((F.col("id") % 300 + 1).cast("int").alias("segment_id"), (F.col("id") * 1499).alias("actor_id"))
     cursors = probes.select("segment_id", F.col("actor_id").alias("cursor"))

@@ -96,3 +96,16 @@ def test_positions_of_every_occurrence(spark):
     docs = spark.createDataFrame([(7, "b a b"), (8, ""), (9, "Ünder a")], "id int, text string")
     got = {(r["id"], r["term"]): r["positions"] for r in search.postings(docs, "text", "id").collect()}
     assert got == {(7, "b"): [1, 3], (7, "a"): [2], (9, "ünder"): [1], (9, "a"): [2]}
+
+
+def test_null_type_and_time_fail_the_gate(spark):
+    rows = spark.createDataFrame([(1, 7, None, None)], "event_id bigint, user_id bigint, event_type string, event_ts timestamp_ntz")
+    found = {r["check"]: r["violations"] for r in quality.event_gate(rows, ["view"], "2020-01-01", "2030-01-01").collect()}
+    assert found == {"unique_event_id": 0, "user_present": 0, "known_type": 1, "time_in_range": 1}
+
+
+def test_search_folds_vietnamese_and_splits_like_texts(spark):
+    frame = spark.createDataFrame([("Điện thoại foo_bar",)], "t string")
+    folded = search.normal(search.unaccent(frame.t))
+    row = frame.select(search.matches(folded, "dien thoai").alias("a"), search.matches(search.normal(frame.t), "foo_bar").alias("b")).first()
+    assert row["a"] and row["b"]

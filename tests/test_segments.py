@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import roaring
 from tributary.operators import bitmaps, segments
-from tributary.operators.segments import tag
+from tributary.operators.segments import Segment, tag
 
 
 def random_segment(rng, tags, leaves):
@@ -46,15 +46,27 @@ def test_random_trees_equal_set_algebra_on_every_path(world):
     assert as_sets(segments.evaluate_rows(df, trees)) == expected
 
 
-def test_column_path_equals_block_path(world):
+def test_few_segments_equal_many(world):
     df, trees, expected = world
     few = {i: trees[i] for i in (3, 17, 41)}
-    assert segments._fits_columns(few) and not segments._fits_columns(trees)
     expected = {i: expected[i] for i in few if expected[i]}
     assert as_sets(bitmaps.members(segments.evaluate(segments.tag_bitmaps(df), few), ["segment_id"])) == expected
     assert as_sets(bitmaps.members(segments.evaluate_members(df, few), ["segment_id"])) == expected
 
 
+def test_words_that_are_not_merged_give_the_same_answers(spark):
+    words = spark.createDataFrame([(1, 0, 1), (1, 0, 2), (1, 0, 2), (2, 0, 4)], "tag_id int, word_no bigint, bits bigint")
+    for n in (1, 100):
+        found = segments.evaluate(words, {i: Segment("or", tag(1), tag(2)) for i in range(n)}).collect()
+        assert sorted(r["segment_id"] for r in found) == list(range(n)) and {r["bits"] for r in found} == {7}
+    assert {r["tag_id"]: r["members"] for r in bitmaps.cardinality(words, ["tag_id"]).collect()} == {1: 2, 2: 1}
+    probes = spark.createDataFrame([(1, 1)], "tag_id int, actor_id bigint")
+    assert [r["found"] for r in bitmaps.contains(words, probes, ["tag_id"], "actor_id").collect()] == [True]
+    assert sorted((r["tag_id"], r["actor_id"]) for r in bitmaps.members(words, ["tag_id"]).collect()) == [(1, 0), (1, 1), (2, 2)]
+    requests = spark.createDataFrame([(1, 0)], "tag_id int, cursor bigint")
+    assert sorted(r["actor_id"] for r in bitmaps.pages(words, requests, ["tag_id"], 5).collect()) == [0, 1]
+
+
 def test_each_tag_is_used_once():
     tree = random_segment(random.Random(1), 15, 10)
     assert len(tree.tags()) == len(set(tree.tags())) == 10

@@ -37,14 +37,15 @@ def bitmap_union(words: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def cardinality(words: DataFrame, keys: list[str], name: str = "members") -> DataFrame:
-    return words.groupBy(*keys).agg(F.sum(F.bit_count("bits")).cast("bigint").alias(name))
+    """Words need not be merged; that is done here."""
+    return bitmap_union(words, keys).groupBy(*keys).agg(F.sum(F.bit_count("bits")).cast("bigint").alias(name))
 
 
 def members(words: DataFrame, keys: list[str], name: str = "actor_id") -> DataFrame:
     """All ids, one row each."""
     positions = F.array(*[F.lit(i) for i in range(64)])
     return (
-        words.select(*keys, "word_no", "bits", F.explode(positions).alias("_pos"))
+        bitmap_union(words, keys).select(*keys, "word_no", "bits", F.explode(positions).alias("_pos"))
         .filter(F.getbit("bits", F.col("_pos")) == 1)
         .select(*keys, (F.col("word_no") * 64 + F.col("_pos")).alias(name))
     )
@@ -58,7 +59,7 @@ def contains(words: DataFrame, probes: DataFrame, keys: list[str], member: str)
     """
     asked = probes.select(*keys, member).distinct().withColumn("word_no", word_no(F.col(member).cast("bigint")))
     hit = F.getbit("bits", F.col(member).bitwiseAND(F.lit(63)).cast("int")) == 1
-    hits = words.join(asked, [*keys, "word_no"]).filter(hit).select(*keys, member, F.lit(True).alias("found"))
+    hits = words.join(asked, [*keys, "word_no"]).filter(hit).select(*keys, member, F.lit(True).alias("found")).distinct()
     return probes.join(hits, [*keys, member], "left").select(*probes.columns, F.coalesce("found", F.lit(False)).alias("found"))
 
 
@@ -75,6 +76,7 @@ def pages(words: DataFrame, requests: DataFrame, keys: list[str], size: int = 10
     Block counts tell which blocks hold the page: the cursor's own and those that follow
     until ``size`` members are certain. Only their words are joined to the request.
     """
+    words = bitmap_union(words, keys)
     request = Window.partitionBy(*keys, "cursor")
     wanted = requests.select(*keys, "cursor").distinct()
     start = F.shiftright("cursor", 6 + BLOCK_BITS)
@@ -97,6 +99,6 @@ def pages(words: DataFrame, requests: DataFrame, keys: list[str], size: int = 10
         .withColumn("bits", kept)
         .filter(F.col("bits") != 0)
     )
-    ids = members(near, [*keys, "cursor"], name)
+    ids = members(near, [*keys, "cursor"], name)  # one row per word already
     ranked = ids.withColumn("_r", F.row_number().over(request.orderBy(name)))
     return ranked.filter(F.col("_r") <= size).drop("_r")

@@ -79,8 +79,8 @@ def event_gate(events: DataFrame, types: list[str], start: str, end: str) -> Dat
     per_id = events.groupBy("event_id").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("user_id").isNull()).alias("no_user"),
-        F.count_if(~F.col("event_type").isin(types)).alias("bad_type"),
-        F.count_if(~F.col("event_ts").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))).alias("bad_time"),
+        F.count_if(~F.coalesce(F.col("event_type").isin(types), F.lit(False))).alias("bad_type"),
+        F.count_if(~F.coalesce(F.col("event_ts").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")), F.lit(False))).alias("bad_time"),
     )
     totals = per_id.agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("unique_event_id"),

@@ -7,6 +7,7 @@ inverted index is an ordinary table ``(term, doc_id, weight, positions)``.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 from operator import and_, or_
@@ -27,9 +28,14 @@ STOPWORDS = (
     "she so such that the their then there these they this to was we were will with you"
 ).split()
 
-# Accented letters and what they match without accents.
-ACCENTED = "àáâäãåçèéêëìíîïñòóôöõùúûüýÿđ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyd"
+def _without_accent(letter: str) -> str:
+    """The plain letter under any number of accents; the strokes of đ and ø are no accents in Unicode."""
+    return {"đ": "d", "ø": "o"}.get(letter) or unicodedata.normalize("NFD", letter)[0]
+
+
+#: Lower-case Latin letters with accents, Vietnamese ones among them, and what they match without.
+ACCENTED = "".join(c for c in map(chr, [*range(0xE0, 0x250), *range(0x1E00, 0x1F00)]) if c == c.lower() and _without_accent(c) != c and _without_accent(c).isascii())
+PLAIN = "".join(map(_without_accent, ACCENTED))
 
 
 def tokens(text: Column) -> Column:
@@ -131,7 +137,7 @@ def matches(text: Column, search: str) -> Column:
         if word == "or" and not minus:
             alternatives.append([])
             continue
-        words = re.findall(r"\w+", phrase or word)
+        words = re.findall(r"[^\W_]+", phrase or word)
         if words:
             found = has_phrase(text, words)
             alternatives[-1].append(~found if minus else found)

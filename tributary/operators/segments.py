@@ -12,12 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.operators import bitmaps
 
-# Up to this many leaves in all, expressions are columns of one generated function; larger sets
-# of segments would outgrow it and are computed block by block on word arrays instead.
-MAX_COLUMN_LEAVES = 64
-BLOCK_BITS = 9  # words per block: 512
-
-
 @dataclass(frozen=True)
 class Segment:
     """``tag``, or two segments joined by ``and``, ``or`` or ``and_not``."""
@@ -80,64 +74,41 @@ def _needed(segments: dict[int, Segment]) -> list[int]:
     return sorted({t for s in segments.values() for t in s.tags()})
 
 
-def _explode_segments(per_word: DataFrame, segments: dict[int, Segment], leaf: Callable[[int], Column]) -> DataFrame:
-    results = F.array(
-        *[F.struct(F.lit(i).alias("segment_id"), s.fold(leaf, WORDS).alias("bits")) for i, s in segments.items()]
-    )
-    return per_word.select("word_no", F.explode(results).alias("s")).select("s.segment_id", "word_no", "s.bits").filter(F.col("bits") != 0)
-
-
-def _fits_columns(segments: dict[int, Segment]) -> bool:
-    return sum(len(s.tags()) for s in segments.values()) <= MAX_COLUMN_LEAVES
-
-
 def evaluate(tag_words: DataFrame, segments: dict[int, Segment]) -> DataFrame:
     """All segments in one job: (segment_id, word_no, bits), empty words left out.
 
-    Each tag is read once for all expressions; words of a missing tag count as 0.
+    Each tag is read once for all expressions; words that are not merged yet are joined by OR,
+    words of a missing tag count as 0.
     """
+    return _evaluate(tag_words.select("tag_id", "word_no", "bits"), segments)
+
+
+def _evaluate(words: DataFrame, segments: dict[int, Segment]) -> DataFrame:
+    """One row per word with a column per tag (a partial aggregate and one shuffle), then every
+    expression on whole Arrow batches of these columns, whatever the number of segments."""
     tags = _needed(segments)
-    wanted = tag_words.filter(F.col("tag_id").isin(tags))
-    if not _fits_columns(segments):
-        return _evaluate_blocks(wanted, segments, tags)
-    columns = [F.coalesce(F.bit_or(F.when(F.col("tag_id") == t, F.col("bits"))), F.lit(0).cast("bigint")).alias(f"t{t}") for t in tags]
-    return _explode_segments(wanted.groupBy("word_no").agg(*columns), segments, lambda t: F.col(f"t{t}"))
-
-
-def _evaluate_blocks(tag_words: DataFrame, segments: dict[int, Segment], tags: list[int]) -> DataFrame:
-    """Hundreds of segments: one group per block of 512 words, which holds at most 512 rows
-    per tag; every expression is a few bitwise operations on arrays of that length."""
-    size = 1 << BLOCK_BITS
-    tag_ids = np.array(tags)
-
-    def compute(table: pa.Table) -> pa.Table:
-        word = table.column("word_no").to_numpy()
-        first = word[0] & ~(size - 1)
-        dense = np.zeros((len(tag_ids), size), dtype=np.int64)
-        dense[np.searchsorted(tag_ids, table.column("tag_id").to_numpy()), word - first] = table.column("bits").to_numpy()
-        rows = dict(zip(tags, dense))
-        results = np.stack([s.fold(rows.__getitem__, ARRAYS) for s in segments.values()])
-        which, at = np.nonzero(results)
-        ids = np.fromiter(segments, dtype=np.int32)
-        return pa.table({"segment_id": ids[which], "word_no": first + at.astype(np.int64), "bits": results[which, at]})
-
-    block = F.shiftright("word_no", BLOCK_BITS).alias("block")
-    unique = tag_words.select("tag_id", "word_no", "bits", block)
-    return unique.groupBy("block").applyInArrow(compute, "segment_id int, word_no bigint, bits bigint")
+    zero = F.lit(0).cast("bigint")
+    columns = [F.coalesce(F.bit_or(F.when(F.col("tag_id") == t, F.col("bits"))), zero).alias(f"t{t}") for t in tags]
+    per_word = words.filter(F.col("tag_id").isin(tags)).groupBy("word_no").agg(*columns)
+    ids = np.fromiter(segments, dtype=np.int32)
+    schema = pa.schema([("segment_id", pa.int32()), ("word_no", pa.int64()), ("bits", pa.int64())])
+
+    def compute(batches):
+        for batch in batches:
+            rows = {t: batch.column(f"t{t}").to_numpy() for t in tags}
+            results = np.stack([s.fold(rows.__getitem__, ARRAYS) for s in segments.values()])
+            which, at = np.nonzero(results)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(batch.column("word_no").to_numpy()[at]), pa.array(results[which, at])], schema=schema)
+
+    return per_word.mapInArrow(compute, "segment_id int, word_no bigint, bits bigint")
 
 
 def evaluate_members(membership: DataFrame, segments: dict[int, Segment]) -> DataFrame:
     """Membership rows → segment words with a single shuffle on word_no: the tag words
     are only a partial aggregate here and are never exchanged on their own."""
-    if not _fits_columns(segments):
-        return evaluate(tag_bitmaps(membership), segments)
-    tags = _needed(segments)
-    rows = active(membership).filter(F.col("tag_id").isin(tags)).withColumn("_id", bitmaps.checked_id(F.col("actor_id").cast("bigint")))
-    zero = F.lit(0).cast("bigint")
-    one = bitmaps.bit(F.col("_id"))
-    columns = [F.coalesce(F.bit_or(F.when(F.col("tag_id") == t, one)), zero).alias(f"t{t}") for t in tags]
-    per_word = rows.groupBy(bitmaps.word_no(F.col("_id")).alias("word_no")).agg(*columns)
-    return _explode_segments(per_word, segments, lambda t: F.col(f"t{t}"))
+    member = bitmaps.checked_id(F.col("actor_id").cast("bigint"))
+    rows = active(membership).withColumn("_id", member)
+    return _evaluate(rows.select("tag_id", bitmaps.word_no(F.col("_id")).alias("word_no"), bitmaps.bit(F.col("_id")).alias("bits")), segments)
 
 
 def evaluate_rows(membership: DataFrame, segments: dict[int, Segment]) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from tributary.operators import generate
@@ -58,7 +60,9 @@ def corrupt_rows(t: Tables) -> DataFrame:
     try:
         scans.read_json(t.spark, path, scans.EVENTS_RAW, "FAILFAST").agg(F.max("event_id")).collect()
         failed = 0
-    except Exception:  # the reader raises from inside a task
+    except (PySparkException, Py4JJavaError) as error:
+        if not any(x in str(error) for x in ("FAILED_READ_FILE", "MALFORMED_RECORD_IN_PARSING")):
+            raise
         failed = 1
     stopped = t.events.agg(F.lit("FAILFAST").alias("mode"), F.lit(0).cast("bigint").alias("n"), F.lit(failed).cast("bigint").alias("corrupt"))
     return union_all([kept, dropped, stopped])

@@ -232,12 +232,12 @@ def keyset_page(t: Tables) -> DataFrame:
     with_(
         "shop_orders",
         """SELECT order_id, status, CAST(list_position(['O', 'P', 'F'], status) AS BIGINT) AS place FROM shop_orders
-        ORDER BY list_position(['O', 'P', 'F'], status) DESC, order_id LIMIT 50""",
+        ORDER BY list_position(['O', 'P', 'F'], status) DESC, order_id""",
     ),
 )
 def enum_order(t: Tables) -> DataFrame:
     place = F.array_position(F.array(*map(F.lit, ORDER_STATUS)), F.col("status"))
-    return t.shop_orders.select("order_id", "status", place.alias("place")).orderBy(F.desc("place"), "order_id").limit(50)
+    return t.shop_orders.select("order_id", "status", place.alias("place")).orderBy(F.desc("place"), "order_id")
 
 
 # --- set operations ----------------------------------------------------------------------------

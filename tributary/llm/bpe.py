@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 
 import ahocorasick
@@ -26,12 +27,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tributary.llm.common import Cache, arrow_rows, map_texts
+from tributary.llm.common import Cache, arrow_rows, kept, map_texts
 
 END = "\x00"  # stands for the end-of-word suffix; no byte is shown by this character
 NEVER = 1 << 60  # rank of a merge that does not exist
-CACHED_PIECES = 150_000  # twice as many pieces between white space, and words, a Python worker keeps at most
-CACHED_PAIRS = 500_000
+CACHED_PIECES = 100_000  # twice as many pieces between white space, and words, a Python worker keeps at most
+CACHED_PAIRS = 250_000
 
 # The word pattern of the vocabulary's pre-tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -168,21 +169,22 @@ class Encoder:
 
     def encode_piece(self, piece: str) -> bytes:
         """Ids of a text without white space, as little-endian 32-bit integers."""
-        ids: list[int] = []
+        ids: list[bytes] = []
         for part in self.split.split(piece) if self.split else [piece]:
             if part in self.special:
-                ids.append(self.special[part])
+                ids.append(self.special[part].to_bytes(4, "little"))
                 continue
             # one letter at a time: no rule for a sigma at a word's end
             lower = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
             for word in self.words.findall(lower):
                 found = self.seen.get(word)
                 if found is None:
-                    found = self.encode_word("".join([self.letters[b] for b in word.encode()]) + END)
+                    tokens = self.encode_word("".join([self.letters[b] for b in word.encode()]) + END)
+                    found = struct.pack(f"<{len(tokens)}I", *tokens)
                     if len(word) <= 64:
                         self.seen.put(word, found)
-                ids += found
-        return np.array(ids, "<u4").tobytes()
+                ids.append(found)
+        return b"".join(ids)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -211,15 +213,9 @@ class Encoder:
         return self.bytes[where[:-1]].tobytes()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(file_text: str) -> Encoder:
     """One per Python worker and vocabulary."""
-    key = hashlib.sha256(file_text.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(file_text)
-    return _ENCODERS[key]
+    return kept(("encoder", hashlib.sha256(file_text.encode()).hexdigest()), lambda: Encoder(file_text))
 
 
 def read_vocabulary(path: str) -> str:

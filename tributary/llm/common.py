@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-CACHED_WORDS = 300_000  # word hashes kept by one Python worker; only memory depends on it
+CACHED_WORDS = 150_000  # word hashes kept by one Python worker; only memory depends on it
 TEXTS_PER_BATCH = 1000
 
 
@@ -49,6 +49,17 @@ class Cache:
         return value
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """What a Python worker keeps from one task to the next: the last thing made, so operators that follow one another do not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 class WordHashes(dict):
     """64-bit hash of each word, computed once while it stays cached."""
 

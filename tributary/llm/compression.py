@@ -24,7 +24,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.llm.common import arrow_rows, fit_logistic, labelled_sample, map_texts, sigmoid
+from tributary.llm.common import arrow_rows, fit_logistic, kept, labelled_sample, map_texts, sigmoid
+from tributary.storage import write_and_read
 
 PER_CLASS = 4000  # labelled documents per class that are learned from, half for the dictionaries, half for the curve
 BLOCKS = 4000  # blocks of text per dictionary
@@ -63,16 +64,14 @@ def features(text: str | None, good, bad) -> list[float]:
     return [(by_bad - by_good) / max(by_good, by_bad), least, by_good / size, by_bad / size, float(np.log(size))]
 
 
-_COMPRESSORS: dict[bytes, object] = {}
+def compressors(*dictionaries: bytes) -> list:
+    """One per dictionary, made once by a Python worker."""
 
+    def make():
+        options = {"level": 3, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), **options) for d in dictionaries]
 
-def compressor(dictionary: bytes):
-    """One per Python worker and dictionary."""
-    key = hashlib.sha256(dictionary).digest()
-    if key not in _COMPRESSORS:
-        data = zstandard.ZstdCompressionDict(dictionary)
-        _COMPRESSORS[key] = zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return _COMPRESSORS[key]
+    return kept(("compressors", hashlib.sha256(b"".join(dictionaries)).digest()), make)
 
 
 def _block_sample(sample: DataFrame, label: int) -> list[bytes]:
@@ -88,8 +87,6 @@ def _block_sample(sample: DataFrame, label: int) -> list[bytes]:
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality", skip: Column | None = None, id_column: str = "doc_id", text: str = "text", per_class: int = PER_CLASS) -> Model:
     """``skip``: condition on the labels' id; those rows are never learned from."""
-    from tributary.storage import write_and_read
-
     sample = write_and_read(labelled_sample(documents, labels, label, per_class, F.lit(False) if skip is None else skip, id_column, text), "quality-sample")
     counts = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
@@ -118,7 +115,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", skip:
 
 def scored_features(rows: DataFrame, dictionaries: list[bytes], *keep: str) -> DataFrame:
     def run(batch: pa.RecordBatch):
-        good, bad = map(compressor, dictionaries)
+        good, bad = compressors(*dictionaries)
         found = [features(t, good, bad) for t in batch.column("text").to_pylist()]
         fields = [batch.schema.field(k) for k in keep]
         yield arrow_rows(pa.schema([*fields, ("features", pa.list_(pa.float64()))]), features=found, **{k: batch.column(k) for k in keep})
@@ -136,7 +133,7 @@ def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: s
         texts = batch.column("text").to_pylist()
         found = np.zeros((len(texts), 5))
         if own.good:
-            good, bad = compressor(own.good), compressor(own.bad)
+            good, bad = compressors(own.good, own.bad)
             found = np.array([features(t, good, bad) for t in texts])
         out = own.score(found)
         schema = pa.schema([batch.schema.field("doc_id"), ("score", pa.float64()), ("predicted", pa.int32())])

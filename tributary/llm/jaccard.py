@@ -177,14 +177,14 @@ class Bundle:
         self.side = None if side is None else side[order]
         self.upper = None if upper is None or not upper.any() else upper[order]
         count = len(sets)
-        flat = np.concatenate([sets[i] for i in order])
-        owner = np.repeat(np.arange(count), self.n)
-        names, ids = np.unique(flat, return_inverse=True)
+        ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1]
+        owner = np.repeat(np.arange(count, dtype=np.int32), self.n)
         shared = np.bincount(ids)[ids] > 1  # an n-gram of one set overlaps with nothing
         ids, owner = ids[shared], owner[shared]
         self.bounds = np.searchsorted(owner, np.arange(count + 1))
         self.ids = ids
-        self.lists = np.sort(ids * count + owner)
+        self.lists = ids * count + owner
+        self.lists.sort()
         self.count = count
 
     def grams_of(self, x: int) -> np.ndarray:

@@ -26,19 +26,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.llm.common import Cache, arrow_rows, fit_logistic, labelled_sample, map_texts, sigmoid
+from tributary.llm.common import Cache, arrow_rows, fit_logistic, kept, labelled_sample, map_texts, sigmoid
 from tributary.storage import write_and_read
 
 PER_CLASS = 3000  # labelled documents per class that are learned from
 SEQUENCES = 3000  # training sequences with, and as many without, a labelled token
 SEQUENCE = 64  # tokens of a training sequence
 START = 5  # letters of a word's start that can be in the lexicon
-EVIDENCE = 30.0  # least log-likelihood ratio of a lexicon entry
+EVIDENCE = 20.0  # least log-likelihood ratio of a lexicon entry
 FEATURES = 1 << 16
 ROUNDS = 80
 BLOCK = 128  # tokens per block of the forward-backward scan
 THRESHOLD = 0.3
-CACHED_TOKENS = 150_000
+CACHED_TOKENS = 75_000  # twice as many emissions a Python worker keeps at most
 EDGE = ".,;:!?\"'()[]{}<>*#$%&|…«»„“”’-_"
 
 
@@ -227,15 +227,9 @@ class Tagger:
         return tokens, size, marginals(np.array(values, float), begins, self.chain)
 
 
-_TAGGERS: dict[int, Tagger] = {}
-
-
 def tagger(key: int, chain: Chain) -> Tagger:
-    """One per Python worker and model; only the last model is kept."""
-    if key not in _TAGGERS:
-        _TAGGERS.clear()
-        _TAGGERS[key] = Tagger(chain)
-    return _TAGGERS[key]
+    """One per Python worker and model."""
+    return kept(("tagger", key), lambda: Tagger(chain))
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", skip: Column | None = None, id_column: str = "doc_id", text: str = "text", per_class: int = PER_CLASS) -> Model:
@@ -287,12 +281,13 @@ def offsets(text: str, tokens: list[str], marked: np.ndarray) -> list[tuple[int,
 
 
 def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """id (or the columns ``keep``) → score, predicted, n_spans and ``spans`` (starts and ends of offending passages)."""
+    """id → score, predicted, starts and ends of offending passages; with ``keep``: those columns, and the others' names begin with _toxic_."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
     key = hash(model.curve)
     rows = documents.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")) if keep is None else documents.select(*keep)
     names, shown = (["doc_id"], "text") if keep is None else (keep, text)
-    added = [("score", pa.float64()), ("predicted", pa.int32()), ("span_starts", pa.list_(pa.int64())), ("span_ends", pa.list_(pa.int64()))]
+    mark = "" if keep is None else "_toxic_"  # cannot clash with the columns kept
+    added = [(mark + "score", pa.float64()), (mark + "predicted", pa.int32()), (mark + "span_starts", pa.list_(pa.int64())), (mark + "span_ends", pa.list_(pa.int64()))]
 
     def run(batch: pa.RecordBatch):
         own, texts = sent.value, batch.column(shown).to_pylist()
@@ -308,9 +303,10 @@ def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: s
                 spans[i] = offsets(texts[i], tokens[i], bad[ends[i] - size[i] : ends[i]])
         schema = pa.schema([batch.schema.field(n) for n in names] + added)
         yield arrow_rows(
-            schema, score=out, predicted=(out >= threshold).astype(np.int32), span_starts=[[a for a, _ in s] for s in spans], span_ends=[[b for _, b in s] for s in spans],
+            schema,
+            **dict(zip([n for n, _ in added], (out, (out >= threshold).astype(np.int32), [[a for a, _ in s] for s in spans], [[b for _, b in s] for s in spans]))),
             **{n: batch.column(n) for n in names},
         )
 
     types = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
-    return map_texts(rows, run, types + ", score double, predicted int, span_starts array<long>, span_ends array<long>")
+    return map_texts(rows, run, types + f", {mark}score double, {mark}predicted int, {mark}span_starts array<long>, {mark}span_ends array<long>")

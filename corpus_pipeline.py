@@ -22,7 +22,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the trained chain scores below the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, skip=held_out("doc_id", 4, 2))
-    return toxicity.score(docs, model, keep=docs.columns).filter("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, model, keep=docs.columns).filter("_toxic_predicted = 0").select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

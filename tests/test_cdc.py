@@ -102,6 +102,34 @@ def test_state_ignores_order_and_redelivery(spark):
     assert [(r["old_status"], r["new_status"]) for r in changes] == [("A", "B"), ("B", "C"), ("C", None)]
 
 
+def parcel(op, lsn, **row):
+    return envelope(op, **{"before" if op == "d" else "after": row}, lsn=lsn)
+
+
+def test_text_keys_and_large_numbers_are_keys(spark):
+    large = "12345678901234567890"
+    log = [parcel("c", 1, id="p-9", status="A"), parcel("u", 2, id="p-9", status="B"), parcel("c", 3, id=int(large), status="C")]
+    log += [parcel("c", 4, id="p-4", status="D"), parcel("d", 5, id="p-4"), parcel("c", 6, id=None), parcel("c", 7, place="x")]
+    bronze = cdc.to_bronze(cdc.flatten(parse(spark, *log)))
+    state = {r["id"]: json.loads(r["row_json"])["status"] for r in cdc.current_state(bronze).collect()}
+    assert state == {"p-9": "B", large: "C"}
+    assert [r["lsn"] for r in cdc.key_history(bronze, "p-9").collect()] == [2, 1]
+    assert {r["id"] for r in cdc.states_at(bronze, [4]).collect()} == {"p-9", large, "p-4"}
+    assert [tuple(r) for r in cdc.keyless_counts(bronze).collect()] == [("depot.parcels", "c", 2)]
+    changes = cdc.status_changes(cdc.status_events(bronze)).orderBy("lsn").collect()
+    assert [(r["id"], r["old_status"], r["new_status"]) for r in changes] == [("p-9", "A", "B"), ("p-4", "D", None)]
+
+
+def test_keys_of_several_fields(spark):
+    fields = ["hall", "no"]
+    log = [parcel("c", 1, hall="a", no=1, s=1), parcel("c", 2, hall="a", no=2, s=2), parcel("u", 3, hall="a", no=1, s=3), parcel("c", 4, hall="b")]
+    bronze = cdc.to_bronze(cdc.flatten(parse(spark, *log)))
+    state = {r["id"]: r["lsn"] for r in cdc.current_state(bronze, fields).collect()}
+    assert state == {'["a","1"]': 3, '["a","2"]': 2}
+    assert [r["lsn"] for r in cdc.key_history(bronze, ["a", 1], key_fields=fields).collect()] == [3, 1]
+    assert cdc.keyless_counts(bronze, fields).first()["count"] == 1
+
+
 def test_reconcile_reports_every_kind(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, v string")
     b = spark.createDataFrame([(1, "x"), (2, "z"), (4, "w"), (3, None)], "id int, v string")

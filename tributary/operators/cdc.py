@@ -6,6 +6,8 @@ envelope ``{before, after, source{schema, table, lsn}, op, ts_ms}``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.operators.ordered import ordered_scan
@@ -100,13 +102,30 @@ def drop_redelivered(bronze: DataFrame) -> DataFrame:
     return bronze.dropDuplicates(["kafka_topic", "kafka_partition", "kafka_offset"])
 
 
-def keyed(bronze: DataFrame, key_field: str = "id") -> DataFrame:
-    """Rows that name a key (a truncate does not), with the key extracted."""
-    key = F.get_json_object("row_json", f"$.{key_field}").try_cast("bigint")
-    return bronze.withColumn("id", key).filter(F.col("id").isNotNull())
+def row_key(key_fields: str | list[str]) -> Column:
+    """Key of a row image as text: the JSON text of the field, or a JSON list of the texts of
+    several fields. NULL where any of them is missing or null."""
+    names = [key_fields] if isinstance(key_fields, str) else list(key_fields)
+    parts = [F.get_json_object("row_json", f"$['{name}']") for name in names]
+    if len(parts) == 1:
+        return parts[0]
+    return F.when(reduce(Column.__and__, [p.isNotNull() for p in parts]), F.to_json(F.array(*parts)))
+
+
+def keyed(bronze: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
+    """Rows that name a key (a truncate does not), with the key as text in ``id``.
+
+    ``keyless_counts`` counts the others.
+    """
+    return bronze.withColumn("id", row_key(key_fields)).filter(F.col("id").isNotNull())
+
 
+def keyless_counts(bronze: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
+    """Rows without a key, by table and operation: no state or history holds them."""
+    return bronze.filter(row_key(key_fields).isNull()).groupBy("source_table", "op").count()
 
-def latest_events(bronze: DataFrame, key_field: str = "id") -> DataFrame:
+
+def latest_events(bronze: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
     """Newest event per table and key; a partial aggregate, so one hot key is no hot task.
 
     Redelivered copies are identical, so they need no separate pass.
@@ -114,37 +133,40 @@ def latest_events(bronze: DataFrame, key_field: str = "id") -> DataFrame:
     newest = F.max_by(
         F.struct("op", "deleted", "row_json", "source_ts_ms", "lsn", "kafka_offset"), F.struct("lsn", "kafka_offset")
     )
-    return keyed(bronze, key_field).groupBy("source_table", "id").agg(newest.alias("e")).select("source_table", "id", "e.*")
+    return keyed(bronze, key_fields).groupBy("source_table", "id").agg(newest.alias("e")).select("source_table", "id", "e.*")
 
 
-def current_state(bronze: DataFrame, key_field: str = "id") -> DataFrame:
+def current_state(bronze: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
     """Latest event per key first, deleted keys dropped afterwards."""
-    return latest_events(bronze, key_field).filter(~F.col("deleted"))
+    return latest_events(bronze, key_fields).filter(~F.col("deleted"))
 
 
-def as_of_state(bronze: DataFrame, lsn: int | None = None, ts_ms: int | None = None, key_field: str = "id") -> DataFrame:
+def as_of_state(
+    bronze: DataFrame, lsn: int | None = None, ts_ms: int | None = None, key_fields: str | list[str] = "id"
+) -> DataFrame:
     seen = bronze
     if lsn is not None:
         seen = seen.filter(F.col("lsn") <= lsn)
     if ts_ms is not None:
         seen = seen.filter(F.col("source_ts_ms") <= ts_ms)
-    return current_state(seen, key_field)
+    return current_state(seen, key_fields)
 
 
-def states_at(bronze: DataFrame, lsns: list[int], key_field: str = "id") -> DataFrame:
+def states_at(bronze: DataFrame, lsns: list[int], key_fields: str | list[str] = "id") -> DataFrame:
     """The state at several versions at once: one shuffle, one conditional aggregate per version."""
     event = F.struct("deleted", "row_json", "lsn")
     aggs = [F.max_by(event, F.when(F.col("lsn") <= at, F.struct("lsn", "kafka_offset"))).alias(f"_{i}") for i, at in enumerate(lsns)]
-    states = keyed(bronze, key_field).groupBy("source_table", "id").agg(*aggs)
+    states = keyed(bronze, key_fields).groupBy("source_table", "id").agg(*aggs)
     versions = F.array(*[F.struct(F.lit(at).cast("bigint").alias("at"), F.col(f"_{i}").alias("e")) for i, at in enumerate(lsns)])
     rows = states.select("source_table", "id", F.explode(versions).alias("v"))
     return rows.filter(F.col("v.e").isNotNull() & ~F.col("v.e.deleted")).select("v.at", "source_table", "id", "v.e.row_json", "v.e.lsn")
 
 
-def key_history(bronze: DataFrame, key: int, limit: int = 10, key_field: str = "id") -> DataFrame:
-    """Newest changes of one key."""
+def key_history(bronze: DataFrame, key: str | int | list, limit: int = 10, key_fields: str | list[str] = "id") -> DataFrame:
+    """Newest changes of one key, which is a list where the key has several fields."""
+    wanted = F.to_json(F.array(*[F.lit(str(k)) for k in key])) if isinstance(key, list) else F.lit(str(key))
     return (
-        drop_redelivered(keyed(bronze, key_field).filter(F.col("id") == key))
+        drop_redelivered(keyed(bronze, key_fields).filter(F.col("id") == wanted))
         .orderBy(F.desc("lsn"), F.desc("kafka_offset"))
         .limit(limit)
     )
@@ -179,9 +201,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -
     return a.join(b, key, "full").select(key, verdict.alias("verdict"))
 
 
-def status_events(bronze: DataFrame) -> DataFrame:
+def status_events(bronze: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
     """The status each event sets, once per message; NULL after a delete."""
-    return drop_redelivered(keyed(bronze)).select(
+    return drop_redelivered(keyed(bronze, key_fields)).select(
+        "source_table",
         "id",
         "lsn",
         "kafka_offset",
@@ -190,12 +213,12 @@ def status_events(bronze: DataFrame) -> DataFrame:
 
 
 def status_changes(events: DataFrame, slice_width: int = 1_000_000) -> DataFrame:
-    """One row whenever the status of a key differs from its previous event (null-safe).
+    """One row whenever the status of a table's key differs from its previous event (null-safe).
 
     Reads ``events`` several times, so store them if they are costly to compute.
     """
     scanned = ordered_scan(
-        events, ["id"], ["lsn", "kafka_offset"], F.floor(F.col("lsn") / slice_width), row_number="n", lags={"old_status": "status"}
+        events, ["source_table", "id"], ["lsn", "kafka_offset"], F.floor(F.col("lsn") / slice_width), row_number="n", lags={"old_status": "status"}
     )
     changed = (F.col("n") > 1) & ~F.col("old_status").eqNullSafe(F.col("status"))
-    return scanned.filter(changed).select("id", "lsn", "old_status", F.col("status").alias("new_status"))
+    return scanned.filter(changed).select("source_table", "id", "lsn", "old_status", F.col("status").alias("new_status"))

@@ -86,13 +86,37 @@ def current_state(t: Tables) -> DataFrame:
     return rows.select("id", "customer_id", "status", F.col("amount").cast("double").alias("amount"), "lsn")
 
 
+@query(
+    "cdc_10_composite_keys",
+    with_(
+        "bronze_once",
+        """SELECT id, row_json ->> '$.status' AS status, lsn FROM (SELECT row_json, lsn,
+        '["' || (row_json ->> '$.customer_id') || '","' || (row_json ->> '$.id') || '"]' AS id,
+        row_number() OVER (PARTITION BY row_json ->> '$.customer_id', row_json ->> '$.id' ORDER BY lsn DESC, kafka_offset DESC) AS rn
+        FROM bronze_once WHERE row_json ->> '$.customer_id' IS NOT NULL) WHERE rn = 1""",
+    ),
+)
+def composite_keys(t: Tables) -> DataFrame:
+    """Keys of two fields; a delete names only one of them, so it has no such key."""
+    state = cdc.current_state(bronze_changes(t), ["customer_id", "id"])
+    return state.select("id", F.get_json_object("row_json", "$.status").alias("status"), "lsn")
+
+
+@query(
+    "cdc_10_keyless_rows",
+    with_("bronze", "SELECT source_table, op, count(*) AS n FROM bronze WHERE row_json ->> '$.customer_id' IS NULL GROUP BY 1, 2"),
+)
+def keyless_rows(t: Tables) -> DataFrame:
+    return cdc.keyless_counts(bronze_changes(t), ["customer_id", "id"]).withColumnRenamed("count", "n")
+
+
 @query(
     "cdc_11_key_history",
     with_("bronze_once", "SELECT id, op, lsn, row_json ->> '$.status' AS status FROM bronze_once WHERE id = 300 ORDER BY lsn DESC LIMIT 10"),
 )
 def key_history(t: Tables) -> DataFrame:
     newest = cdc.key_history(bronze_changes(t), key=300)
-    return newest.select("id", "op", "lsn", F.get_json_object("row_json", "$.status").alias("status"))
+    return newest.select(F.col("id").cast("bigint").alias("id"), "op", "lsn", F.get_json_object("row_json", "$.status").alias("status"))
 
 
 @query("cdc_12_op_counts", with_("bronze", "SELECT source_table, op, count(*) AS n FROM bronze GROUP BY 1, 2"))
@@ -128,7 +152,8 @@ def reconcile(t: Tables) -> DataFrame:
     ),
 )
 def status_audit(t: Tables) -> DataFrame:
-    return cdc.status_changes(write_and_read(cdc.status_events(bronze_changes(t)), "status-events"))
+    changes = cdc.status_changes(write_and_read(cdc.status_events(bronze_changes(t)), "status-events"))
+    return changes.select(F.col("id").cast("bigint").alias("id"), "lsn", "old_status", "new_status")
 
 
 @query(

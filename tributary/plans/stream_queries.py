@@ -198,7 +198,8 @@ def keyed_state(t: Tables) -> DataFrame:
     path = run_path(t.spark, "state")
     source = message_files(t, F.col("offset") >= 2 * BILLION, F.col("offset") < 2 * BILLION)
     jobs.keyed_state(scans.file_stream(t.spark, source, MESSAGE_SCHEMA, files_per_batch=1), f"{path}/out", f"{path}/checkpoint")
-    return jobs.read_keyed_state(t.spark, f"{path}/out").select("id", "lsn", F.get_json_object("row_json", "$.status").alias("status"))
+    state = jobs.read_keyed_state(t.spark, f"{path}/out")
+    return state.select(F.col("id").cast("bigint").alias("id"), "lsn", F.get_json_object("row_json", "$.status").alias("status"))
 
 
 @query("stm_11_exactly_once", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")

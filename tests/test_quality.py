@@ -34,6 +34,28 @@ def test_reload_touches_one_day(tables, spark):
     assert {f.split("event_date=")[1][:10] for f in before ^ after} == {"2024-01-15"}
 
 
+def test_survivor_is_the_copy_ingested_last(spark):
+    rows = [(1, 7, "2024-05-01T10:00:09", 1), (1, 8, "2024-05-01T10:00:00", 2), (2, 5, "broken", 3), (2, 6, "2024-05-01T10:00:00", 1)]
+    rows += [(3, 2, "2024-05-01T10:00:00", 1), (3, 9, "2024-05-01T10:00:00", 1), (4, 1, "2024-05-01T10:00:00", 1), (4, None, "2024-05-01T10:00:00", 2)]
+    raw = spark.createDataFrame(rows, "event_id bigint, user_id bigint, ts string, second int").select(
+        "*", F.lit("view").alias("event_type"), F.lit(1).alias("product_id"), F.lit("tablet").alias("device"), F.timestamp_seconds("second").alias("_ingested_at")
+    )
+    assert {r["event_id"]: r["user_id"] for r in quality.clean_events(raw).collect()} == {1: 8, 2: 6, 3: 9}
+    by_event_time = quality.clean_events(raw.drop("_ingested_at").filter("event_id = 1")).first()
+    assert by_event_time["user_id"] == 7
+
+
+def test_reload_can_empty_a_day(tables, spark):
+    source, path, later = bronze(tables), run_path(spark, "silver"), run_path(spark, "raw")
+    medallion.to_silver(spark, source, path)
+    days = lambda: {str(r[0]): r[1] for r in medallion.read_silver(spark, path).groupBy("event_date").count().collect()}
+    before = days()
+    tables.events_raw.filter("ts LIKE '2024-01-15%'").drop("user_id").write.json(later)
+    medallion.to_bronze(spark, later, source)
+    medallion.reload_day(spark, source, path, "2024-01-15")
+    assert "2024-01-15" in before and days() == {day: n for day, n in before.items() if day != "2024-01-15"}
+
+
 def test_upsert_and_merge(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, v string")
     source = spark.createDataFrame([(2, "B"), (4, "d"), (3, None)], "id int, v string")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.functions import roaring
+from tributary.storage import run_path
 from tributary.operators import bitmaps, segments
 from tributary.operators.segments import Segment, tag
 
@@ -162,3 +163,22 @@ def test_estimate_matches_formula(spark):
     df = spark.createDataFrame(rows, "attribute_id int, actor_id bigint, tag_id int, latest_signal int")
     got = {r["segment_id"]: r["share"] for r in segments.estimate(segments.tag_bitmaps(df), {1: tag(1) & tag(2), 2: tag(1) | tag(2), 3: tag(1) - tag(2)}).collect()}
     assert got == pytest.approx({1: 0.375, 2: 1 - 0.5 * 0.25, 3: 0.125})
+
+
+def test_replacement_by_nothing_clears_the_tag(spark):
+    path = run_path(spark, "tags")
+    words = spark.createDataFrame([(1, 0, 1), (2, 0, 6), (2, 5, 1)], "tag_id int, word_no int, bits bigint")
+    words.write.partitionBy("tag_id").parquet(path)
+    segments.replace_tag(words.filter("tag_id <> 2"), path, 2)
+    assert {r["tag_id"]: r["n"] for r in spark.read.parquet(path).groupBy("tag_id").agg(F.count("*").alias("n")).collect()} == {1: 1}
+    segments.replace_tag(words, path, 2)
+    assert spark.read.parquet(path).filter("tag_id = 2").count() == 2
+
+
+def test_empty_and_missing_blobs_round_trip(spark):
+    blobs = spark.createDataFrame([("a", b""), ("b", b"12345678"), ("c", b"123456789")], "name string, data binary")
+    cut = segments.split_blobs(blobs, "name", "data", 4)
+    assert {(r["name"], r["chunk"], bytes(r["data"])) for r in cut.collect()} == {
+        ("a", 0, b""), ("b", 0, b"1234"), ("b", 1, b"5678"), ("c", 0, b"1234"), ("c", 1, b"5678"), ("c", 2, b"9"),
+    }
+    assert {(r["name"], bytes(r["data"])) for r in segments.join_blobs(cut, "name").collect()} == {("a", b""), ("b", b"12345678"), ("c", b"123456789")}

@@ -21,9 +21,16 @@ def parse_time(text: Column) -> Column:
 
 
 def newest_per_event(raw: DataFrame) -> DataFrame:
-    """The newest well-timed copy per event id, with the number of copies; partial aggregates."""
+    """The newest well-timed copy per event id, with the number of copies; partial aggregates.
+
+    Newest is by ingest time where the rows have it, then by event time, file and content, so
+    that the survivor never depends on the order of reading.
+    """
     parsed = raw.withColumn("event_ts", parse_time(F.col("ts")))
-    newest = F.max_by(F.struct("user_id", "event_type", "product_id", "device", "event_ts"), F.col("event_ts"))
+    content = ["user_id", "event_type", "product_id", "device", "event_ts"]
+    ranks = ["_ingested_at", "event_ts", "_source_file", *content[:-1]]
+    order = F.struct(*[c for c in ranks if c in parsed.columns])
+    newest = F.max_by(F.struct(*content), F.when(F.col("event_ts").isNotNull(), order))
     return parsed.groupBy("event_id").agg(F.count("*").alias("copies"), F.count("event_ts").alias("timed"), newest.alias("e"))
 
 

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.operators import bitmaps
+from tributary.sources.sinks import replace_partitions
+
 
 @dataclass(frozen=True)
 class Segment:
@@ -148,32 +150,25 @@ def agreement(words: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def replace_tag(words: DataFrame, path: str, tag_id: int) -> None:
-    """Idempotently replace one tag's stored bitmap; other tags stay untouched."""
-    (
-        words.filter(F.col("tag_id") == tag_id)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tag_id")
-        .parquet(path)
-    )
+    """Idempotently replace one tag's stored bitmap, by nothing where the tag has no words;
+    other tags stay untouched."""
+    replace_partitions(words, path, "tag_id", [tag_id])
 
 
 def split_blobs(blobs: DataFrame, name: str, data: str, limit: int) -> DataFrame:
     """Cut each blob to pieces of at most ``limit`` bytes; an empty blob gives one empty piece."""
-    size = F.length(data)
-    n = F.greatest(F.ceil(size / limit), F.lit(1)).cast("int")
-    return (
-        blobs.withColumn("n", n)
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .select(name, "chunk", "n", F.substring(F.col(data), F.col("chunk") * limit + 1, F.lit(limit)).alias("data"))
-    )
+    n = F.greatest(F.ceil(F.length(data) / limit), F.lit(1)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col(data), i * limit + 1, F.lit(limit)))
+    # The pieces leave the blob behind before they become rows, so no row carries the whole of it.
+    pieces = blobs.select(name, n.alias("n"), cut.alias("pieces"))
+    return pieces.select(name, "n", F.posexplode("pieces").alias("chunk", "data")).select(name, "chunk", "n", "data")
 
 
 def join_blobs(chunks: DataFrame, name: str) -> DataFrame:
     """Put pieces back together; ``data`` is NULL where a piece is missing. A group is one blob."""
     ordered = F.sort_array(F.collect_list(F.struct("chunk", "data")))
     grouped = chunks.groupBy(name).agg(F.first("n").alias("n"), ordered.alias("pieces"))
-    whole = F.aggregate(F.col("pieces"), F.lit(b"").cast("binary"), lambda acc, p: F.concat(acc, p["data"]))
+    whole = F.unhex(F.array_join(F.transform("pieces", lambda p: F.hex(p["data"])), ""))
     return grouped.select(name, "n", F.when(F.size("pieces") == F.col("n"), whole).alias("data"))
 
 

@@ -27,9 +27,8 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def silver_rows(bronze: DataFrame) -> DataFrame:
-    return quality.clean_events(bronze.select("event_id", "user_id", "event_type", "product_id", "device", "ts")).withColumn(
-        "event_date", F.to_date("event_ts")
-    )
+    """Clean events; of several copies the one ingested last survives."""
+    return quality.clean_events(bronze).withColumn("event_date", F.to_date("event_ts"))
 
 
 def to_silver(spark: SparkSession, source: str, target: str) -> None:
@@ -37,16 +36,19 @@ def to_silver(spark: SparkSession, source: str, target: str) -> None:
 
 
 def reload_day(spark: SparkSession, source: str, target: str, day: str) -> None:
-    """Rebuild one day of silver from bronze; the other days are not touched.
+    """Rebuild one day of silver from bronze, to nothing where no event is left; the other
+    days are not touched.
 
-    Only events with a copy on that day are looked at, but with all their copies: the
-    newest one may lie on the next day, which then keeps the event.
+    Bronze folders from the day before on are read: no copy is ingested more than a day before
+    its own time, and a copy ingested earlier is older than every copy of the day. Only events
+    with a copy on that day are cleaned, but with all their later copies: the newest one may
+    lie on another day, which then keeps the event.
     """
     wanted = F.lit(day).cast("date")
-    events = read_bronze(spark, source)
+    events = read_bronze(spark, source).filter(F.col("ingest_date") >= F.date_sub(wanted, 1))
     ids = events.filter(F.to_date(quality.parse_time(F.col("ts"))) == wanted).select("event_id").distinct()
     rows = silver_rows(events.join(ids, "event_id", "left_semi")).filter(F.col("event_date") == wanted)
-    sinks.overwrite_partitions(rows, target, "event_date")
+    sinks.replace_partitions(rows, target, "event_date", [day])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -101,15 +101,23 @@ def daily_revenue(t: Tables) -> DataFrame:
 
 @query(
     "pip_06_reload_day",
-    with_("events_silver", "SELECT CAST(event_date AS VARCHAR) AS day, count(*) AS before, count(*) AS after FROM events_silver GROUP BY 1"),
+    with_(
+        "events_silver",
+        f"""SELECT CAST(event_date AS VARCHAR) AS day, count(*) AS before, count(*) FILTER (WHERE event_date <> DATE '{DAY}' OR event_id % 2 = 1) AS after
+        FROM events_silver GROUP BY 1""",
+    ),
 )
 def reload_day(t: Tables) -> DataFrame:
-    """Reloading one day leaves the counts of every day as they were."""
+    """Later copies of half of all events take their users away. Reloading one day shows that
+    on this day and leaves all others as they were."""
     source, path = bronze(t), run_path(t.spark, "silver-events")
     medallion.to_silver(t.spark, source, path)
     count = lambda name: medallion.read_silver(t.spark, path).groupBy("event_date").agg(F.count("*").alias(name))
     before = run_path(t.spark, "before-reload")
     count("before").write.parquet(before)
+    later = run_path(t.spark, "raw-events")
+    t.events_raw.filter(F.col("event_id") % 2 == 0).drop("user_id").write.json(later)
+    medallion.to_bronze(t.spark, later, source)
     medallion.reload_day(t.spark, source, path, DAY)
     joined = t.spark.read.parquet(before).join(count("after"), "event_date", "full")
     return joined.select(F.col("event_date").cast("string").alias("day"), "before", "after")

@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tributary.storage import write_and_read
+
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 ROWS_PER_FILE = 5_000_000
 
@@ -37,6 +39,23 @@ def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
+def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> None:
+    """Make the partitions of ``values`` hold their rows of ``df`` and nothing else, also where
+    ``df`` has none. Other partitions, and rows of other values, are left alone.
+
+    ``values`` are few, and their text is that of the folder names. A run that stops halfway is
+    repeated as a whole.
+    """
+    rows = write_and_read(df.filter(F.col(column).isin(values)), "replacement")
+    overwrite_partitions(rows, path, column)
+    present = {row[0] for row in rows.select(F.col(column).cast("string")).distinct().collect()}
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+    for value in values:
+        if str(value) not in present:
+            folder = hadoop(f"{path}/{column}={value}")
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str) -> None:
     """Bucketed and sorted table; equal bucketing on both sides joins without a shuffle.
 

@@ -11,13 +11,17 @@ from tributary.operators import bitmaps, segments
 from tributary.operators.segments import Segment, tag
 
 
-def random_segment(rng, tags, leaves):
-    pool = [tag(n) for n in rng.sample(range(1, tags + 1), leaves)]
-    while len(pool) > 1:
-        left = pool.pop(rng.randrange(len(pool)))
-        at = rng.randrange(len(pool))
-        pool[at] = rng.choice([left & pool[at], left | pool[at], left - pool[at]])
-    return pool[0]
+def nested_segment(number, tags, leaves):
+    """Segment ``number``: consecutive tags split in uneven halves, the operators taken in turn."""
+
+    def over(low, high, step):
+        if high - low == 1:
+            return tag((number * 7 + low * 4) % tags + 1)
+        middle = low + 1 + (number + step) % (high - low - 1) if high - low > 2 else low + 1
+        left, right = over(low, middle, step + 1), over(middle, high, step + 2)
+        return (left & right, left | right, left - right)[(number + step) % 3]
+
+    return over(0, leaves, 0)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +30,7 @@ def world(spark):
     members = {n: {i for i in range(5000) if rng.random() < 1 / 3} for n in range(1, 16)}
     rows = [(1, i, n, 1) for n, ids in members.items() for i in ids]
     df = spark.createDataFrame(rows, "attribute_id int, actor_id bigint, tag_id int, latest_signal int")
-    trees = {i: random_segment(rng, 15, 10) for i in range(50)}
+    trees = {i: nested_segment(i, 15, 10) for i in range(50)}
     sets = {"and": set.__and__, "or": set.__or__, "and_not": set.__sub__}
     return df, trees, {i: t.fold(members.get, sets) for i, t in trees.items()}
 
@@ -69,7 +73,7 @@ def test_words_that_are_not_merged_give_the_same_answers(spark):
 
 
 def test_each_tag_is_used_once():
-    tree = random_segment(random.Random(1), 15, 10)
+    tree = nested_segment(1, 15, 10)
     assert len(tree.tags()) == len(set(tree.tags())) == 10
 
 

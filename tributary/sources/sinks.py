@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tributary.storage import write_and_read
+from tributary.storage import remove, write_and_read
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 ROWS_PER_FILE = 5_000_000
@@ -49,11 +49,9 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> N
     rows = write_and_read(df.filter(F.col(column).isin(values)), "replacement")
     overwrite_partitions(rows, path, column)
     present = {row[0] for row in rows.select(F.col(column).cast("string")).distinct().collect()}
-    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path
     for value in values:
         if str(value) not in present:
-            folder = hadoop(f"{path}/{column}={value}")
-            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(df.sparkSession, f"{path}/{column}={value}")
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str) -> None:

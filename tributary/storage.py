@@ -32,6 +32,12 @@ def run_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one file or folder, on whichever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_and_read(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Cut lineage with a written table: survives the loss of any executor."""
     path = run_path(df.sparkSession, name)

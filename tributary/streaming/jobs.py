@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.operators import cdc
 
 BatchWriter = Callable[[DataFrame, int], None]
+KEYED_EVENTS = "source_table STRING, id STRING, op STRING, deleted BOOLEAN, row_json STRING, source_ts_ms BIGINT, lsn BIGINT, kafka_offset BIGINT"
 
 
 def run_available(stream: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -67,21 +68,22 @@ def late_rows(batch: DataFrame, ts: str, high_water: DataFrame, delay: str) -> C
 def windowed_with_late(stream: DataFrame, ts: str, delay: str, length: str, keys: list[str], path: str, checkpoint: str) -> StreamingQuery:
     """Counts per window and keys with late rows counted apart.
 
-    Each batch stores its partial counts and its newest event time; ``window_totals``
-    adds the parts. No state is held between batches.
+    Each batch stores its partial counts and the newest event time so far; ``window_totals``
+    adds the parts. The only state between batches is that one time.
     """
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read once for both outputs
-        marks = spark.read.schema("ts TIMESTAMP, batch_id INT").parquet(f"{path}/marks")
-        late = late_rows(batch, ts, marks.filter(F.col("batch_id") < batch_id), delay)
+        mark = spark.read.schema("ts TIMESTAMP").parquet(f"{path}/marks/batch_id={batch_id - 1}")
+        late = late_rows(batch, ts, mark, delay)
         counted = batch.withColumn("late", late).groupBy(F.window(ts, length).alias("w"), *keys, "late").agg(F.count("*").alias("n"))
         counted.select(F.col("w.start").alias("start"), *keys, "late", "n").write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
-        batch.agg(F.max(ts).alias("ts")).write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+        newest = batch.select(F.col(ts).alias("ts")).unionByName(mark).agg(F.max("ts").alias("ts"))
+        newest.write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
         batch.unpersist()
 
-    # An empty first mark gives the folder its schema.
+    # Before the first batch there is no newest time.
     spark.range(0).select(F.lit(None).cast("timestamp").alias("ts")).write.mode("ignore").parquet(f"{path}/marks/batch_id=-1")
     return run_available(stream, write, checkpoint)
 
@@ -117,25 +119,39 @@ def drop_redelivered_stream(changes: DataFrame, delay: str) -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["kafka_topic", "kafka_partition", "kafka_offset"])
 
 
-def keyed_state(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def keyed_state(messages: DataFrame, path: str, checkpoint: str, merge_every: int = 10) -> StreamingQuery:
     """Newest event per key, batch by batch; an older lsn arriving later never wins.
 
-    A batch writes only its own winners; ``read_keyed_state`` merges them, so no batch
-    rewrites the whole table.
+    A batch stores its own winners. Every ``merge_every`` batches they are merged with the last
+    merged table into the next one, so a read never covers more batches than that. Deleted keys
+    stay in the merged table: a late change of theirs must lose. A replayed batch replaces both.
     """
+    spark = messages.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cdc.latest_events(cdc.flatten(cdc.parse_envelopes(batch))).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        cdc.latest_events(cdc.flatten(cdc.parse_envelopes(batch))).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        if (batch_id + 1) % merge_every == 0:
+            _newest_events(spark, path, batch_id).write.mode("overwrite").parquet(f"{path}/merged/upto={batch_id}")
 
+    spark.createDataFrame([], KEYED_EVENTS).write.mode("ignore").parquet(f"{path}/merged/upto=-1")
     return run_available(messages, write, checkpoint)
 
 
-def read_keyed_state(spark, path: str) -> DataFrame:
-    winners = spark.read.parquet(path)
-    values = ["op", "deleted", "row_json", "source_ts_ms", "lsn", "kafka_offset"]
-    newest = F.max_by(F.struct(*values), F.struct("lsn", "kafka_offset"))
-    merged = winners.groupBy("source_table", "id").agg(newest.alias("e")).select("source_table", "id", "e.*")
-    return merged.filter(~F.col("deleted"))
+def _newest_events(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
+    """Newest event per key from the last merged table before batch ``last`` and the batches since."""
+    merged = spark.read.schema(f"{KEYED_EVENTS}, upto INT").parquet(f"{path}/merged")
+    changes = spark.read.schema(f"{KEYED_EVENTS}, batch_id INT").parquet(f"{path}/changes")
+    if last is not None:
+        merged, changes = merged.filter(F.col("upto") < last), changes.filter(F.col("batch_id") <= last)
+    upto = merged.agg(F.max("upto")).first()[0]
+    upto = -1 if upto is None else upto  # no merged table holds a key yet
+    events = merged.filter(F.col("upto") == upto).drop("upto").unionByName(changes.filter(F.col("batch_id") > upto).drop("batch_id"))
+    newest = F.max_by(F.struct("op", "deleted", "row_json", "source_ts_ms", "lsn", "kafka_offset"), F.struct("lsn", "kafka_offset"))
+    return events.groupBy("source_table", "id").agg(newest.alias("e")).select("source_table", "id", "e.*")
+
+
+def read_keyed_state(spark: SparkSession, path: str) -> DataFrame:
+    return _newest_events(spark, path).filter(~F.col("deleted"))
 
 
 def data_batches(query: StreamingQuery) -> int:

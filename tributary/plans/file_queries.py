@@ -244,10 +244,14 @@ def file_count(t: Tables) -> DataFrame:
     return sinks.file_report(t.spark.read.parquet(path)).select(F.col("rows").alias("n"), "files")
 
 
-@query("snk_11_dataset_report")
+REPORTED = ["customer", "orders", "lineitem", "events"]
+
+
+@query("snk_11_dataset_report", " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows, true AS has_files, true AS has_bytes FROM {n}" for n in REPORTED))
 def dataset_report(t: Tables) -> DataFrame:
-    names = ["customer", "orders", "lineitem", "events"]
-    return union_all([sinks.file_report(t.spark.read.parquet(t.path(n))).select(F.lit(n).alias("name"), "*") for n in names])
+    """Rows are exact; the numbers of files and bytes depend on the writer, so only their presence is shown."""
+    reports = [sinks.file_report(t.spark.read.parquet(t.path(n))).select(F.lit(n).alias("name"), "*") for n in REPORTED]
+    return union_all(reports).select("name", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") >= F.col("files")).alias("has_bytes"))
 
 
 @query("snk_12_compaction", "SELECT count(*) AS n, CAST(1 AS BIGINT) AS files, true AS fewer FROM events")
@@ -264,26 +268,32 @@ def compaction(t: Tables) -> DataFrame:
 # --- generated tables --------------------------------------------------------------------------
 
 
-def mixed_sql(row_id: str, seed: int) -> str:
-    x = f"(({row_id}) % 2147483647 * 48271 + {seed} * 69621) % 2147483647"
-    y = f"(({x}) * (({x}) % 65536 + 1)) % 2147483647"
-    return f"((({y}) * 16807 + {seed}) % 2147483647)"
+def draw_sql(row_id: str, column: str) -> str:
+    seed, modulus = generate.seed(column), generate.MODULUS
+    x = f"(({row_id}) % {modulus} * {generate.FIRST} + {seed}) % {modulus}"
+    y = f"(({x}) * (({x}) % 65536 + 1)) % {modulus}"
+    return f"((({y}) * {generate.SECOND} + {seed}) % {modulus})"
+
 
+def weighted_sql(parts: dict[str, int], row_id: str, column: str) -> str:
+    values = ", ".join(f"'{value}'" for value, n in parts.items() for _ in range(n))
+    return f"([{values}])[CAST({draw_sql(row_id, column)} % {sum(parts.values())} AS INTEGER) + 1]"
 
-def pick_sql(values: list[str], row_id: str, seed: int) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"([{listed}])[CAST({mixed_sql(row_id, seed)} % {len(values)} AS INTEGER) + 1]"
 
+def moment_sql(row_id: str, column: str) -> str:
+    return f"make_timestamp(({generate.START} + {draw_sql(row_id, column)} % {generate.TWO_YEARS}) * 1000000)"
 
-def time_sql(row_id: str, seed: int) -> str:
-    return f"make_timestamp((1700000000 + {mixed_sql(row_id, seed)} % 63072000) * 1000000)"
+
+def small_ids_sql(row_id: str, column: str, largest: str) -> str:
+    u = f"CAST({draw_sql(row_id, column)} AS DOUBLE) / {generate.MODULUS}"
+    return f"1 + CAST(floor(({u}) * ({u}) * {largest}) AS BIGINT)"
 
 
 cte(
     "gen_orders",
-    f"""SELECT o_orderkey AS order_id, CASE WHEN {mixed_sql('o_orderkey', 31)} % 100 < 5 THEN 1
-    ELSE 1 + CAST(floor(u * u * b) AS BIGINT) END AS customer_id, {pick_sql(generate.STATUSES, 'o_orderkey', 33)} AS status, {time_sql('o_orderkey', 34)} AS created_at
-    FROM (SELECT o_orderkey, CAST({mixed_sql('o_orderkey', 32)} AS DOUBLE) / 2147483647 AS u, (SELECT count(*) * 9 // 10 FROM customer) AS b FROM orders)""",
+    f"""SELECT o_orderkey AS order_id, CASE WHEN {draw_sql('o_orderkey', 'order.customer.hot')} % 100 < 5 THEN 1
+    ELSE {small_ids_sql('o_orderkey', 'order.customer', 'b')} END AS customer_id, {weighted_sql(generate.STATUS, 'o_orderkey', 'order.status')} AS status,
+    {moment_sql('o_orderkey', 'order.created_at')} AS created_at FROM (SELECT o_orderkey, (SELECT count(*) * 9 // 10 FROM customer) AS b FROM orders)""",
 )
 
 
@@ -291,22 +301,26 @@ def generated_orders(t: Tables) -> DataFrame:
     return generate.orders(t.orders.select(F.col("o_orderkey").alias("id")), t.customer.count() * 9 // 10)
 
 
-@query("gen_01_weighted_pick", f"SELECT c_custkey AS customer_id, {pick_sql(generate.TIERS, 'c_custkey', 12)} AS tier FROM customer")
+def generated_customers(t: Tables) -> DataFrame:
+    return generate.customers(t.customer.select(F.col("c_custkey").alias("id")))
+
+
+@query("gen_01_weighted_pick", f"SELECT c_custkey AS customer_id, {weighted_sql(generate.TIER, 'c_custkey', 'customer.tier')} AS tier FROM customer")
 def weighted_pick(t: Tables) -> DataFrame:
-    return generate.customers(t.customer.select(F.col("c_custkey").alias("id"))).select("customer_id", "tier")
+    return generated_customers(t).select("customer_id", "tier")
 
 
-@query("gen_02_uniform_time", f"SELECT c_custkey AS customer_id, {time_sql('c_custkey', 13)} AS created_at FROM customer")
+@query("gen_02_uniform_time", f"SELECT c_custkey AS customer_id, {moment_sql('c_custkey', 'customer.created_at')} AS created_at FROM customer")
 def uniform_time(t: Tables) -> DataFrame:
-    return generate.customers(t.customer.select(F.col("c_custkey").alias("id"))).select("customer_id", "created_at")
+    return generated_customers(t).select("customer_id", "created_at")
 
 
 @query(
     "gen_03_periodic_nulls",
-    f"SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 20 <> 0 THEN {pick_sql(generate.CITIES, 'c_custkey', 11)} END AS city, 'user' || c_custkey || '@example.com' AS email FROM customer",
+    f"SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 20 <> 0 THEN {weighted_sql(generate.CITY, 'c_custkey', 'customer.city')} END AS city FROM customer",
 )
 def periodic_nulls(t: Tables) -> DataFrame:
-    return generate.customers(t.customer.select(F.col("c_custkey").alias("id"))).select("customer_id", "city", "email")
+    return generated_customers(t).select("customer_id", "city")
 
 
 @query("gen_04_skewed_orders", with_("gen_orders", "SELECT * FROM gen_orders"))
@@ -319,7 +333,8 @@ def skewed_orders(t: Tables) -> DataFrame:
     with_(
         "gen_orders",
         f"""SELECT order_id, line_no, product_id, qty, CAST(qty * CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS line_total FROM (SELECT order_id, line_no,
-        {mixed_sql('order_id * 4 + line_no', 41)} % (SELECT count(*) * 9 // 10 FROM part) AS product_id, CAST({mixed_sql('order_id * 4 + line_no', 42)} % 3 + 1 AS INTEGER) AS qty
+        {draw_sql('order_id * 4 + line_no', 'line.product')} % (SELECT count(*) * 9 // 10 FROM part) AS product_id,
+        CAST({draw_sql('order_id * 4 + line_no', 'line.qty')} % 3 + 1 AS INTEGER) AS qty
         FROM (SELECT order_id, CAST(unnest(range(1, order_id % 4 + 2)) AS INTEGER) AS line_no FROM gen_orders)) JOIN part ON p_partkey = product_id""",
     ),
 )
@@ -331,10 +346,10 @@ def order_lines(t: Tables) -> DataFrame:
 
 @query(
     "gen_06_dirty_events",
-    f"""SELECT event_id, CASE WHEN {mixed_sql('event_id', 51)} % 100 >= 3 THEN 1 + CAST(floor(u * u * c) AS BIGINT) END AS user_id,
-    {pick_sql(generate.EVENT_TYPES, 'event_id', 53)} AS event_type, strftime({time_sql('event_id', 56)}, '%Y-%m-%dT%H:%M:%S') AS ts
-    FROM (SELECT event_id, CAST({mixed_sql('event_id', 52)} AS DOUBLE) / 2147483647 AS u, (SELECT count(*) FROM customer) AS c FROM events)
-    JOIN (VALUES (0), (1)) x(copy_no) ON copy_no = 0 OR {mixed_sql('event_id', 57)} % 100 = 0""",
+    f"""SELECT event_id, CASE WHEN {draw_sql('event_id', 'event.no_user')} % 100 >= 3 THEN {small_ids_sql('event_id', 'event.user', 'c')} END AS user_id,
+    {weighted_sql(generate.EVENT_TYPE, 'event_id', 'event.type')} AS event_type, strftime({moment_sql('event_id', 'event.ts')}, '%Y-%m-%dT%H:%M:%S') AS ts
+    FROM (SELECT event_id, (SELECT count(*) FROM customer) AS c FROM events)
+    JOIN (VALUES (0), (1)) x(copy_no) ON copy_no = 0 OR {draw_sql('event_id', 'event.copies')} % 100 = 0""",
 )
 def dirty_events(t: Tables) -> DataFrame:
     return generate.dirty_events(t.events.select(F.col("event_id").alias("id")), t.customer.count())
@@ -344,7 +359,7 @@ def dirty_events(t: Tables) -> DataFrame:
     "gen_07_membership",
     f"""SELECT CAST((tag_id - 1) // 5 + 1 AS INTEGER) AS attribute_id, actor_id, tag_id, CASE WHEN h < percent * 100 THEN 1 ELSE -1 END AS latest_signal,
     TIMESTAMP '2026-01-01' + INTERVAL 1 SECOND * (h % 86400) AS last_persist_time FROM (SELECT actor_id, tag_id, 10 + (tag_id * 7) % 11 AS percent,
-    {mixed_sql('actor_id * 64 + tag_id', 7)} % 10000 AS h FROM (SELECT o_orderkey AS actor_id, CAST(unnest(range(1, 21)) AS INTEGER) AS tag_id FROM orders)) WHERE h < (percent + 5) * 100""",
+    {draw_sql('actor_id * 64 + tag_id', 'membership.signal')} % 10000 AS h FROM (SELECT o_orderkey AS actor_id, CAST(unnest(range(1, 21)) AS INTEGER) AS tag_id FROM orders)) WHERE h < (percent + 5) * 100""",
 )
 def generated_membership(t: Tables) -> DataFrame:
     return generate.membership(t.orders, "o_orderkey")

@@ -233,9 +233,16 @@ def skew_profile(t: Tables) -> DataFrame:
     return joins.skew_profile(skewed_orders(t), "customer_id")
 
 
-@query("joi_16_partition_profile")
+@query(
+    "joi_16_partition_profile",
+    with_("skewed_orders", "SELECT CAST(count(*) AS BIGINT) AS n, true AS holds_hot_key FROM skewed_orders"),
+)
 def partition_profile(t: Tables) -> DataFrame:
-    return joins.partition_profile(skewed_orders(t).repartition("customer_id"))
+    """All rows are counted, and the fullest partition holds at least the hottest key."""
+    orders = skewed_orders(t)
+    hottest = orders.groupBy("customer_id").count().agg(F.max("count")).scalar()
+    profile = joins.partition_profile(orders.repartition("customer_id"))
+    return profile.agg(F.sum("n").alias("n"), F.max("n").alias("fullest")).select("n", (F.col("fullest") >= hottest).alias("holds_hot_key"))
 
 
 @query("joi_17_by_name", with_("shop_orders shop_customers", "SELECT customer_id, order_id, tier FROM shop_orders JOIN shop_customers USING (customer_id)"))

@@ -126,9 +126,16 @@ def math(t: Tables) -> DataFrame:
     )
 
 
-@query("mth_01_hash_buckets")
+@query("mth_01_hash_buckets", "SELECT count(*) AS n, CAST(16 AS BIGINT) AS buckets, true AS in_range, true AS even FROM orders")
 def hash_buckets(t: Tables) -> DataFrame:
-    return t.orders.groupBy(scalars.hash_bucket(F.col("o_orderkey"), buckets=16).alias("bucket")).agg(F.count("*").alias("n"))
+    """No bucket holds twice its share."""
+    counts = t.orders.groupBy(scalars.hash_bucket(F.col("o_orderkey"), buckets=16).alias("bucket")).agg(F.count("*").alias("n"))
+    return counts.agg(
+        F.sum("n").alias("n"),
+        F.count("*").alias("buckets"),
+        F.every(F.col("bucket").between(0, 15)).alias("in_range"),
+        (F.max("n") * 16 < 2 * F.sum("n")).alias("even"),
+    )
 
 
 @query(

@@ -268,10 +268,14 @@ def stored_size(t: Tables) -> DataFrame:
     )
 
 
-@query("seg_18_exported_size")
+@query("seg_18_exported_size", with_("active", "SELECT tag_id, count(*) AS members, true AS within_bound FROM active GROUP BY 1"))
 def exported_size(t: Tables) -> DataFrame:
-    blobs = roaring.export_bitmaps(tag_words(t), "tag_id")
-    return blobs.select("tag_id", "members", F.length("data").alias("blob_bytes"))
+    """A blob takes at most two bytes a member and ten for each 65,536 ids that hold any."""
+    words = tag_words(t)
+    blobs = roaring.export_bitmaps(words, "tag_id").select("tag_id", "members", F.length("data").alias("bytes"))
+    containers = words.groupBy("tag_id").agg(F.count_distinct(F.shiftright("word_no", 10)).alias("containers"))
+    within = F.col("bytes").between(8, 16 + 10 * F.col("containers") + 2 * F.col("members"))
+    return blobs.join(containers, "tag_id").select("tag_id", F.col("members").cast("bigint").alias("members"), within.alias("within_bound"))
 
 
 @query(

@@ -80,7 +80,7 @@ def test_exact_percentiles(spark, interpolate):
     rng = random.Random(5)
     rows = [("a", float(rng.randrange(100))) for _ in range(501)] + [("b", 5.0)] * 400 + [("c", -3.5)] + [("a", None)] + [(None, float(i)) for i in range(7)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {(r["k"], r["q"]): r["value"] for r in exact_percentiles(df, ["k"], "v", [0.0, 0.5, 0.9, 0.99, 1.0], 10.0, interpolate).collect()}
+    got = {(r["k"], r["q"]): r["value"] for r in exact_percentiles(df, ["k"], "v", [0.0, 0.5, 0.9, 0.99, 1.0], interpolate, bins=7).collect()}
     for k in ("a", "b", "c", None):
         v = sorted(x for key, x in rows if key == k and x is not None)
         for q in (0.0, 0.5, 0.9, 0.99, 1.0):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_SHARE = 1e-5  # at most 100,000 keys can hold this share of all rows
 HOT_ROWS = 100_000  # a key below this fits a task whatever its share
+BINS = 10_000  # of exact percentiles
 
 
 def _place(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int) -> DataFrame:
@@ -151,15 +152,20 @@ def tiles(position: Column, total: Column, n: int) -> Column:
     )
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: list[float], width: float, interpolate: bool) -> DataFrame:
-    """Exact percentiles in two passes: counts per bin find the bin of each rank,
-    then only the values of those bins are ordered, collapsed to (value, count).
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: list[float], interpolate: bool, bins: int = BINS) -> DataFrame:
+    """Exact percentiles of finite values: counts per bin find the bin of each rank, then only
+    the values of those bins are ordered, collapsed to (value, count).
 
+    The range of all values is cut to ``bins`` equal ones, so a group never has more of them.
     interpolate: linear between neighbours; otherwise nearest rank ``ceil(q * n)``.
     Returns keys, ``q``, ``value`` (double).
     """
     group = F.struct(F.lit(0).alias("_"), *keys)  # never NULL itself, so a NULL key keeps its percentiles
-    binned = df.filter(F.col(value).isNotNull()).select(group.alias("_g"), value, F.floor(F.col(value) / width).alias("_bin"))
+    number = F.col(value).cast("double")
+    lowest = df.agg(F.min(number)).scalar()
+    width = df.agg((F.max(number) - F.min(number)) / bins).scalar()
+    place = F.when(width > 0, F.floor((number - lowest) / width)).otherwise(F.lit(0).cast("bigint"))
+    binned = df.filter(F.col(value).isNotNull()).select(group.alias("_g"), value, place.alias("_bin"))
     by_bin = Window.partitionBy("_g").orderBy("_bin")
     bins = (
         binned.groupBy("_g", "_bin")

@@ -127,7 +127,7 @@ def approx_distinct(t: Tables) -> DataFrame:
     ),
 )
 def exact_percentile_values(t: Tables) -> DataFrame:
-    values = exact_percentiles(t.shop_orders, ["status"], "total", [0.5, 0.9, 0.99], width=1000, interpolate=True)
+    values = exact_percentiles(t.shop_orders, ["status"], "total", [0.5, 0.9, 0.99], interpolate=True)
     return values.withColumn("value", F.round("value", 4))
 
 
@@ -274,7 +274,7 @@ def step_summary(t: Tables) -> DataFrame:
         F.max("value").alias("maximum"),
         F.sum(F.col("value").cast(MONEY)).cast("double").alias("total"),
     )
-    quantiles = exact_percentiles(samples, ["step"], "value", [0.5, 0.9, 0.99], width=1.0, interpolate=False)
+    quantiles = exact_percentiles(samples, ["step"], "value", [0.5, 0.9, 0.99], interpolate=False)
     wide = quantiles.groupBy("step").agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in (0.5, 0.9, 0.99)])
     joined = stats.join(wide, "step")
     return joined.select("step", "n", (F.col("total") / F.col("n")).alias("average"), "minimum", "p50", "p90", "p99", "maximum", "total")

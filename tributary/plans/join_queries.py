@@ -53,6 +53,19 @@ def left_without_match(t: Tables) -> DataFrame:
     return t.shop_customers.join(buyers, "customer_id", "left").filter(F.col("bought").isNull()).select("customer_id", "tier")
 
 
+@query(
+    "joi_02_customers_without_orders",
+    """SELECT (SELECT count(*) FROM customer) AS customers, (SELECT count(*) FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey
+    WHERE o_custkey IS NULL) AS without_orders""",
+)
+def customers_without_orders(t: Tables) -> DataFrame:
+    """The plain form, counted: the given tables may hold no such customer."""
+    buyers = t.shop_orders.select("customer_id").distinct().withColumn("bought", F.lit(True))
+    return t.shop_customers.join(buyers, "customer_id", "left").agg(
+        F.count("*").alias("customers"), F.count_if(F.col("bought").isNull()).alias("without_orders")
+    )
+
+
 @query(
     "joi_03_on_versus_where",
     with_(
@@ -83,6 +96,16 @@ def right_never_sold(t: Tables) -> DataFrame:
     return sold.join(t.shop_products, "product_id", "right").filter(F.col("sold").isNull()).select("product_id", "name")
 
 
+@query(
+    "joi_04_products_never_sold",
+    "SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)) AS never_sold",
+)
+def products_never_sold(t: Tables) -> DataFrame:
+    """The plain form, counted."""
+    sold = t.shop_items.select("product_id").distinct().withColumn("sold", F.lit(True))
+    return sold.join(t.shop_products, "product_id", "right").agg(F.count("*").alias("products"), F.count_if(F.col("sold").isNull()).alias("never_sold"))
+
+
 @query(
     "joi_05_full_reconciliation",
     with_(

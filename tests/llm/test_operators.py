@@ -55,6 +55,18 @@ def test_mixing_budgets_nest(spark):
     assert all(taken[1][i] >= taken[0][i] for i in range(1, 400, 2))
 
 
+@pytest.mark.parametrize("empty", ["c", None])
+def test_mixing_shares_the_weight_of_a_source_without_words(spark, empty):
+    schema = "doc_id long, text string, source string"
+    rows = [(i, "w " * 6, "ab"[i % 2]) for i in range(200)] + [(200 + i, [None, "", " \n"][i % 3], empty) for i in range(30)]
+    plan = mixing.mix(spark.createDataFrame(rows, schema))
+    assert {r.source: r.target for r in plan.thresholds.collect()} == {"a": 400, "b": 800, empty: 0}
+    taken = {r.source_size: r.t for r in mixing.mixed_sizes(plan).groupBy("target", "source_size").agg(F.sum("taken").alias("t")).groupBy("source_size").agg(F.sum("t").alias("t")).collect()}
+    assert abs(taken[600] - 1200) <= 12 and taken[0] == 0
+    nothing_else = mixing.mix(spark.createDataFrame(rows[200:], schema)).thresholds.collect()
+    assert [r.target for r in nothing_else] == [0]
+
+
 def test_chain_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     chain = toxicity.Chain(np.zeros(1), 0.3, rng.normal(size=(2, 2)))

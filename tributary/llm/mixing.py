@@ -61,13 +61,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
         "source", "source_size", F.get(listed, ((F.col("start") + within) % len(weights)).cast("int")).cast("long").alias("weight")
     )
     left = ranked.withColumn("cap", F.col("source_size") * max_epochs)
-    total = left.agg(F.sum("source_size"), F.sum("weight")).first()
+    given = F.when(F.col("source_size") > 0, F.col("weight")).otherwise(0)
+    total = left.agg(F.sum("source_size"), F.sum(given)).first()
     budget, active = total[0] or 0, total[1] or 0
     whole = budget
     while True:
         above = F.col("weight") * F.lit(budget).cast("decimal(38,0)") > F.col("cap").cast("decimal(38,0)") * F.lit(active)
-        capped, weight = left.filter(above).agg(F.coalesce(F.sum("cap"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
-        if whole - capped == budget:
+        capped, weight = left.filter(above).agg(F.coalesce(F.sum("cap"), F.lit(0)), F.coalesce(F.sum(given), F.lit(0))).first()
+        if (whole - capped, (total[1] or 0) - weight) == (budget, active):
             break
         budget, active = whole - capped, total[1] - weight
     share = F.col("weight").cast("double") * F.lit(float(budget)) / F.lit(float(active or 1))

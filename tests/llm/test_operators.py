@@ -249,6 +249,20 @@ def test_outliers_reject_what_is_far_from_its_group(spark):
     assert all(kept[2000 + i] for i in range(5))  # too few for an estimate
 
 
+def test_outliers_small_groups_take_a_wider_estimate(spark):
+    rng = random.Random(5)
+    plain = lambda: " ".join("abcdefgh"[: rng.randint(3, 8)] + str(rng.randint(0, 999)) for _ in range(rng.randint(40, 90)))
+    junk = lambda: " ".join(x + "***" for x in plain().split())
+    rows = [(i, plain(), "en", f"s{i % 30}") for i in range(300)] + [(1000 + i, junk(), "en", f"s{i % 30}") for i in range(30)]
+    rows += [(400 + i, plain(), [None, "de"][i % 2], None) for i in range(20)] + [(1100 + i, junk(), [None, "de"][i % 2], None) for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = outliers.judge(frame, wider=True).collect()
+    assert len(found) == len(rows) and all(r.d2 is not None for r in found)
+    assert {r.doc_id for r in found if not r.kept} == {i for i, *_ in rows if i >= 1000}
+    # fewer in the whole corpus than an estimate needs
+    assert all(r.kept and r.d2 is None for r in outliers.judge(frame.filter("lang is null"), wider=True).collect())
+
+
 def test_cascade_is_exact_on_the_universe(spark):
     keys = spark.range(20000).select(F.xxhash64("id").alias("a"), F.xxhash64(F.lit(1), "id").alias("b"), "id")
     listed, other = keys.filter("id % 40 = 0").select("a", "b"), keys.filter("id % 40 != 0").select("a", "b")

@@ -14,8 +14,9 @@ is one narrow row per document; one row per group is joined back, in whatever wa
 check allows.
 
 Defined cases. A null or empty text has zero words, so it fails the rules and has no vector. Null
-language or source is a group of its own. Groups with fewer than LEAST vectors have no estimate:
-the rules alone decide. Directions in which the half does not vary get the deviation in
+language or source is a group of its own. LEAST leaves five vectors a dimension in the half. A group
+with fewer takes, if asked for by ``wider``, the estimate of its language over all sources, or else of the whole
+corpus; otherwise, and in a corpus with fewer, there is no estimate and the rules alone decide. Directions in which the half does not vary get the deviation in
 FLOORS, so that a group of equal texts does not reject all others. Equal rows have equal results. An empty table
 gives an empty result. Columns other than id, text, language and source are not read.
 """
@@ -43,6 +44,7 @@ FLOORS = (0.1, 0.04, 0.15, 0.15)
 CONSISTENT = 2.42  # four dimensions: normal variance over that of the nearest half
 CUTOFF = 40.0  # squared distance; a normal vector lies beyond with a chance of 4e-8
 VECTOR = ("v0", "v1", "v2", "v3")
+GROUP = ("wide", "lang", "source")
 
 
 def text_counts(documents: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -94,20 +96,37 @@ def _middle(rows: DataFrame, group: list[str], bin_: Column, share: float) -> Da
     return upto.filter(F.col("upto") >= F.col("all") * share).groupBy(*group).agg(F.min("bin").alias("bin"), F.max("all").alias("all"))
 
 
-def _with(rows: DataFrame, table: DataFrame) -> DataFrame:
+def _with(rows: DataFrame, table: DataFrame, group: tuple[str, ...] = GROUP, how: str = "left") -> DataFrame:
     """Join per-group values to rows; null groups match."""
-    right = table.withColumnsRenamed({"lang": "_l", "source": "_s"})
-    return rows.join(right, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_l", "_s")
+    right = table.withColumnsRenamed({c: f"_{c}" for c in group})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
+    return rows.join(right, same, how).drop(*[f"_{c}" for c in group])
+
+
+def _named(wide: Column) -> dict[str, Column]:
+    """The group at a level: 0 is the language and source, 1 the language, 2 everything."""
+    return {"wide": wide, "source": F.when(wide < 1, F.col("source")), "lang": F.when(wide < 2, F.col("lang"))}
+
+
+def _levels(passed: DataFrame, wider: bool) -> DataFrame:
+    """lang, source → the level of the first group with LEAST vectors; without any, no row."""
+    sizes = passed.groupBy("lang", "source").agg(F.count("*").alias("n0"))
+    enough = F.when(F.col("n0") >= LEAST, 0)
+    if wider:
+        sizes = _with(sizes, sizes.groupBy("lang").agg(F.sum("n0").alias("n1")), ("lang",)).crossJoin(sizes.agg(F.sum("n0").alias("n2")))
+        enough = enough.when(F.col("n1") >= LEAST, 1).when(F.col("n2") >= LEAST, 2)
+    return sizes.select("lang", "source", enough.alias("wide")).filter(F.col("wide").isNotNull())
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians, and absolute deviations as a diagonal covariance: mean m0…, Cholesky factor l00…"""
-    group = ["lang", "source"]
+    group = list(GROUP)
     step = SCALE // 64
     state = rows.select(*group).distinct()
     for i, v in enumerate(VECTOR):
         middle = _middle(rows, group, F.floor(F.col(v) / step), 0.5).select(*group, ((F.col("bin") + 0.5) * step / SCALE).alias(f"m{i}"))
         state = _with(state, middle)
+    state = write_and_read(state, "quality-medians")  # a small plan for the driver
     placed = _with(rows, state)
     for i, v in enumerate(VECTOR):
         off = F.floor(F.abs(F.col(v) / SCALE - F.col(f"m{i}")) * 64)
@@ -142,7 +161,7 @@ def _bin() -> Column:
 
 def _concentrate(rows: DataFrame, state: DataFrame) -> DataFrame:
     """Mean and covariance (as a Cholesky factor) of the half of each group nearest by ``state``."""
-    group = ["lang", "source"]
+    group = list(GROUP)
     placed = with_distance(rows, state).select(*group, *VECTOR, _bin().alias("b"))
     half = _middle(placed, group, F.col("b"), 0.5).select(*group, F.col("bin").alias("most"))
     near = _with(placed, half).filter(F.col("b") <= F.col("most"))
@@ -163,15 +182,19 @@ def _concentrate(rows: DataFrame, state: DataFrame) -> DataFrame:
     return out.select(*group, *[f"m{i}" for i in range(4)], *[f"l{i}{j}" for i in range(4) for j in range(i + 1)])
 
 
-def judge(documents: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """doc_id, the counts, base_failed, d2 (null without estimate) and kept."""
+def judge(documents: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", wider: bool = False) -> DataFrame:
+    """doc_id, the counts, base_failed, d2 (null without estimate) and kept. With ``wider``, groups
+    that are too small take the estimate of their language, or else of the whole corpus."""
     counts = write_and_read(vectors(text_counts(documents, id_column, text, lang, source)), "quality-counts")
     passed = counts.filter("not base_failed").select("lang", "source", *VECTOR)
-    sizes = passed.groupBy("lang", "source").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST)
-    rows = _with(passed, sizes).filter(F.col("n").isNotNull()).drop("n")
+    levels = write_and_read(_levels(passed, wider), "quality-levels")
+    wanted = levels.select(*[c.alias(n) for n, c in _named(F.col("wide")).items()]).distinct()
+    used = [r.wide for r in levels.select("wide").distinct().orderBy("wide").collect()]
+    everywhere = passed.withColumn("wide", F.explode(F.array(*map(F.lit, used)).cast("array<int>")))
+    rows = write_and_read(_with(everywhere.withColumns(_named(F.col("wide"))), wanted, how="left_semi"), "quality-rows")
     state = write_and_read(_start(rows), "quality-start")
     for _ in range(STEPS):
         state = write_and_read(_concentrate(rows, state), "quality-step")
-    judged = with_distance(counts, state)
+    judged = with_distance(_with(counts, levels, ("lang", "source")).withColumns(_named(F.col("wide"))), state)
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "d2")

@@ -52,7 +52,7 @@ def op3_substrings(t: Tables):
 
 @query("op4_outliers")
 def op4_outliers(t: Tables):
-    return outliers.judge(t.documents)
+    return outliers.judge(t.documents, wider=True)
 
 
 @query("op5_jaccard", JACCARD_SQL)

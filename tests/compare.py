@@ -16,6 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tributary.tables import TABLES  # noqa: E402
 
+TEST_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()

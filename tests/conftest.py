@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,6 +17,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def tables(spark):
+    from compare import TEST_DIR
     from tributary.tables import Tables
 
-    return Tables(spark, SF_DIR)
+    return Tables(spark, TEST_DIR)

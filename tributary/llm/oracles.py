@@ -111,3 +111,36 @@ whole AS (SELECT start, min(conv_id) AS conv_id, count(*) AS copies, any_value(n
 SELECT conv_id, CAST(n_turns AS INTEGER) AS n_turns, copies, chat FROM whole
 WHERE start NOT IN (SELECT start FROM starts WHERE place < n_turns)
 """
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of an ASCII expression, bit by bit."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: list_transform(range(8), lambda k: CAST((unicode(c) >> k) & 1 AS BIGINT))))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+
+
+TRIE_SQL = rf"""
+WITH own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p, coalesce(role, '') AS r, coalesce(text, '') AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, {crc32_sql("CAST(c AS VARCHAR)")} % 4 AS h, c - c % 20 AS d, count(*) AS n FROM own GROUP BY c),
+rebuilt AS (
+  SELECT i.c, p, r, t FROM ids i JOIN own ON own.c = i.d AND p <= h
+  UNION ALL SELECT i.c, p - h + least(h, (SELECT count(*) FROM own o WHERE o.c = i.d)), r, t FROM ids i JOIN own ON own.c = i.c AND p > h),
+paths AS (
+  SELECT c, p AS depth, md5(string_agg(length(r) || ':' || r || t, chr(1) || '|') OVER (PARTITION BY c ORDER BY p)) || p AS node, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM ids),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM paths GROUP BY node),
+up AS (SELECT DISTINCT a.node, b.node AS parent FROM paths a JOIN paths b ON a.c = b.c AND a.depth = b.depth + 1),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM up GROUP BY parent),
+below AS (  -- each node stands once, at its smallest member
+  SELECT m.node, sum((w.n_convs - 1) * w.words) AS saved, count(*) FILTER (WHERE k.node IS NULL) AS leaves
+  FROM nodes w JOIN paths m ON m.c = w.conv_id AND m.depth <= w.depth LEFT JOIN kids k ON k.node = w.node GROUP BY m.node),
+ends AS (
+  SELECT node, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM (SELECT c, arg_max(node, depth) AS node FROM paths GROUP BY c) GROUP BY node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, leaves AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN ends e ON e.node = n.node
+LEFT JOIN up ON up.node = n.node LEFT JOIN nodes p ON p.node = up.parent
+"""

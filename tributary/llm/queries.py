@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, compression, jaccard, mixing, outliers, substrings, toxicity, urls, vectors
+from tributary.llm import bpe, chat, compression, jaccard, mixing, outliers, substrings, toxicity, trie, urls, vectors
 from tributary.llm.common import held_out
-from tributary.llm.oracles import CHAT_SQL, JACCARD_SQL, MIXING_SQL, SUBSTRINGS_SQL, URLS_SQL, VECTORS_SQL
+from tributary.llm.oracles import CHAT_SQL, JACCARD_SQL, MIXING_SQL, SUBSTRINGS_SQL, TRIE_SQL, URLS_SQL, VECTORS_SQL
 from tributary.plans.registry import Query
 from tributary.tables import Tables
 
@@ -85,3 +85,8 @@ def op9_vectors(t: Tables):
 @query("op10_chat", CHAT_SQL)
 def op10_chat(t: Tables):
     return chat.collapse(t.conversations).withColumnRenamed("conv", "conv_id")
+
+
+@query("op11_trie", TRIE_SQL)
+def op11_trie(t: Tables):
+    return trie.nodes(t.conversations)

@@ -144,3 +144,55 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN ends e ON e.node = n.node
 LEFT JOIN up ON up.node = n.node LEFT JOIN nodes p ON p.node = up.parent
 """
+
+
+REPAIR_SQL = rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(CAST(conv_id AS VARCHAR), ' ') AS c, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM given, (VALUES (0), (1)) AS t(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, substr(role, 1, 1) AS i, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS p,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged),
+marked AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE 'fine' END AS fault,
+         lag(i) OVER (PARTITION BY c ORDER BY p) || i AS twin FROM placed),
+inserts(p, q, cost, e) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (3, 2, 3, 'I'), (2, 3, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
+moves(i, p, q) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+edits AS (
+  SELECT '' AS i, p, q, 4 AS cost, 'D' AS e FROM inserts WHERE p = q UNION ALL SELECT i, p, q, 0, 'K' FROM moves
+  UNION ALL SELECT '', p, q, 3, 'R' FROM moves WHERE i <> 's'),
+dp AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT) AS done, 0 AS s, 0 AS cost, '' AS audit FROM given
+  UNION ALL
+  SELECT c, done, s, cost, audit FROM (
+    SELECT *, row_number() OVER (PARTITION BY c, s ORDER BY cost, audit) AS best FROM (
+      SELECT d.c, m.p AS done, o.q AS s, d.audit || n.e || o.e AS audit,
+             d.cost + n.cost + o.cost + CASE WHEN o.e <> 'D' AND m.fault = 'truncated' THEN 3 ELSE 0 END AS cost
+      FROM dp d JOIN marked m ON m.c = d.c AND m.p = d.done + 1 JOIN inserts n ON n.p = d.s
+      JOIN edits o ON o.p = n.q AND (o.e = 'D' OR m.fault IN ('truncated', 'fine')) AND (o.e <> 'K' OR o.i = m.i)))
+  WHERE best = 1),
+ends AS (
+  SELECT d.c, d.cost + n.cost AS cost, d.audit || n.e AS audit, row_number() OVER (PARTITION BY d.c ORDER BY d.cost + n.cost, d.audit || n.e) AS best
+  FROM dp d JOIN inserts n ON n.p = d.s AND n.q IN (0, 3) WHERE d.done = (SELECT count(*) FROM marked m WHERE m.c = d.c)),
+walk AS (
+  SELECT c, k, e, count(*) FILTER (WHERE e <> 'I') OVER (PARTITION BY c ORDER BY k) AS p, count(*) FILTER (WHERE e <> 'D') OVER (PARTITION BY c ORDER BY k) - 1 AS o
+  FROM (SELECT c, k, substr(audit, k, 1) AS e FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS k FROM ends WHERE best = 1))),
+outs AS (
+  SELECT w.c, k, o, e, role, CASE WHEN e = 'I' THEN '' ELSE text END AS text, first_value(e = 'K' AND i = 's') OVER (PARTITION BY w.c ORDER BY k) AS sys
+  FROM walk w LEFT JOIN marked m ON m.c = w.c AND m.p = w.p AND e <> 'I' WHERE e <> 'D'),
+texts AS (
+  SELECT c, string_agg(CASE WHEN e = 'K' THEN role WHEN (o % 2 = 1) = sys THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k) AS t FROM outs GROUP BY c),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE p > 1 AND twin NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(cost AS BIGINT) AS cost, audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM given) g JOIN ends ON ends.c = g.c AND best = 1 LEFT JOIN counts ON counts.c = g.c LEFT JOIN texts ON texts.c = g.c
+"""

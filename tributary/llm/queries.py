@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, compression, jaccard, mixing, outliers, substrings, toxicity, trie, urls, vectors
+from tributary.llm import bpe, chat, compression, grammar, jaccard, mixing, outliers, substrings, toxicity, trie, urls, vectors
 from tributary.llm.common import held_out
-from tributary.llm.oracles import CHAT_SQL, JACCARD_SQL, MIXING_SQL, SUBSTRINGS_SQL, TRIE_SQL, URLS_SQL, VECTORS_SQL
+from tributary.llm.oracles import CHAT_SQL, JACCARD_SQL, MIXING_SQL, REPAIR_SQL, SUBSTRINGS_SQL, TRIE_SQL, URLS_SQL, VECTORS_SQL
 from tributary.plans.registry import Query
 from tributary.tables import Tables
 
@@ -90,3 +90,8 @@ def op10_chat(t: Tables):
 @query("op11_trie", TRIE_SQL)
 def op11_trie(t: Tables):
     return trie.nodes(t.conversations)
+
+
+@query("op12_repair", REPAIR_SQL)
+def op12_repair(t: Tables):
+    return grammar.repaired(t.conversations)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, compression, grammar, jaccard, mixing, outliers, substrings, toxicity, trie, urls, vectors
+from tributary.llm import bpe, chat, compression, grammar, html, jaccard, mixing, outliers, substrings, toxicity, trie, urls, vectors
 from tributary.llm.common import held_out
 from tributary.llm.oracles import CHAT_SQL, JACCARD_SQL, MIXING_SQL, REPAIR_SQL, SUBSTRINGS_SQL, TRIE_SQL, URLS_SQL, VECTORS_SQL
 from tributary.plans.registry import Query
@@ -95,3 +95,8 @@ def op11_trie(t: Tables):
 @query("op12_repair", REPAIR_SQL)
 def op12_repair(t: Tables):
     return grammar.repaired(t.conversations)
+
+
+@query("op13_html")
+def op13_html(t: Tables):
+    return html.extract(t.pages)

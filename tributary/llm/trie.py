@@ -168,9 +168,9 @@ def dense(t1: np.ndarray, t2: np.ndarray, depth: np.ndarray) -> np.ndarray:
 
 INNER, UNDER_BORDER, BORDER, PATH = range(4)
 OUT = pa.schema(
-    [("kind", pa.int32()), *[(c, pa.int64()) for c in ("a1", "a2", "b1", "b2", "depth", "conv", "parent_conv", "n", "words", "children", "leaves", "saved")], ("ends", pa.string())]
+    [("kind", pa.int32()), *[(c, pa.int64()) for c in ("chunk", "a1", "a2", "b1", "b2", "depth", "conv", "parent_conv", "n", "words", "children", "leaves", "saved")], ("ends", pa.string())]
 )
-OUT_SQL = "kind int, a1 long, a2 long, b1 long, b2 long, depth long, conv long, parent_conv long, n long, words long, children long, leaves long, saved long, ends string"
+OUT_SQL = "kind int, chunk long, a1 long, a2 long, b1 long, b2 long, depth long, conv long, parent_conv long, n long, words long, children long, leaves long, saved long, ends string"
 
 
 class Chunk:
@@ -238,7 +238,7 @@ class Chunk:
         up = parent[slot]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(kind, pa.int32()), pa.array(signed(q1[slot])), pa.array(signed(q2[slot])),
+                pa.array(kind, pa.int32()), pa.array(np.full(len(slot), least[0])), pa.array(signed(q1[slot])), pa.array(signed(q2[slot])),
                 pa.array(signed(q1[up]), mask=top), pa.array(signed(q2[up]), mask=top), pa.array(level[slot] + self.depth), pa.array(conv[slot]),
                 pa.array(conv[up], mask=top), pa.array(n[slot]), pa.array(words[slot]), pa.array(children[slot]), pa.array(leaves[slot]), pa.array(saved[slot]),
                 pa.array([ends.get(s) for s in slot.tolist()], pa.string()),
@@ -297,7 +297,7 @@ def shard(depth: int, most: int):
 
 
 def level_nodes(pieces: DataFrame, level: int, below: DataFrame | None, chunk: int) -> tuple[DataFrame, DataFrame]:
-    """(nodes inside one double array, merged border nodes) of one level."""
+    """(nodes of each double array, merged border nodes) of one level."""
     by = ["p1", "p2", "turns", "more", "e1", "e2"]
     ids = F.array_join(F.array_sort(F.collect_list("conv")), ",")
     equal = pieces.groupBy(*by, F.floor(F.col("conv") / BLOCK).alias("block")).agg(F.count("*").alias("n"), F.min("conv").alias("conv"), ids.alias("ids"))
@@ -319,7 +319,8 @@ def level_nodes(pieces: DataFrame, level: int, below: DataFrame | None, chunk: i
     beyond = Window.partitionBy("conv").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, 0)
     carried = path.select("a1", "a2", F.sum("x").over(beyond).alias("x"), F.sum("y").over(beyond).alias("y"))
     totals = carried.groupBy("a1", "a2").agg(F.sum("x").alias("leaves"), F.sum("y").alias("saved"))
-    return out.filter(F.col("kind") < BORDER), border.drop("leaves", "saved").join(totals, ["a1", "a2"])
+    out = out.filter(F.col("kind") < PATH).withColumn("level", F.lit(level))
+    return out, border.drop("leaves", "saved").join(totals, ["a1", "a2"])
 
 
 def nodes(turns: DataFrame, id_column: str = "conv_id", family: int = 20, heads: int = 4, chunk: int = CHUNK) -> DataFrame:
@@ -340,12 +341,16 @@ def nodes(turns: DataFrame, id_column: str = "conv_id", family: int = 20, heads:
         inner.append(within)
         border.append(merged)
     union = lambda frames: frames[0] if len(frames) == 1 else frames[0].unionByName(union(frames[1:]))
-    inside, edge = union(inner), union(border)
-    tops = edge.select(F.col("a1").alias("b1"), F.col("a2").alias("b2"), F.col("conv").alias("top"))
+    parts, edge = union(inner), union(border)
     columns = ["depth", "conv", "n", "children", "leaves", "saved", "ends"]
-    waiting = inside.filter(F.col("kind") == UNDER_BORDER).select("b1", "b2", *columns).unionByName(edge.select("b1", "b2", *columns))
-    done = waiting.join(tops, ["b1", "b2"], "left").select(*columns, F.col("top").alias("parent_conv"))
-    every = inside.filter(F.col("kind") == INNER).select(*columns, "parent_conv").unionByName(done)
+    tops = edge.select("a1", "a2", F.col("conv").alias("parent_conv"))
+    # Children of a border node learn its conversation by double array and node: a parent of very many children is no hot key.
+    known = parts.filter(F.col("kind") == BORDER).select("level", "chunk", "a1", "a2").join(tops, ["a1", "a2"])
+    parent = [F.col("a1").alias("b1"), F.col("a2").alias("b2"), "parent_conv"]
+    under = parts.filter(F.col("kind") == UNDER_BORDER).drop("parent_conv").join(known.select("level", "chunk", *parent), ["level", "chunk", "b1", "b2"])
+    inside = parts.filter(F.col("kind") == INNER)
+    every = [inside, under, edge.join(tops.select(*parent), ["b1", "b2"], "left")]
+    every = union([x.select(*columns, "parent_conv") for x in every])
     return every.select(
         F.col("conv").alias("conv_id"),
         "depth",

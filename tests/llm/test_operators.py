@@ -331,3 +331,51 @@ def test_pipeline_stages(spark):
         if name == "near_copies":
             assert all(r.n_links == 0 for r in jaccard.linked_documents(jaccard.join(given)).collect())
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
+
+
+def test_toxicity_class_without_words(spark):
+    rows = [(i, f"clean words number {i}", 0) for i in range(40)] + [(100 + i, [None, "", " \n"][i % 3], 1) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame, frame.select("doc_id", "toxic"))
+    assert model.chain is None
+    assert {round(r.score, 6) for r in toxicity.score(frame, model).collect()} == {round(20.5 / 61, 6)}
+
+
+def test_rows_without_id_are_told_apart_by_64_bits(spark):
+    """Two texts whose 32-bit hashes are equal, both without an id; one repeats a passage."""
+    hashed = spark.range(400_000).select("id", F.hash(F.concat(F.lit("u"), "id")).alias("h"))
+    a, b = hashed.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n")).filter("n > 1").orderBy("h").select("a", "b").first()
+    tails = [f"u{a}", f"u{b}"]
+    # hash() of a string goes on from the hash of what is before: equal starts, then words that collide
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(None, tails[0]), (None, tails[1]), (1, passage), (2, passage + " z"), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert frame.filter("doc_id is null and text like 'u%'").select(F.hash("text")).distinct().count() == 1
+    assert Counter(map(tuple, substrings.summary(frame).collect())) == removed(rows, 35)
+    assert jaccard.one_of_each(frame).count() == 5  # the passage and its near copy are one group
+
+
+def test_urls_very_long(spark):
+    rules = urls.rules_frame(spark, [("block", "example.com", "/"), ("allow", "a.b.c.example.com", "/x/")])
+    long_host = ".".join("l" * (i % 5 + 1) for i in range(60_000)) + ".example.com"
+    rows = [(1, f"http://{long_host}/y"), (2, "http://example.com/" + "p" * 200_000), (3, "http://q.a.b.c.example.com/x/y"), (4, "http://" + "." * 50_000 + "/")]
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert got == {1: ("example.com/", "block"), 2: ("example.com/", "block"), 3: ("a.b.c.example.com/x/", "allow"), 4: (None, "allow")}
+    assert {r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules.limit(0)).collect()} == {"allow"}
+
+
+def test_vectors_recall_with_many_centres(spark):
+    """256 inverted lists, of which four are read."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for c in range(500):
+        centre = rng.normal(size=32)
+        rows += [(centre + rng.normal(size=32) * 0.09).tolist() for _ in range(rng.integers(1, 10))]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int").selectExpr("*", "1 as node", "'x' as g", "2 as cell")
+    x = vectors.unit(np.array(rows))
+    wanted = (x @ x.T >= 0.98).sum(1) - 1
+    found = {r.vec_id: r.n_links for r in vectors.near_copies(frame, probes=4, centres=256).collect()}
+    few = {r.vec_id: r.n_links for r in vectors.near_copies(frame, probes=1, centres=256).collect()}
+    assert all(found[i] <= n for i, n in enumerate(wanted.tolist()))
+    assert wanted.sum() > 500 and sum(found.values()) >= 0.9 * wanted.sum()
+    assert sum(few.values()) <= sum(found.values())

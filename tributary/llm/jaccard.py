@@ -83,7 +83,7 @@ def _facts(rows: DataFrame, size: int) -> DataFrame:
         sets = [ngram_set((t or "").encode("utf-8", "surrogatepass"), table, size) for t in batch.column("text").to_pylist()]
         seen, counts = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
         often = counts >= SEEN
-        schema = pa.schema([batch.schema.field("doc_id"), ("k", pa.int32()), ("n", pa.int64()), ("key", pa.int64()), ("grams", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+        schema = pa.schema([batch.schema.field("doc_id"), ("k", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("grams", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
         none = [None] * len(sets)
         ids = pa.concat_arrays([batch.column("doc_id"), pa.nulls(1, batch.schema.field("doc_id").type)])
         yield arrow_rows(
@@ -91,7 +91,7 @@ def _facts(rows: DataFrame, size: int) -> DataFrame:
             grams=[*none, signed(seen[often])], counts=[*none, counts[often]],
         )
 
-    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k int, n long, key long, grams array<long>, counts array<long>")
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k long, n long, key long, grams array<long>, counts array<long>")
 
 
 def _common(facts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -313,7 +313,7 @@ def _solve(sets: DataFrame, size: int) -> DataFrame:
 
 def join(documents: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SIZE) -> Join:
     """All links between documents, as classes of equal sets with their number of links and component."""
-    rows = documents.select(F.col(id_column).alias("doc_id"), F.hash(text).alias("k"), F.col(text).alias("text"))
+    rows = documents.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("k"), F.col(text).alias("text"))
     facts = write_and_read(_facts(rows, size), "jaccard-facts")
     own = facts.filter("n is not null").select("doc_id", "k", F.col("n").alias("n_shingles"), "key")
     classes = write_and_read(
@@ -351,8 +351,10 @@ def one_of_each(documents: DataFrame, id_column: str = "doc_id", text: str = "te
     first = result.classes.filter("is_first").select(F.col("rep.doc_id").alias("_d"), F.col("rep.k").alias("_k")).distinct()
     empty = result.documents.filter("n_shingles = 0").select(F.col("doc_id").alias("_d"), F.col("k").alias("_k")).distinct()
     keep = first.withColumn("_empty", F.lit(False)).unionByName(empty.withColumn("_empty", F.lit(True)))
-    rows = documents.withColumn("_at", F.hash(text)).withColumn("_key", F.xxhash64(id_column, "_at"))
+    rows = documents.withColumn("_at", F.xxhash64(text)).withColumn("_key", F.xxhash64(id_column, "_at"))
     keep = keep.withColumn("_key2", F.xxhash64("_d", "_k"))
     same = (F.col("_key") == F.col("_key2")) & F.col(id_column).eqNullSafe(F.col("_d")) & (F.col("_at") == F.col("_k"))
-    nth = F.row_number().over(Window.partitionBy("_key", "_d", "_k").orderBy("_key"))
-    return rows.join(keep, same).withColumn("_nth", nth).filter("_empty or _nth = 1").select(*[rows[c] for c in documents.columns])
+    # each empty row is a group of its own; of the others one per id and text is left before the shuffle
+    own = F.when(F.col("_empty"), F.monotonically_increasing_id())
+    nth = F.row_number().over(Window.partitionBy("_key", "_d", "_k", own).orderBy("_key"))
+    return rows.join(keep, same).withColumn("_nth", nth).filter("_nth = 1").select(*[rows[c] for c in documents.columns])

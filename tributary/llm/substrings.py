@@ -74,7 +74,7 @@ def witnesses(*keys: np.ndarray) -> np.ndarray:
 
 def keyed(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     """doc_id, k (hash of the text, tells rows with one id apart), text."""
-    return documents.select(F.col(id_column).alias("doc_id"), F.hash(text).alias("k"), F.col(text).alias("text"))
+    return documents.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("k"), F.col(text).alias("text"))
 
 
 def facts(rows: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def facts(rows: DataFrame) -> DataFrame:
         schema = pa.schema([batch.schema.field("doc_id"), batch.schema.field("k"), ("n_words", pa.int64()), ("sha", pa.string())])
         yield arrow_rows(schema, doc_id=batch.column("doc_id"), k=batch.column("k"), n_words=[len(w) for w in words], sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words])
 
-    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k int, n_words long, sha string")
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k long, n_words long, sha string")
 
 
 def piece_rows(rows: DataFrame, window: int) -> DataFrame:
@@ -114,24 +114,22 @@ def piece_rows(rows: DataFrame, window: int) -> DataFrame:
             row_, at_, g_, l_, r_ = (np.concatenate(x) for x in (row, at, g, l, r))
             known = witnesses(g_, l_, r_)
             spread = np.where(known, mix(g_ + mix(at_.astype(np.uint64) + (row_.astype(np.uint64) << np.uint64(32)))), g_)
-            schema = pa.schema([batch.schema.field("doc_id"), ("kp", pa.int64()), ("g", pa.int64()), ("lr", pa.int64())])
-            kp = ks.to_numpy()[row_].astype(np.int64) << 32 | at_
+            schema = pa.schema([batch.schema.field("doc_id"), ("k", pa.int64()), ("at", pa.int32()), ("g", pa.int64()), ("lr", pa.int64())])
             # 32 and 31 bits of the extensions' hashes: they only tell rows of one g apart
             lr = (l_ >> np.uint64(32) << np.uint64(32)) | (r_ >> np.uint64(33) << np.uint64(1)) | known.astype(np.uint64)
-            yield arrow_rows(schema, doc_id=ids.take(pa.array(row_)), kp=kp, g=signed(spread), lr=signed(lr))
+            yield arrow_rows(schema, doc_id=ids.take(pa.array(row_)), k=ks.to_numpy()[row_], at=at_.astype(np.int32), g=signed(spread), lr=signed(lr))
 
-    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, kp long, g long, lr long")
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k long, at int, g long, lr long")
 
 
 def candidates(pieces: DataFrame) -> DataFrame:
     """doc_id, k, marks: places of pieces that repeat, times four, plus 1 and 2 for a repeating extension to the left and right."""
     same = lambda *c: F.count("*").over(Window.partitionBy(*c)) > 1  # noqa: E731  one shuffle, by g, is enough for both
-    parts = pieces.select("doc_id", "kp", "g", F.shiftright("lr", 32).alias("l"), F.col("lr").bitwiseAND(F.lit(0xFFFFFFFE)).alias("r"), (F.col("lr") % 2 != 0).alias("settled"))
-    flagged = parts.select("doc_id", "kp", "settled", same("g", "l").alias("left"), same("g", "r").alias("right"))
+    parts = pieces.select("doc_id", "k", "at", "g", F.shiftright("lr", 32).alias("l"), F.col("lr").bitwiseAND(F.lit(0xFFFFFFFE)).alias("r"), (F.col("lr") % 2 != 0).alias("settled"))
+    flagged = parts.select("doc_id", "k", "at", "settled", same("g", "l").alias("left"), same("g", "r").alias("right"))
     left, right = (F.col("settled") | F.col(c) for c in ("left", "right"))
-    mark = F.col("kp").bitwiseAND(F.lit(0xFFFFFFFF)) * 4 + F.when(left, 1).otherwise(0) + F.when(right, 2).otherwise(0)
-    k = F.shiftright("kp", 32).cast("int")
-    return flagged.filter(left | right).groupBy("doc_id", k.alias("k")).agg(F.collect_list(mark).alias("marks"))
+    mark = F.col("at").cast("long") * 4 + F.when(left, 1).otherwise(0) + F.when(right, 2).otherwise(0)
+    return flagged.filter(left | right).groupBy("doc_id", "k").agg(F.collect_list(mark).alias("marks"))
 
 
 def packed(rows: DataFrame) -> DataFrame:
@@ -143,7 +141,7 @@ def packed(rows: DataFrame) -> DataFrame:
         schema = pa.schema([batch.schema.field("doc_id"), batch.schema.field("k"), ("packed", pa.binary())])
         yield arrow_rows(schema, doc_id=batch.column("doc_id"), k=batch.column("k"), packed=blobs)
 
-    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k int, packed binary")
+    return map_texts(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k long, packed binary")
 
 
 def unpacked(blob: bytes) -> bytes:
@@ -151,7 +149,7 @@ def unpacked(blob: bytes) -> bytes:
 
 
 def window_rows(found: DataFrame, window: int) -> DataFrame:
-    """Whole windows left to compare: doc_id, kp, hash w, settled, and whether the text is ``whole``."""
+    """Whole windows left to compare: doc_id, k, at, hash w, settled, and whether the text is ``whole``."""
     short, half = levels(window)
     table = WordHashes()
 
@@ -183,10 +181,10 @@ def window_rows(found: DataFrame, window: int) -> DataFrame:
             row_, at_, w_, sure_ = (np.concatenate(x) for x in (row, at, w, sure))
             known = witnesses(w_)
             spread = np.where(known, mix(w_ + mix(at_.astype(np.uint64) + (row_.astype(np.uint64) << np.uint64(32)))), w_)
-            schema = pa.schema([batch.schema.field("doc_id"), ("kp", pa.int64()), ("w", pa.int64()), ("settled", pa.bool_()), ("whole", pa.bool_())])
-            yield arrow_rows(schema, doc_id=ids.take(pa.array(row_)), kp=ks[row_].astype(np.int64) << 32 | at_, w=signed(spread), settled=known, whole=sure_)
+            schema = pa.schema([batch.schema.field("doc_id"), ("k", pa.int64()), ("at", pa.int32()), ("w", pa.int64()), ("settled", pa.bool_()), ("whole", pa.bool_())])
+            yield arrow_rows(schema, doc_id=ids.take(pa.array(row_)), k=ks[row_], at=at_.astype(np.int32), w=signed(spread), settled=known, whole=sure_)
 
-    return map_texts(found, run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, kp long, w long, settled boolean, whole boolean")
+    return map_texts(found, run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, k long, at int, w long, settled boolean, whole boolean")
 
 
 def repeats(documents: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -203,9 +201,9 @@ def repeats(documents: DataFrame, id_column: str = "doc_id", text: str = "text",
     one = known.filter(~F.col("whole") | (F.col("first") == F.struct("doc_id", "k"))).select("doc_id", "k", "whole").distinct()
     wanted = one.join(marked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).select("d", "kk", "whole", "marks")
     found = packed(rows).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).select("doc_id", "k", "packed", "whole", "marks")
-    compared = window_rows(found, window).select("doc_id", "kp", "settled", "whole", (F.count("*").over(Window.partitionBy("w")) > 1).alias("again"))
+    compared = window_rows(found, window).select("doc_id", "k", "at", "settled", "whole", (F.count("*").over(Window.partitionBy("w")) > 1).alias("again"))
     again = compared.filter("not whole and (settled or again)")
-    covers = again.groupBy("doc_id", F.shiftright("kp", 32).cast("int").alias("k")).agg(F.collect_list(F.col("kp").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("starts"))
+    covers = again.groupBy("doc_id", "k").agg(F.collect_list("at").alias("starts"))
     return rows, known, write_and_read(covers, "substring-covers")
 
 
@@ -233,7 +231,7 @@ def summary(documents: DataFrame, id_column: str = "doc_id", text: str = "text",
         schema = pa.schema([batch.schema.field("doc_id"), batch.schema.field("k"), ("removed", pa.int64()), ("kept_sha", pa.string())])
         yield arrow_rows(schema, doc_id=batch.column("doc_id"), k=batch.column("k"), removed=removed, kept_sha=shas)
 
-    cut = map_texts(found, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k int, removed long, kept_sha string")
+    cut = map_texts(found, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k long, removed long, kept_sha string")
     cut = cut.distinct().withColumnsRenamed({"doc_id": "d", "k": "kk"})  # rows that repeat an id and a text are whole copies, never here twice
     empty = hashlib.sha256(b"").hexdigest()
     joined = known.join(cut, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk")), "left")
@@ -249,7 +247,7 @@ def without_repeats(documents: DataFrame, id_column: str = "doc_id", text: str =
     _, known, covers = repeats(documents, id_column, text, window)
     whole = known.filter("whole").select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.lit(None).cast("array<int>").alias("_starts"), F.lit(True).alias("_whole")).distinct()
     cuts = covers.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.col("starts").alias("_starts"), F.lit(False).alias("_whole"))
-    rows = documents.withColumn("_at", F.hash(text))
+    rows = documents.withColumn("_at", F.xxhash64(text))
     joined = rows.join(whole.unionByName(cuts), F.col(id_column).eqNullSafe(F.col("_d")) & (F.col("_at") == F.col("_k")), "left")
 
     columns = documents.columns

@@ -19,6 +19,8 @@ and text are not read. Offsets count characters, the end excluded.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -158,6 +160,8 @@ def _lexicon(sample: DataFrame) -> dict[str, set[str]]:
     around = F.xxhash64(F.get("w", F.col("i") - 1), F.lit(0), F.get("w", F.col("i") + 1))
     found = write_and_read(rows.select("label", "word", around.alias("around")).distinct(), "toxic-contexts")
     totals = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
+    if not totals.get(0) or not totals.get(1):
+        return {"words": set(), "starts": set()}  # a class without words tells nothing
     share = totals[1] / (totals[0] + totals[1])
     out = {}
     for kind, key in (("words", F.col("word")), ("starts", F.when(F.char_length("word") >= START - 1, F.substring("word", 1, START)))):
@@ -227,7 +231,11 @@ class Tagger:
         return tokens, size, marginals(np.array(values, float), begins, self.chain)
 
 
-def tagger(key: int, chain: Chain) -> Tagger:
+def digest(model) -> str:
+    return hashlib.sha256(pickle.dumps(model)).hexdigest()
+
+
+def tagger(key: str, chain: Chain) -> Tagger:
     """One per Python worker and model."""
     return kept(("tagger", key), lambda: Tagger(chain))
 
@@ -249,7 +257,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", skip: C
         return flat
     chain = train_chain(tokens, marks)
     sent = documents.sparkSession.sparkContext.broadcast(chain)
-    key = hash(chain.start)
+    key = digest(chain)
 
     def run(batch: pa.RecordBatch):
         _, size, p = tagger(key, sent.value).tag(batch.column("text").to_pylist())
@@ -283,7 +291,7 @@ def offsets(text: str, tokens: list[str], marked: np.ndarray) -> list[tuple[int,
 def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """id → score, predicted, starts and ends of offending passages; with ``keep``: those columns, and the others' names begin with _toxic_."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    key = hash(model.curve)
+    key = digest(model)
     rows = documents.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")) if keep is None else documents.select(*keep)
     names, shown = (["doc_id"], "text") if keep is None else (keep, text)
     mark = "" if keep is None else "_toxic_"  # cannot clash with the columns kept

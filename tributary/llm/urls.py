@@ -77,14 +77,16 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def url_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Longest first: host suffixes from the whole host down, each with path starts from long to short."""
-    labels = F.split(host, r"\.")
-    count = F.size(labels)
-    suffixes = F.when(host != "", F.transform(F.sequence(F.lit(1), count), lambda k: F.array_join(F.slice(labels, k, count - k + 1), ".")))
-    starts = F.filter(F.array(*[F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in sorted(lengths, reverse=True)]), lambda x: x.isNotNull())
-    keys = F.flatten(F.transform(suffixes, lambda h: F.transform(starts, lambda p: F.concat(h, F.lit(BORDER), p))))
-    return F.coalesce(keys, F.array().cast("array<string>"))
+def url_keys(host: Column, path: Column, lengths: list[int], labels: list[int]) -> Column:
+    """Longest first: host suffixes of as many labels as ``labels`` has, each with path starts of ``lengths``, from long to short.
+
+    Only what can be listed is built, so the keys of a url grow with the list's shapes and not with the url.
+    """
+    own = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = [F.when((host != "") & (own >= k), F.substring_index(host, ".", -k)) for k in sorted(labels, reverse=True)]
+    starts = [F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in sorted(lengths, reverse=True)]
+    keys = [F.concat(h, F.lit(BORDER), p) for h in suffixes for p in starts]
+    return F.filter(F.array(*keys), lambda x: x.isNotNull()) if keys else F.array().cast("array<string>")
 
 
 def _hashed(key: Column) -> tuple[Column, Column]:
@@ -154,12 +156,13 @@ def judge(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url: s
     """
     spark = pages.sparkSession
     key = F.concat("host", F.lit(BORDER), "path")
-    keyed = rules.groupBy(key.alias("key")).agg(F.max("verdict").alias("verdict"), F.max(F.char_length("path")).alias("length"))
+    keyed = rules.groupBy(key.alias("key")).agg(F.max("verdict").alias("verdict"), F.max(F.char_length("path")).alias("length"), F.max(F.size(F.split("host", r"\."))).alias("labels"))
     keyed = write_and_read(keyed.withColumns(dict(zip("ab", _hashed(F.col("key"))))), "url-rules")
-    lengths = [r.length for r in keyed.select("length").distinct().collect()]  # as many as there are path lengths in the list
+    # as many as there are path lengths, and numbers of labels, in the list
+    lengths, labels = ([r[0] for r in keyed.select(c).distinct().collect()] for c in ("length", "labels"))
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(id_column).alias("page_id"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("keys", url_keys(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"))
+    rows = rows.withColumn("keys", url_keys(F.col("host"), F.col("path"), lengths, labels))
     universe = write_and_read(rows.select(F.explode("keys").alias("key")).distinct().select(*[h.alias(n) for n, h in zip("ab", _hashed(F.col("key")))]), "url-universe")
     cascades = {}
     for verdict in ("allow", "block"):

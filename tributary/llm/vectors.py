@@ -78,10 +78,10 @@ def train(sample: np.ndarray, centres: int) -> Index:
     return Index(coarse, [k_means(rest[:, a:b], min(CODEWORDS, len(sample)), 2) for a, b in zip(cuts, cuts[1:])], cuts)
 
 
-def encode(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode(x: np.ndarray, index: Index, visits: int = PROBES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Nearest centres (home first), codes of the residual, length of what the codes leave out."""
     far = squared(x, index.centres)
-    probes = np.argsort(far, axis=1, kind="stable")[:, :PROBES].astype(np.int32)
+    probes = np.argsort(far, axis=1, kind="stable")[:, :visits].astype(np.int32)
     rest = x - index.centres[probes[:, 0]]
     codes = np.stack([squared(rest[:, a:b], book).argmin(1) for a, b, book in zip(index.cuts, index.cuts[1:], index.books)], 1).astype(np.uint8)
     for m, (a, b) in enumerate(zip(index.cuts, index.cuts[1:])):
@@ -139,8 +139,8 @@ def nodes_of(embeddings: DataFrame, id_column: str, vector: str, label: str) ->
     return rows.withColumn("node", F.when(F.coalesce(fine, F.lit(False)), F.xxhash64("g", F.size("v"), "v")))
 
 
-def near_copies(embeddings: DataFrame, id_column: str = "vec_id", vector: str = "embedding", label: str = "label", least: float = COSINE, probes: int = PROBES) -> DataFrame:
-    """vec_id, n_links, component_id, kept, one row per vector."""
+def near_copies(embeddings: DataFrame, id_column: str = "vec_id", vector: str = "embedding", label: str = "label", least: float = COSINE, probes: int = PROBES, centres: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id, kept, one row per vector; ``centres``: number of inverted lists, else by the number of vectors."""
     rows = nodes_of(embeddings, id_column, vector, label)
     spark = embeddings.sparkSession
     nodes = write_and_read(
@@ -148,7 +148,7 @@ def near_copies(embeddings: DataFrame, id_column: str = "vec_id", vector: str =
     )
     found, edges = [], []
     for width, count in sorted((r.w, r["count"]) for r in nodes.groupBy(F.size("v").alias("w")).count().collect()):  # vectors have one length, or a few
-        out = write_and_read(_links(spark, nodes.filter(F.size("v") == width), count, width, least), "vector-links")
+        out = write_and_read(_links(spark, nodes.filter(F.size("v") == width), count, width, least, probes, centres), "vector-links")
         found.append(out.filter("other is null").select("node", "links"))
         edges.append(out.filter("other is not null").select("node", "other"))
     if not found:
@@ -168,11 +168,11 @@ def near_copies(embeddings: DataFrame, id_column: str = "vec_id", vector: str =
     )
 
 
-def _links(spark, nodes: DataFrame, count: int, width: int, least: float) -> DataFrame:
+def _links(spark, nodes: DataFrame, count: int, width: int, least: float, visits: int, centres: int | None) -> DataFrame:
     """Per task: (node, links) and, with ``other``, a forest of the links."""
     size = max(1, min(SAMPLE, SAMPLE_VALUES // width))
     sample = np.array([r.v for r in nodes.orderBy(F.xxhash64("node", F.lit("sample")), "node").limit(size).select("v").collect()], float)
-    index = train(unit(sample), int(min(CENTRES, max(1, round(count**0.5 / 8)))))
+    index = train(unit(sample), centres or int(min(CENTRES, max(1, round(count**0.5 / 8)))))
     sent = spark.sparkContext.broadcast(index)
     kind = nodes.schema["g"].dataType.simpleString()
 
@@ -181,7 +181,7 @@ def _links(spark, nodes: DataFrame, count: int, width: int, least: float) -> Dat
             if not batch.num_rows:
                 continue
             x = unit(batch.column("v").values.to_numpy().reshape(-1, width)[: batch.num_rows] if batch.column("v").offset == 0 else np.array(batch.column("v").to_pylist()))
-            near, codes, error = encode(x, sent.value)
+            near, codes, error = encode(x, sent.value, visits)
             schema = pa.schema([
                 batch.schema.field("node"), batch.schema.field("mult"), batch.schema.field("g"), ("probes", pa.list_(pa.int32())), ("codes", pa.binary()), ("error", pa.float64()), ("x", pa.binary()),
             ])

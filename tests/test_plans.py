@@ -60,7 +60,7 @@ def test_bucketed_join_has_no_exchange(spark):
     assert "Exchange" not in plan(QUERIES["snk_06_bucketed_join"](spark, SF_DIR))
 
 
-@pytest.mark.parametrize("key", ["win_02_top_n", "win_13_newest_version", "joi_08_lateral_top3", "seg_12_pages"])
+@pytest.mark.parametrize("key", ["win_02_top_n", "win_13_newest_version", "joi_08_lateral_top3"])
 def test_top_n_is_limited_before_the_shuffle(spark, key):
     assert "WindowGroupLimit" in plan(QUERIES[key](spark, SF_DIR))
 

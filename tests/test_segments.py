@@ -1,5 +1,6 @@
 import base64
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -186,3 +187,60 @@ def test_empty_and_missing_blobs_round_trip(spark):
         ("a", 0, b""), ("b", 0, b"1234"), ("b", 1, b"5678"), ("c", 0, b"1234"), ("c", 1, b"5678"), ("c", 2, b"9"),
     }
     assert {(r["name"], bytes(r["data"])) for r in segments.join_blobs(cut, "name").collect()} == {("a", b""), ("b", b"12345678"), ("c", b"123456789")}
+
+
+def stored_sets(spark, rows):
+    from tributary.operators import stored
+    from tributary.storage import run_path
+
+    words = bitmaps.bitmap_agg(spark.createDataFrame(rows, "s int, actor_id bigint"), ["s"], "actor_id")
+    halves = words.unionAll(words)  # words need not be merged
+    return stored.store(halves, ["s"], run_path(spark, "test-sets"))
+
+
+def test_stored_sets_answer_like_python_sets(spark):
+    from tributary.operators import stored
+
+    rng = random.Random(11)
+    dense, sparse = set(rng.sample(range(60_000), 30_000)), {rng.randrange(2**32) for _ in range(3000)} | {0, 2**32 - 1}
+    edges = {63, 64, 2047, 2048, 2048 * 256 - 1, 2048 * 256, 2048 * 256 * 5}
+    sets = {1: dense, 2: sparse, 3: edges, 4: {2**31}}
+    stored_ = stored_sets(spark, [(s, i) for s, ids in sets.items() for i in ids])
+    assert {r.s: r.members for r in stored.cardinality(stored_).collect()} == {s: len(ids) for s, ids in sets.items()}
+    found = defaultdict(set)
+    for r in stored.members(stored_).collect():
+        assert r.actor_id not in found[r.s]
+        found[r.s].add(r.actor_id)
+    assert found == sets
+    assert {r.actor_id for r in stored.members(stored_, where=F.col("s") == 3).collect()} == edges
+    probes = [(s, i) for s in (1, 2, 3, 4, 9, None) for i in [*rng.sample(range(70_000), 60), *rng.sample(sorted(sparse), 60), *edges, -1, -64, 2**32 - 1, 2**40, None]] + [(1, 5)] * 3
+    frame = spark.createDataFrame(probes, "s int, actor_id bigint")
+    got = stored.contains(stored_, frame, "actor_id").collect()
+    assert len(got) == len(probes) and all(r.found == (r.actor_id in sets.get(r.s, ())) for r in got)
+    cursors = [(s, c) for s in (1, 2, 3, 4, 9) for c in (-5, 0, 1, 63, 64, 2048, 59_999, 2048 * 256, 2**31, 2**31 + 1, 2**32 - 1, 2**32, 2**33)]
+    for size in (1, 7, 1000):
+        pages = defaultdict(list)
+        for r in stored.pages(stored_, spark.createDataFrame(cursors + cursors[:3], "s int, cursor bigint"), size).collect():
+            pages[r.s, r.cursor].append(r.actor_id)
+        for s, c in cursors:
+            assert sorted(pages[s, c]) == sorted(i for i in sets.get(s, ()) if i >= c)[:size], (s, c, size)
+    for s, c in cursors[::5]:
+        assert [r.actor_id for r in stored.read_page(stored_, {"s": s}, c, 9).collect()] == sorted(i for i in sets.get(s, ()) if i >= c)[:9]
+    some = [*list(edges), 5, -1, 70_001]
+    assert {r.actor_id for r in stored.read_contains(stored_, {"s": 3}, some).collect()} == edges
+
+
+def test_reads_of_stored_sets_skip_what_they_do_not_need(spark):
+    from tributary.operators import stored
+
+    sets = stored_sets(spark, [(s, 4096 * i) for s in range(20) for i in range(500)])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = lambda df: df._jdf.queryExecution().explainString(mode)
+    point = text(stored.read_contains(sets, {"s": 3}, [4096]))
+    assert "EqualTo(s,3)" in point and ("In(block, [2])" in point or "EqualTo(block,2)" in point) and "Exchange" not in point
+    page = text(stored.read_page(sets, {"s": 3}, 4096, 5))
+    assert "EqualTo(s,3)" in page and "GreaterThanOrEqual(block,2)" in page and "LessThanOrEqual(region" in page
+    counts = stored.needed_blocks(sets, spark.createDataFrame([(3, 0)], "s int, cursor bigint"), 5)
+    assert "bits" not in text(counts)
+    assert counts.count() <= 6  # of 500 blocks
+    assert "bits" not in text(stored.cardinality(sets)) and "Exchange" not in text(stored.members(sets))

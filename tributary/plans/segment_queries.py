@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.functions import roaring
-from tributary.operators import bitmaps, segments
+from tributary.operators import bitmaps, segments, stored
 from tributary.operators.segments import Segment, tag
 from tributary.plans.derived import signal_log
 from tributary.plans.registry import query
@@ -63,6 +65,10 @@ def segment_words(t: Tables) -> DataFrame:
     return segments.evaluate_members(membership(t), SEGMENTS)
 
 
+def stored_segments(t: Tables) -> stored.StoredSets:
+    return stored.store(segment_words(t), ["segment_id"], run_path(t.spark, "stored-segments"))
+
+
 @query("seg_01_most_recent_signal", with_("membership", "SELECT * FROM membership"))
 def most_recent_signal(t: Tables) -> DataFrame:
     return membership(t)
@@ -140,7 +146,7 @@ def many_segments(t: Tables) -> DataFrame:
 
 @query("seg_09_cardinality", on_members("SELECT segment_id, count(*) AS members FROM members GROUP BY 1"))
 def cardinality(t: Tables) -> DataFrame:
-    return bitmaps.cardinality(segment_words(t), ["segment_id"])
+    return stored.cardinality(stored_segments(t))
 
 
 @query(
@@ -154,12 +160,29 @@ def cardinality(t: Tables) -> DataFrame:
 def contains(t: Tables) -> DataFrame:
     """One probe per order; segment 13 does not exist."""
     probes = t.orders.select((F.col("o_orderkey") % 13 + 1).cast("int").alias("segment_id"), F.col("o_orderkey").alias("actor_id"))
-    return bitmaps.contains(segment_words(t), probes, ["segment_id"], "actor_id")
+    return stored.contains(stored_segments(t), probes, "actor_id")
+
+
+READS = [(1, 0), (3, 64), (5, 5000), (7, 4000), (10, 1), (11, 0), (12, 4_000_000_000)]
+
+
+@query(
+    "seg_12_point_reads",
+    on_members(
+        f"""SELECT segment_id, "cursor", actor_id FROM (SELECT m.segment_id, c AS "cursor", actor_id, row_number() OVER (PARTITION BY m.segment_id ORDER BY actor_id) AS rn FROM members m
+        JOIN (VALUES {", ".join(f"({s}, CAST({c} AS BIGINT))" for s, c in READS)}) x(s, c) ON s = m.segment_id AND actor_id >= c) WHERE rn <= 100"""
+    ),
+)
+def point_reads(t: Tables) -> DataFrame:
+    """One page of one segment at a time: a read touches the row groups of its blocks only."""
+    sets = stored_segments(t)
+    one = lambda s, c: stored.read_page(sets, {"segment_id": s}, c, 100).select(F.lit(s).alias("segment_id"), F.lit(c).cast("bigint").alias("cursor"), "actor_id")
+    return reduce(DataFrame.unionByName, [one(s, c) for s, c in READS])
 
 
 @query("seg_11_all_members", on_members("SELECT segment_id, actor_id FROM members"))
 def all_members(t: Tables) -> DataFrame:
-    return bitmaps.members(segment_words(t), ["segment_id"])
+    return stored.members(stored_segments(t))
 
 
 @query(
@@ -175,7 +198,7 @@ def pages(t: Tables) -> DataFrame:
     cursors = F.array(*[F.lit(c).cast("bigint") for c in (0, 63, 64, 5000, 4_000_000_000)])
     ids = F.array(*map(F.lit, SEGMENTS))
     requests = t.spark.range(1).select(F.explode(ids).alias("segment_id")).select("segment_id", F.explode(cursors).alias("cursor"))
-    return bitmaps.pages(segment_words(t), requests, ["segment_id"])
+    return stored.pages(stored_segments(t), requests)
 
 
 def _estimate_sql() -> str:

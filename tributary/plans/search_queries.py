@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.operators import search
+from tributary.operators import search, text_index
 from tributary.plans.registry import query
 from tributary.plans.sql import cte, with_
+from tributary.storage import run_path
 from tributary.tables import Tables
 
 WORDS = ["the", "that"]
@@ -31,6 +32,12 @@ cte(
 )
 
 
+def stored_index(t: Tables) -> text_index.TextIndex:
+    """Index of the documents; the text's length is kept to filter by."""
+    docs = t.search_docs.withColumn("n_chars", F.length("body"))
+    return text_index.build(docs, "title", "body", "doc_id", ["lang", "source", "n_chars"], run_path(t.spark, "text-index"))
+
+
 def body() -> Column:
     return search.normal(F.col("body"))
 
@@ -90,8 +97,7 @@ FORMS = {"all": "with that", "phrase": '"with the"', "exclude": "with -that", "e
     ),
 )
 def query_forms(t: Tables) -> DataFrame:
-    normalised = t.search_docs.select("doc_id", body().alias("words"))
-    return normalised.select("doc_id", *[search.matches(F.col("words"), q).alias(name) for name, q in FORMS.items()])
+    return text_index.matching(stored_index(t), FORMS)
 
 
 @query(
@@ -103,15 +109,13 @@ def query_forms(t: Tables) -> DataFrame:
     ),
 )
 def phrase(t: Tables) -> DataFrame:
-    return t.search_docs.filter(search.has_phrase(body(), ["that", "the"])).select("doc_id")
+    return text_index.with_phrase(stored_index(t), ["that", "the"])
 
 
 @query("fts_05_prefix", with_("doc_words", "SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM doc_words WHERE term LIKE 'th%' GROUP BY 1"))
 def prefix(t: Tables) -> DataFrame:
-    docs = t.search_docs.filter(search.has_prefix(body(), "th"))
-    rows = search.token_rows(docs, "body", "doc_id").filter(F.col("term").startswith("th"))
-    per_doc = rows.groupBy("term", "doc_id").agg(F.count("*").alias("n"))
-    return per_doc.groupBy("term").agg(F.count("*").alias("docs"), F.sum("n").alias("hits"))
+    rows = stored_index(t).prefixed("th").filter(F.col("weight") == "B")
+    return rows.groupBy("term").agg(F.count("*").alias("docs"), F.sum("hits").cast("bigint").alias("hits"))
 
 
 def ranked(t: Tables) -> DataFrame:
@@ -121,7 +125,7 @@ def ranked(t: Tables) -> DataFrame:
 
 @query("fts_06_rank", with_("ranked", "SELECT doc_id, rank FROM ranked"))
 def rank(t: Tables) -> DataFrame:
-    return ranked(t).select("doc_id", "rank")
+    return text_index.ranked(stored_index(t), WORDS)
 
 
 @query(
@@ -134,9 +138,13 @@ def rank(t: Tables) -> DataFrame:
     ),
 )
 def rank_by_closeness(t: Tables) -> DataFrame:
-    found = t.search_docs.filter(search.has_words(body(), WORDS))
-    spans = found.select("doc_id", search.closeness(F.col("body"), WORDS).alias("span"))
-    return spans.withColumn("rank", F.lit(1) / F.col("span"))
+    return text_index.spans(stored_index(t), WORDS).withColumn("rank", F.lit(1) / F.col("span"))
+
+
+@query("fts_06_top_page", with_("ranked", "SELECT doc_id, rank FROM ranked ORDER BY rank DESC, doc_id LIMIT 10"))
+def top_page(t: Tables) -> DataFrame:
+    """Blocks of documents that cannot reach the page are not read."""
+    return text_index.top(stored_index(t), WORDS, 10).select("doc_id", "rank")
 
 
 @query(
@@ -213,8 +221,8 @@ def trigrams(t: Tables) -> DataFrame:
     with_("ranked", "SELECT doc_id, lang, source, rank FROM ranked WHERE lang = 'en' AND length(body) < 5000 ORDER BY rank DESC, doc_id LIMIT 15"),
 )
 def filtered_search(t: Tables) -> DataFrame:
-    wanted = ranked(t).filter((F.col("lang") == "en") & (F.length("body") < 5000))
-    return wanted.orderBy(F.desc("rank"), "doc_id").limit(15).select("doc_id", "lang", "source", "rank")
+    wanted = (F.col("lang") == "en") & (F.col("n_chars") < 5000)
+    return text_index.top(stored_index(t), WORDS, 15, wanted).select("doc_id", "lang", "source", "rank")
 
 
 @query("fts_12_substring", "SELECT doc_id, lang FROM documents WHERE text ILIKE '%tion%the%'")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tributary.operators.ordered import ordered_scan
+from tributary.operators.ordered import HOT_ROWS, ordered_scan
+from tributary.storage import write_and_read
 
 
 def _tagged(df: DataFrame, key: list[str], name: str) -> DataFrame:
@@ -43,13 +48,57 @@ def change_where(df: DataFrame, column: str, value: str, condition: Column) -> D
     return df.withColumn("changed", hit).withColumn(column, F.when(hit, value).otherwise(F.col(column)))
 
 
-def allocate(requests: DataFrame, stock: DataFrame, key: str, quantity: str, order: list[str], slice_by: Column) -> DataFrame:
-    """Accept requests in order while the running demand stays within stock.
+def _take(key: str, quantity: str):
+    """mapInArrow function over rows in order per key: ``accepted`` while the request fits what is left of ``_left``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, left = None, 0
+        for batch in batches:
+            keys, wanted, stock = (batch.column(c).to_pylist() for c in (key, quantity, "_left"))
+            accepted = []
+            for k, q, s in zip(keys, wanted, stock):
+                if k != now:
+                    now, left = k, s
+                fits = q is not None and 0 <= q <= left
+                left -= q if fits else 0
+                accepted.append(fits)
+            rest = [i for i, n in enumerate(batch.schema.names) if n != "_left"]
+            columns = [batch.column(i) for i in rest]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(accepted, pa.bool_())], names=[*[batch.schema.names[i] for i in rest], "accepted"])
+
+    return run
+
+
+def allocate(requests: DataFrame, stock: DataFrame, key: str, quantity: str, order: list[str], slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Requests with ``accepted``: served one after another, each taken if it fits what is left.
 
-    Demand counts every earlier request, also a refused one (no skipping ahead).
+    A refused request takes nothing, so a later smaller one can still be served. ``order`` is a total
+    order, ``stock`` has ``key`` and ``stock``; a null or negative quantity is refused. A key with
+    fewer than ``hot_rows`` open requests is one pass in one task. A hotter one goes in rounds: what is larger than the
+    rest is refused, the longest prefix that fits is taken by running sums over slices of the
+    order, and so on with the new rest until few enough are open.
     """
-    running = ordered_scan(requests, [key], order, slice_by, sums={"demand": quantity})
-    return running.join(stock, key).withColumn("accepted", F.col("demand") <= F.col("stock"))
+    left = stock.select(key, F.col("stock").alias("_left"))
+    open_ = requests.join(left, key)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema) + ", accepted boolean"
+    names, done = [*requests.columns, "accepted"], []
+    while True:
+        open_ = write_and_read(open_, "allocate-open")
+        hot = open_.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= hot_rows).select(key)
+        cold = open_.join(hot, key, "left_anti").repartition(key).sortWithinPartitions(key, *order)
+        done.append(cold.select(*requests.columns, "_left").mapInArrow(_take(key, quantity), kinds).select(*names))
+        if hot.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        rows = open_.join(hot, key, "left_semi")
+        fits = F.coalesce(F.col(quantity).between(0, F.col("_left")), F.lit(False))
+        done.append(rows.filter(~fits).select(*requests.columns, F.lit(False).alias("accepted")))
+        summed = write_and_read(ordered_scan(rows.filter(fits), [key], order, slice_by, sums={"_sum": quantity}, hot_rows=hot_rows), "allocate-sums")
+        taken = F.col("_sum") <= F.col("_left")
+        done.append(summed.filter(taken).select(*requests.columns, F.lit(True).alias("accepted")))
+        used = summed.filter(taken).groupBy(key).agg(F.max("_sum").alias("_used"))
+        kind = dict(open_.dtypes)["_left"]
+        rest = (F.col("_left") - F.coalesce("_used", F.lit(0))).cast(kind)
+        open_ = summed.filter(~taken).join(used, key, "left").select(*requests.columns, rest.alias("_left"))
 
 
 def version_history(changes: DataFrame, version: Column) -> DataFrame:

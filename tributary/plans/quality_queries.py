@@ -234,17 +234,20 @@ def cancel_stale(t: Tables) -> DataFrame:
 
 @query(
     "ups_06_allocate_stock",
-    """SELECT l_orderkey AS order_id, product_id, qty, CAST(demand AS BIGINT) AS demand, demand <= p_size * 20 AS accepted FROM (SELECT l_orderkey, l_partkey AS product_id,
-    CAST(l_quantity AS INTEGER) AS qty, sum(CAST(l_quantity AS INTEGER)) OVER (PARTITION BY l_partkey
-    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING) AS demand FROM lineitem)
-    JOIN part ON product_id = p_partkey""",
+    """WITH RECURSIVE asked AS (SELECT l_orderkey, l_partkey, CAST(l_quantity AS INTEGER) AS qty, row_number() OVER (PARTITION BY l_partkey
+    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity) AS n FROM lineitem),
+    served AS (SELECT p_partkey AS product_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS order_id, 0 AS qty, false AS accepted, p_size * 20 AS rest FROM part
+    UNION ALL SELECT product_id, a.n, l_orderkey, a.qty, a.qty <= rest, CASE WHEN a.qty <= rest THEN rest - a.qty ELSE rest END
+    FROM served s JOIN asked a ON l_partkey = product_id AND a.n = s.n + 1)
+    SELECT order_id, product_id, qty, accepted FROM served WHERE n > 0""",
 )
 def allocate_stock(t: Tables) -> DataFrame:
+    """Each request in time order takes its quantity if that much is left; a refused one takes nothing."""
     requests = t.shop_items.select("order_id", "product_id", "qty", "shipped_at", "line_no", "supplier_id", "line_total")
     stock = t.part.select(F.col("p_partkey").alias("product_id"), (F.col("p_size") * 20).alias("stock"))
-    order = ["shipped_at", "order_id", "line_no", "supplier_id", "line_total"]
+    order = ["shipped_at", "order_id", "line_no", "supplier_id", "line_total", "qty"]
     allocated = versions.allocate(requests, stock, "product_id", "qty", order, F.to_date("shipped_at"))
-    return allocated.select("order_id", "product_id", "qty", "demand", "accepted")
+    return allocated.select("order_id", "product_id", "qty", "accepted")
 
 
 STATE_AT = """SELECT v, id, row_json FROM (SELECT v, id, deleted, row_json, row_number() OVER (PARTITION BY v, id ORDER BY lsn DESC) AS rn FROM bronze_once

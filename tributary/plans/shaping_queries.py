@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tributary.operators import quality, segments
+from tributary.operators import quality, segments, trees
 from tributary.plans.registry import query
 from tributary.plans.segment_queries import membership
 from tributary.plans.sql import with_
@@ -288,17 +288,6 @@ def array_containment(t: Tables) -> DataFrame:
 
 # --- recursion ---------------------------------------------------------------------------------
 
-TREE = """WITH RECURSIVE tree(id, name, depth, path) AS (
-  SELECT id, name, 1, name FROM {categories} WHERE parent_id IS NULL
-  UNION ALL SELECT c.id, c.name, tree.depth + 1, tree.path || ' > ' || c.name FROM {categories} c JOIN tree ON c.parent_id = tree.id)
-SELECT id, name, depth, path FROM tree"""
-
-CLOSURE = """WITH RECURSIVE up(id, ancestor) AS (
-  SELECT id, id FROM {categories}
-  UNION ALL SELECT up.id, c.parent_id FROM up JOIN {categories} c ON c.id = up.ancestor WHERE c.parent_id IS NOT NULL)
-SELECT id, ancestor FROM up"""
-
-
 @query(
     "rec_01_category_tree",
     with_(
@@ -309,7 +298,7 @@ SELECT id, ancestor FROM up"""
     ),
 )
 def category_tree(t: Tables) -> DataFrame:
-    return t.spark.sql(TREE, categories=t.categories)
+    return trees.paths(t.categories, "id", "parent_id", "name")
 
 
 @query(
@@ -330,7 +319,7 @@ def revenue_rollup(t: Tables) -> DataFrame:
         .groupBy((F.col("c_nationkey") + 100).alias("id"))
         .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
     )
-    closure = t.spark.sql(CLOSURE, categories=t.categories)
+    closure = trees.closure(t.categories, "id", "parent_id")
     rolled = closure.join(by_nation, "id").groupBy(F.col("ancestor").alias("id")).agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
     return t.categories.join(rolled, "id", "left").select(
         "id", "name", F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue"), F.coalesce("orders", F.lit(0)).alias("orders")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tributary.operators import joins
-from tributary.operators.ordered import exact_percentiles, ordered_scan, sessionise, tiles
+from tributary.operators.ordered import exact_percentiles, ordered_scan, percentile_parts, sessionise, tiles
 
 
 @pytest.fixture(scope="module")
@@ -76,11 +76,12 @@ def test_sessions_equal_brute_force(spark, hot_rows):
 
 
 @pytest.mark.parametrize("interpolate", [True, False])
-def test_exact_percentiles(spark, interpolate):
+@pytest.mark.parametrize("accuracy", [7, 100, 10_000])
+def test_exact_percentiles(spark, interpolate, accuracy):
     rng = random.Random(5)
     rows = [("a", float(rng.randrange(100))) for _ in range(501)] + [("b", 5.0)] * 400 + [("c", -3.5)] + [("a", None)] + [(None, float(i)) for i in range(7)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {(r["k"], r["q"]): r["value"] for r in exact_percentiles(df, ["k"], "v", [0.0, 0.5, 0.9, 0.99, 1.0], interpolate, bins=7).collect()}
+    got = {(r["k"], r["q"]): r["value"] for r in exact_percentiles(df, ["k"], "v", [0.0, 0.5, 0.9, 0.99, 1.0], interpolate, accuracy=accuracy).collect()}
     for k in ("a", "b", "c", None):
         v = sorted(x for key, x in rows if key == k and x is not None)
         for q in (0.0, 0.5, 0.9, 0.99, 1.0):
@@ -101,6 +102,13 @@ def test_skew_joins_equal_plain_join(spark, skewed):
     same(joins.hot_split_join(skewed.select("k", "id"), names, "k", share=0.2).select("k", "id", "name"), plain)
 
 
-def test_small_side_checks_before_broadcast(spark):
-    assert "ResolvedHint" in joins.small_side(spark.range(10))._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in joins.small_side(spark.range(10), max_rows=5)._jdf.queryExecution().analyzed().toString()
+def test_percentiles_of_a_million_values_and_an_outlier(spark):
+    """One value of 1e12 and a million different ones: only brackets around the ranks are ordered."""
+    n = 1_000_000
+    rows = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("v")).unionAll(spark.createDataFrame([(10**12,)], "v bigint"))
+    every = sorted(r.v for r in rows.collect())
+    got = {r.q: r.value for r in exact_percentiles(rows, [], "v", [0.001, 0.5, 0.99], interpolate=False, accuracy=1000).collect()}
+    assert got == {q: float(every[math.ceil(q * len(every)) - 1]) for q in (0.001, 0.5, 0.99)}
+    below, inside = percentile_parts(rows, [], "v", [0.5, 0.99], accuracy=1000)
+    assert inside.count() <= 2 * 8 * n / 1000
+    assert below.count() == 2

@@ -4,14 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small; a larger one is
-    returned unhinted and joins by shuffle."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys that hold at least ``share`` of all rows: never more than 1/share of them."""
@@ -35,10 +27,10 @@ def salted_join(big: DataFrame, other: DataFrame, key: str, row_id: str, salts:
 
 
 def hot_split_join(big: DataFrame, other: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Inner join in two parts: hot keys against a broadcast of their few rows of the
-    other side (at most 1/share keys), the rest by an ordinary join."""
+    """Inner join in two parts: hot keys (at most 1/share of them) with their rows of the
+    other side, which Spark broadcasts if they are few by its own measure; the rest by an ordinary join."""
     hot = F.broadcast(hot_keys(big, key, share))
-    few = small_side(other.join(hot, key, "left_semi"))
+    few = other.join(hot, key, "left_semi")
     hot_part = big.join(hot, key, "left_semi").join(few, key)
     rest = big.join(hot, key, "left_anti").join(other, key)
     return hot_part.unionByName(rest)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_SHARE = 1e-5  # at most 100,000 keys can hold this share of all rows
 HOT_ROWS = 100_000  # a key below this fits a task whatever its share
-BINS = 10_000  # of exact percentiles
+ACCURACY = 10_000  # of the sketch that brackets exact percentiles
 
 
 def _place(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int) -> DataFrame:
@@ -152,55 +152,51 @@ def tiles(position: Column, total: Column, n: int) -> Column:
     )
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: list[float], interpolate: bool, bins: int = BINS) -> DataFrame:
-    """Exact percentiles of finite values: counts per bin find the bin of each rank, then only
-    the values of those bins are ordered, collapsed to (value, count).
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: list[float], interpolate: bool, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact percentiles of finite values: a quantile sketch of each group brackets every rank, one pass counts
+    the values below each bracket, and only those inside, collapsed to (value, count), are ordered.
 
-    The range of all values is cut to ``bins`` equal ones, so a group never has more of them.
-    interpolate: linear between neighbours; otherwise nearest rank ``ceil(q * n)``.
-    Returns keys, ``q``, ``value`` (double).
+    The sketch merges over partial aggregates and errs by 1/``accuracy`` of a group's rows at most, so a
+    bracket holds about 6/``accuracy`` of them, however the values are spread; a group of no more than
+    ``accuracy`` rows is its own bracket. interpolate: linear between neighbours; otherwise nearest rank
+    ``ceil(q * n)``. Returns keys, ``q``, ``value`` (double).
     """
-    group = F.struct(F.lit(0).alias("_"), *keys)  # never NULL itself, so a NULL key keeps its percentiles
-    number = F.col(value).cast("double")
-    lowest = df.agg(F.min(number)).scalar()
-    width = df.agg((F.max(number) - F.min(number)) / bins).scalar()
-    place = F.when(width > 0, F.floor((number - lowest) / width)).otherwise(F.lit(0).cast("bigint"))
-    binned = df.filter(F.col(value).isNotNull()).select(group.alias("_g"), value, place.alias("_bin"))
-    by_bin = Window.partitionBy("_g").orderBy("_bin")
-    bins = (
-        binned.groupBy("_g", "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_hi", F.sum("_n").over(by_bin.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_all", F.sum("_n").over(Window.partitionBy("_g")))
-    )
-    targets = []
-    for q in quantiles:
-        if interpolate:
-            at = F.lit(q) * (F.col("_all") - 1)
-            ranks = ((F.floor(at) + 1, at - F.floor(at), 0), (F.ceil(at) + 1, at - F.floor(at), 1))
-        else:
-            ranks = ((F.greatest(F.ceil(F.lit(q) * F.col("_all")), F.lit(1)), F.lit(0.0), 0),)
-        for r, fraction, side in ranks:
-            targets.append(
-                F.struct(F.lit(q).alias("q"), r.cast("bigint").alias("r"), fraction.cast("double").alias("f"), F.lit(side).alias("side"))
-            )
-    wanted = (
-        bins.withColumn("t", F.explode(F.array(*targets)))
-        .filter((F.col("t.r") > F.col("_hi") - F.col("_n")) & (F.col("t.r") <= F.col("_hi")))
-        .select("_g", "_bin", (F.col("_hi") - F.col("_n")).alias("_lo"), "t.*")
-    )
-    in_bin = Window.partitionBy("_g", "_bin").orderBy(value)
-    values = (
-        binned.join(wanted.select("_g", "_bin").distinct(), ["_g", "_bin"], "left_semi")
-        .groupBy("_g", "_bin", value)
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_vhi", F.sum("_c").over(in_bin.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    at_rank = wanted.join(values, ["_g", "_bin"]).filter(
-        (F.col("r") - F.col("_lo") > F.col("_vhi") - F.col("_c")) & (F.col("r") - F.col("_lo") <= F.col("_vhi"))
-    )
-    low = F.max(F.when(F.col("side") == 0, F.col(value).cast("double")))
-    high = F.max(F.when(F.col("side") == 1, F.col(value).cast("double")))
-    result = at_rank.groupBy("_g", "q").agg(low.alias("_low"), high.alias("_high"), F.max("f").alias("_f"))
+    below, inside = percentile_parts(df, keys, value, quantiles, accuracy)
+    n, at = F.col("_n"), F.col("_q")
+    if interpolate:
+        place = at * (n - 1)
+        ranks = ((F.floor(place) + 1, place - F.floor(place), 0), (F.ceil(place) + 1, place - F.floor(place), 1))
+    else:
+        ranks = ((F.greatest(F.ceil(at * n), F.lit(1)), F.lit(0.0), 0),)
+    targets = F.array(*[F.struct(r.cast("bigint").alias("r"), f.cast("double").alias("f"), F.lit(side).alias("side")) for r, f, side in ranks])
+    wanted = below.withColumn("t", F.explode(targets)).select("_g", "_i", "_q", "_below", "t.*")
+    along = Window.partitionBy("_g", "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    values = inside.withColumn("_through", F.sum("_c").over(along))
+    rank = F.col("r") - F.col("_below")
+    at_rank = wanted.join(values, ["_g", "_i"]).filter((rank > F.col("_through") - F.col("_c")) & (rank <= F.col("_through")))
+    low, high = (F.max(F.when(F.col("side") == side, F.col("_v").cast("double"))) for side in (0, 1))
+    result = at_rank.groupBy("_g", "_i", "_q").agg(low.alias("_low"), high.alias("_high"), F.max("f").alias("_f"))
     picked = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_f") if interpolate else F.col("_low")
-    return result.select(*[F.col("_g")[k].alias(k) for k in keys], "q", picked.alias("value"))
+    return result.select(*[F.col("_g")[k].alias(k) for k in keys], F.col("_q").alias("q"), picked.alias("value"))
+
+
+def percentile_parts(df: DataFrame, keys: list[str], value: str, quantiles: list[float], accuracy: int = ACCURACY) -> tuple[DataFrame, DataFrame]:
+    """(counts below each bracket, counted values inside each bracket) of ``exact_percentiles``."""
+    group = F.struct(F.lit(0).alias("_"), *keys)  # never NULL itself, so a NULL key keeps its percentiles
+    rows = df.filter(F.col(value).isNotNull()).select(group.alias("_g"), F.col(value).alias("_v"), F.col(value).cast("double").alias("_x"))
+    margin = 3 / accuracy
+    edges = [e for q in quantiles for e in (max(0.0, q - margin), min(1.0, q + margin))]
+    sketch = rows.groupBy("_g").agg(F.percentile_approx("_x", edges, accuracy).alias("_edges"), F.min("_x").alias("_least"), F.max("_x").alias("_most"), F.count("*").alias("_n"))
+    small = F.col("_n") <= accuracy
+    # towards an end of the range the end itself is the edge
+    low = [F.when(small | F.lit(q <= margin), F.col("_least")).otherwise(F.col("_edges")[2 * i]) for i, q in enumerate(quantiles)]
+    high = [F.when(small | F.lit(q >= 1 - margin), F.col("_most")).otherwise(F.col("_edges")[2 * i + 1]) for i, q in enumerate(quantiles)]
+    brackets = F.array(*[F.struct(F.lit(i).alias("i"), a.alias("lo"), b.alias("hi")) for i, (a, b) in enumerate(zip(low, high))])
+    sketch = sketch.select("_g", "_n", brackets.alias("_b"))
+    placed = rows.join(sketch, "_g")
+    counts = placed.groupBy("_g").agg(F.max("_n").alias("_n"), *[F.count_if(F.col("_x") < F.col("_b")[i]["lo"]).alias(f"_below{i}") for i in range(len(quantiles))])
+    each = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(q).alias("_q"), F.col(f"_below{i}").alias("_below")) for i, q in enumerate(quantiles)])
+    below = counts.select("_g", "_n", F.explode(each).alias("b")).select("_g", "_n", "b.*")
+    hits = F.filter("_b", lambda b: (F.col("_x") >= b["lo"]) & (F.col("_x") <= b["hi"]))
+    inside = placed.select("_g", "_v", F.explode(F.transform(hits, lambda b: b["i"])).alias("_i")).groupBy("_g", "_i", "_v").agg(F.count("*").alias("_c"))
+    return below, inside

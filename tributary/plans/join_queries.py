@@ -217,8 +217,8 @@ TIERED = """SELECT o.order_id, customer_id, tier FROM {orders} o JOIN shop_custo
 
 @query("joi_12_broadcast", with_("shop_orders shop_customers", TIERED.format(orders="shop_orders")))
 def broadcast(t: Tables) -> DataFrame:
-    """The small side is counted before it is broadcast."""
-    tiers = joins.small_side(t.shop_customers.select("customer_id", "tier"))
+    """The small side is broadcast while its size in bytes is below Spark's own threshold."""
+    tiers = t.shop_customers.select("customer_id", "tier")
     return t.shop_orders.join(tiers, "customer_id").select("order_id", "customer_id", "tier")
 
 

@@ -135,3 +135,19 @@ def test_reconcile_reports_every_kind(spark):
     b = spark.createDataFrame([(1, "x"), (2, "z"), (4, "w"), (3, None)], "id int, v string")
     got = {r["id"]: r["verdict"] for r in cdc.reconcile(a, b, "id", ["v"]).collect()}
     assert got == {1: "same", 2: "differs", 3: "same", 4: "right_only"}
+
+
+def test_truncate_empties_its_table(spark):
+    """What came before goes, a row written afterwards stays, other tables are left alone."""
+    other = '{"before":null,"after":{"id":1},"source":{"schema":"depot","table":"vans","lsn":1},"op":"c","ts_ms":1}'
+    values = [
+        envelope("c", after={"id": 1}, lsn=10), envelope("c", after={"id": 2}, lsn=11), envelope("t", lsn=20), envelope("c", after={"id": 2}, lsn=30),
+        envelope("u", after={"id": 1}, lsn=5), envelope("c", after={"id": 3}, lsn=20), other,
+    ]
+    bronze = cdc.to_bronze(cdc.flatten(parse(spark, *values)))
+    state = {(r.source_table, r.id) for r in cdc.current_state(bronze).collect()}
+    assert state == {("depot.parcels", "2"), ("depot.parcels", "3"), ("depot.vans", "1")}
+    assert {r.id for r in cdc.as_of_state(bronze, lsn=15).filter("source_table = 'depot.parcels'").collect()} == {"1", "2"}
+    at = {(r["at"], r.source_table, r.id) for r in cdc.states_at(bronze, [15, 25, 30]).collect()}
+    vans = {(n, "depot.vans", "1") for n in (15, 25, 30)}
+    assert at == vans | {(15, "depot.parcels", "1"), (15, "depot.parcels", "2"), (25, "depot.parcels", "3"), (30, "depot.parcels", "2"), (30, "depot.parcels", "3")}

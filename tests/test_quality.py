@@ -131,3 +131,33 @@ def test_search_folds_vietnamese_and_splits_like_texts(spark):
     folded = search.normal(search.unaccent(frame.t))
     row = frame.select(search.matches(folded, "dien thoai").alias("a"), search.matches(search.normal(frame.t), "foo_bar").alias("b")).first()
     assert row["a"] and row["b"]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.9])
+def test_fuzzy_join_equals_brute_force(spark, threshold):
+    """A thousand searches against names with typing errors."""
+    import random
+    import re
+
+    rng = random.Random(int(threshold * 10))
+    names = [" ".join("".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 6))) for _ in range(rng.randint(1, 3))) for _ in range(400)] + ["", "!!", None, "Été déjà"]
+
+    def typo(s):
+        i = rng.randrange(max(len(s), 1))
+        return s[:i] + rng.choice("xyz ") + s[i + rng.randint(0, 1) :]
+
+    searches = [typo(rng.choice(names[:400])) for _ in range(997)] + ["", "-", "ete deja"]
+
+    def grams(s):
+        return {f"  {w} "[i : i + 3] for w in re.findall(r"[^\W_]+", (s or "").lower()) for i in range(len(w) + 1)}
+
+    known = {s: grams(s) for s in {*names, *searches}}
+    wanted = {(n, s) for n in set(names) for s in set(searches) if known[n] and known[s] and len(known[n] & known[s]) / len(known[n] | known[s]) >= threshold}
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)] + [(9999, names[0])], "id int, name string")
+    found = search.fuzzy_join(rows, "name", spark.createDataFrame([(s,) for s in searches], "wish string"), "wish", threshold)
+    assert found.columns == ["id", "name", "search", "similarity"]
+    got = [(r.name, r.search) for r in found.filter("id < 9999").collect()]
+    assert set(got) == wanted and len(got) == sum(names.count(n) for n, _ in wanted)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = found._jdf.queryExecution().explainString(mode)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text

@@ -137,8 +137,15 @@ def latest_events(bronze: DataFrame, key_fields: str | list[str] = "id") -> Data
 
 
 def current_state(bronze: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
-    """Latest event per key first, deleted keys dropped afterwards."""
-    return latest_events(bronze, key_fields).filter(~F.col("deleted"))
+    """Latest event per key first, deleted keys dropped afterwards, and keys not seen since their table was truncated."""
+    return since_truncate(latest_events(bronze, key_fields).filter(~F.col("deleted")), bronze)
+
+
+def since_truncate(latest: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Events that come after the last truncate of their table; one row per truncated table is joined."""
+    emptied = bronze.filter(F.col("op") == "t").groupBy(F.col("source_table").alias("_table")).agg(F.max(F.struct("lsn", "kafka_offset")).alias("_emptied"))
+    joined = latest.join(emptied, F.col("source_table").eqNullSafe(F.col("_table")), "left")
+    return joined.filter(F.col("_emptied").isNull() | (F.struct("lsn", "kafka_offset") > F.col("_emptied"))).drop("_table", "_emptied")
 
 
 def as_of_state(
@@ -154,12 +161,18 @@ def as_of_state(
 
 def states_at(bronze: DataFrame, lsns: list[int], key_fields: str | list[str] = "id") -> DataFrame:
     """The state at several versions at once: one shuffle, one conditional aggregate per version."""
-    event = F.struct("deleted", "row_json", "lsn")
+    event = F.struct("deleted", "row_json", "lsn", "kafka_offset")
     aggs = [F.max_by(event, F.when(F.col("lsn") <= at, F.struct("lsn", "kafka_offset"))).alias(f"_{i}") for i, at in enumerate(lsns)]
     states = keyed(bronze, key_fields).groupBy("source_table", "id").agg(*aggs)
     versions = F.array(*[F.struct(F.lit(at).cast("bigint").alias("at"), F.col(f"_{i}").alias("e")) for i, at in enumerate(lsns)])
     rows = states.select("source_table", "id", F.explode(versions).alias("v"))
-    return rows.filter(F.col("v.e").isNotNull() & ~F.col("v.e.deleted")).select("v.at", "source_table", "id", "v.e.row_json", "v.e.lsn")
+    rows = rows.filter(F.col("v.e").isNotNull() & ~F.col("v.e.deleted")).select("v.at", "source_table", "id", "v.e.row_json", "v.e.lsn", "v.e.kafka_offset")
+    place = F.struct("lsn", "kafka_offset")
+    cuts = bronze.filter(F.col("op") == "t").groupBy("source_table").agg(*[F.max(F.when(F.col("lsn") <= at, place)).alias(f"_{i}") for i, at in enumerate(lsns)])
+    each = F.array(*[F.struct(F.lit(at).cast("bigint").alias("at"), F.col(f"_{i}").alias("cut")) for i, at in enumerate(lsns)])
+    cuts = cuts.select(F.col("source_table").alias("_table"), F.explode(each).alias("c")).select("_table", F.col("c.at").alias("_at"), F.col("c.cut").alias("_cut"))
+    joined = rows.join(cuts, F.col("source_table").eqNullSafe(F.col("_table")) & (F.col("at") == F.col("_at")), "left")
+    return joined.filter(F.col("_cut").isNull() | (place > F.col("_cut"))).select("at", "source_table", "id", "row_json", "lsn")
 
 
 def key_history(bronze: DataFrame, key: str | int | list, limit: int = 10, key_fields: str | list[str] = "id") -> DataFrame:

@@ -148,12 +148,9 @@ def dependency(df: DataFrame, a: str, b: str) -> DataFrame:
     """How far two columns depend on each other: the frequency of each pair next to the
     product of the frequencies of its parts."""
     pairs = df.groupBy(a, b).agg(F.count("*").alias("n"))
-    joined = pairs.select(
-        "*",
-        F.sum("n").over(Window.partitionBy(a)).alias("n_a"),
-        F.sum("n").over(Window.partitionBy(b)).alias("n_b"),
-        pairs.agg(F.sum("n")).scalar().alias("total"),
-    )
+    per = lambda c: pairs.groupBy(F.col(c).alias(f"_{c}")).agg(F.sum("n").alias(f"n_{c}"))
+    joined = pairs.join(per(a), F.col(a).eqNullSafe(F.col(f"_{a}"))).join(per(b), F.col(b).eqNullSafe(F.col(f"_{b}")))
+    joined = joined.select("*", F.col(f"n_{a}").alias("n_a"), F.col(f"n_{b}").alias("n_b"), pairs.agg(F.sum("n")).scalar().alias("total"))
     return joined.select(
         a,
         b,

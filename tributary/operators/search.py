@@ -188,13 +188,32 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def fuzzy_matches(rows: DataFrame, text: str, searches: list[str], threshold: float = 0.3) -> DataFrame:
-    """Rows whose ``text`` resembles one of a few search strings: (…, search, similarity).
+    """``fuzzy_join`` with a few search strings."""
+    return fuzzy_join(rows, text, rows.sparkSession.createDataFrame([(s,) for s in searches], "search string"), "search", threshold)
 
-    The distinct texts are compared, then joined back; there is no pairing of rows.
+
+def fuzzy_join(rows: DataFrame, text: str, searches: DataFrame, search: str, threshold: float = 0.3) -> DataFrame:
+    """Rows whose ``text`` resembles a search, for a table of searches: (…, search, similarity).
+
+    Two sets with a similarity of ``threshold`` share a trigram among their rarest ones: of n all but
+    ``ceil(threshold * n) - 1``. Distinct texts and searches meet on those trigrams only, if their sizes allow the
+    similarity; what meets is compared in full. So neither side is paired with all of the other.
     """
-    wanted = F.array(*[F.struct(F.lit(s).alias("search"), trigrams(F.lit(s)).alias("grams")) for s in searches])
-    texts = rows.select(text).distinct().withColumn("_grams", trigrams(F.col(text)))
-    scored = texts.select(text, "_grams", F.explode(wanted).alias("w")).select(
-        text, "w.search", similarity(F.col("_grams"), F.col("w.grams")).alias("similarity")
-    )
-    return rows.join(scored.filter(F.col("similarity") >= threshold), text)
+    texts = rows.select(text).distinct().select(F.col(text).alias("_text"), trigrams(F.col(text)).alias("_grams")).filter(F.size("_grams") > 0)
+    wanted = searches.select(F.col(search).alias("_search")).distinct().select("_search", trigrams(F.col("_search")).alias("_wanted")).filter(F.size("_wanted") > 0)
+    seen = texts.select(F.explode("_grams").alias("_gram")).groupBy("_gram").agg(F.count("*").alias("_n"))
+
+    def rarest(side: DataFrame, name: str, grams: str) -> DataFrame:
+        known = side.select(name, F.size(grams).alias("_size"), F.explode(grams).alias("_gram")).join(seen, "_gram", "left")
+        order = F.sort_array(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("g"))))
+        # a hair lower, so that a bound that floating point puts above an integer loses nothing
+        first = F.col("_size") - F.ceil(F.col("_size") * threshold - 1e-9) + 1
+        lists = known.groupBy(name, "_size").agg(order.alias("_order"))
+        return lists.select(name, F.col("_size").alias(f"{name}_size"), F.explode(F.transform(F.slice("_order", F.lit(1), first.cast("int")), lambda x: x["g"])).alias("_gram"))
+
+    a, b = F.col("_text_size"), F.col("_search_size")
+    fits = (a >= b * threshold - 1e-9) & (b >= a * threshold - 1e-9)
+    met = rarest(texts, "_text", "_grams").join(rarest(wanted, "_search", "_wanted"), "_gram").filter(fits).select("_text", "_search").distinct()
+    scored = met.join(texts, "_text").join(wanted, "_search").select("_text", F.col("_search").alias("search"), similarity(F.col("_grams"), F.col("_wanted")).alias("similarity"))
+    hits = scored.filter(F.col("similarity") >= threshold)
+    return rows.join(hits, F.col(text) == F.col("_text")).drop("_text")

@@ -32,10 +32,16 @@ cte(
 )
 
 
+INDEXES: dict[tuple[str, str], text_index.TextIndex] = {}
+
+
 def stored_index(t: Tables) -> text_index.TextIndex:
-    """Index of the documents; the text's length is kept to filter by."""
-    docs = t.search_docs.withColumn("n_chars", F.length("body"))
-    return text_index.build(docs, "title", "body", "doc_id", ["lang", "source", "n_chars"], run_path(t.spark, "text-index"))
+    """Index of the documents, built by the first search of an application and read by the others; the text's length is kept to filter by."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in INDEXES:
+        docs = t.search_docs.withColumn("n_chars", F.length("body"))
+        INDEXES[key] = text_index.build(docs, "title", "body", "doc_id", ["lang", "source", "n_chars"], run_path(t.spark, "text-index"))
+    return INDEXES[key]
 
 
 def body() -> Column:

@@ -98,7 +98,7 @@ def test_state_ignores_order_and_redelivery(spark):
     bronze = cdc.to_bronze(cdc.flatten(parse(spark, *log)))
     assert cdc.current_state(bronze).count() == 0
     assert json.loads(cdc.as_of_state(bronze, lsn=4).first()["row_json"])["status"] == "C"
-    changes = cdc.status_changes(cdc.status_events(bronze), slice_width=2).orderBy("lsn").collect()
+    changes = cdc.status_changes(cdc.status_events(bronze), hot_rows=0, slices=3).orderBy("lsn").collect()
     assert [(r["old_status"], r["new_status"]) for r in changes] == [("A", "B"), ("B", "C"), ("C", None)]
 
 

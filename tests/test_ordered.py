@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tributary.operators import joins
-from tributary.operators.ordered import exact_percentiles, ordered_scan, percentile_parts, sessionise, tiles
+from tributary.operators.ordered import exact_percentiles, ordered_scan, percentile_parts, sessionise, split_hot, tiles
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +21,8 @@ def same(a, b):
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 500, 10**6])
-def test_scan_equals_plain_windows(skewed, hot_rows):
+@pytest.mark.parametrize("hot_rows, slices", [(0, 7), (0, 150), (500, 5), (500, None), (10**6, None)])
+def test_scan_equals_plain_windows(skewed, hot_rows, slices):
     w = Window.partitionBy("k").orderBy("o", "id")
     by_value = Window.partitionBy("k").orderBy("o")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -38,8 +38,8 @@ def test_scan_equals_plain_windows(skewed, hot_rows):
         F.max("id").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("m"),
     )
     scanned = ordered_scan(
-        skewed, ["k"], ["o", "id"], F.floor(F.col("o") / 7), row_number="rn", rank="r", dense_rank="d", total="n",
-        sums={"s": "id"}, lags={"before": "v"}, leads={"after": "v"}, maxes_before={"m": "id"}, hot_rows=hot_rows,
+        skewed, ["k"], ["o", "id"], row_number="rn", rank="r", dense_rank="d", total="n",
+        sums={"s": "id"}, lags={"before": "v"}, leads={"after": "v"}, maxes_before={"m": "id"}, hot_rows=hot_rows, slices=slices,
     )
     same(scanned, plain)
 
@@ -47,16 +47,39 @@ def test_scan_equals_plain_windows(skewed, hot_rows):
 @pytest.mark.parametrize("n", [3, 4, 7])
 def test_global_tiles(skewed, n):
     ordered = skewed.select("id", "o").filter(f"id < {3000 - n}")
-    placed = ordered_scan(ordered, [], ["o", "id"], F.floor(F.col("o") / 5), row_number="rn", total="t")
+    placed = ordered_scan(ordered, [], ["o", "id"], row_number="rn", total="t", slices=5)
     same(
         placed.select("id", tiles(F.col("rn"), F.col("t"), n)),
         ordered.select("id", F.ntile(n).over(Window.orderBy("o", "id"))),
     )
 
 
-def test_no_task_holds_a_whole_key(skewed):
-    plan = ordered_scan(skewed, ["k"], ["o", "id"], F.floor(F.col("o") / 7), row_number="rn")._jdf.queryExecution().toString()
-    assert "hashpartitioning(_at" in plan
+def test_a_key_is_cut_at_its_own_quantiles(spark):
+    """One key, no two rows alike, most of them in a sliver of the range: the slices are even all the same."""
+    n = 20_000
+    rows = spark.range(n).select(F.lit(1).alias("k"), F.when(F.col("id") % 1000 == 0, F.col("id") * 10**9).otherwise(F.col("id")).alias("o"))
+    cold, hot = split_hot(rows, ["k"], ["o"], hot_rows=1000, slices=16)
+    sizes = [r["count"] for r in hot.groupBy("_at").count().collect()]
+    assert cold.isEmpty() and len(sizes) == 16 and max(sizes) <= 2 * n / 16
+    w = Window.partitionBy("k").orderBy("o")
+    scanned = ordered_scan(rows, ["k"], ["o"], row_number="rn", lags={"before": "o"}, hot_rows=1000, slices=16)
+    same(scanned, rows.select("*", F.row_number().over(w).alias("rn"), F.lag("o").over(w).alias("before")))
+
+
+def test_ties_over_many_borders(spark):
+    """One value of the order fills several slices, beside values that fill none."""
+    rows = spark.range(4000).select(F.when(F.col("id") < 3000, 5).when(F.col("id") < 3100, F.lit(None)).otherwise(F.col("id") % 7).cast("int").alias("o"), "id")
+    w = Window.orderBy("o")
+    scanned = ordered_scan(rows, [], ["o", "id"], rank="r", dense_rank="d", slices=12)
+    same(scanned, rows.select("*", F.rank().over(w).cast("bigint").alias("r"), F.dense_rank().over(w).cast("bigint").alias("d")))
+
+
+def test_facts_are_shuffled_at_most_three_times(skewed):
+    """Cold keys: counts and one window. Hot keys, already cut and written: windows and edges by (key, slice)."""
+    plain = ordered_scan(skewed, ["k"], ["o", "id"], row_number="rn", hot_rows=10**6)._jdf.queryExecution().executedPlan().toString()
+    assert plain.count("Exchange hashpartitioning") == 1 and "Join" not in plain
+    cold, hot = split_hot(skewed, ["k"], ["o", "id"], hot_rows=500, slices=4)
+    assert {r.k for r in hot.select("k").distinct().collect()} == {1} and cold.filter("k = 1").isEmpty()
 
 
 @pytest.mark.parametrize("hot_rows", [0, 200, 10**6])
@@ -65,7 +88,7 @@ def test_sessions_equal_brute_force(spark, hot_rows):
     start = dt.datetime(2024, 1, 1)
     rows = [(1 if i % 3 == 0 else rng.choice([None, 2, 3, 4, 5]), start + dt.timedelta(minutes=rng.randrange(60 * 24 * 12)), i) for i in range(900)]
     df = spark.createDataFrame(rows, "u int, ts timestamp_ntz, id int")
-    got = {r["id"]: r["session_id"] for r in sessionise(df, "u", ["ts", "id"], "3 HOURS", F.to_date("ts"), hot_rows=hot_rows).collect()}
+    got = {r["id"]: r["session_id"] for r in sessionise(df, "u", ["ts", "id"], "3 HOURS", hot_rows=hot_rows, slices=6).collect()}
     expected, last = {}, {}
     for u, ts, i in sorted(rows, key=lambda r: r[1:]):
         n, previous = last.get(u, (0, None))

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.operators.ordered import ordered_scan
+from tributary.operators.ordered import HOT_ROWS, ordered_scan
 
 # Numbers stay text until cast, so 20-digit values survive; before/after stay raw JSON.
 ENVELOPE = (
@@ -225,13 +225,13 @@ def status_events(bronze: DataFrame, key_fields: str | list[str] = "id") -> Data
     )
 
 
-def status_changes(events: DataFrame, slice_width: int = 1_000_000) -> DataFrame:
+def status_changes(events: DataFrame, hot_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
     """One row whenever the status of a table's key differs from its previous event (null-safe).
 
     Reads ``events`` several times, so store them if they are costly to compute.
     """
     scanned = ordered_scan(
-        events, ["source_table", "id"], ["lsn", "kafka_offset"], F.floor(F.col("lsn") / slice_width), row_number="n", lags={"old_status": "status"}
+        events, ["source_table", "id"], ["lsn", "kafka_offset"], row_number="n", lags={"old_status": "status"}, hot_rows=hot_rows, slices=slices
     )
     changed = (F.col("n") > 1) & ~F.col("old_status").eqNullSafe(F.col("status"))
     return scanned.filter(changed).select("source_table", "id", "lsn", "old_status", F.col("status").alias("new_status"))

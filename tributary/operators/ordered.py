@@ -1,39 +1,56 @@
 """Ordered scans that never put one key's whole history into one task.
 
-A plain window sends every row of a key to the same task. Here a hot key is cut
-into slices along the order; windows run per (key, slice), and a small table
-with one row per (key, slice) carries counts, sums and edge values across the
-cut. Only that small table is windowed per key.
+A plain window sends every row of a key to the same task. That is what cold keys get. The rows of
+hot keys are dealt out by ranges of key and order, so a hot key is cut at its own quantiles,
+whatever the type or spread of its order; windows run per (key, slice), and a small table with one
+row per (key, slice) carries counts, sums, ties and edge values across the cuts. Only that table,
+never longer than the range partitions and hot keys together, is windowed per key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tributary.storage import write_and_read
+
 HOT_SHARE = 1e-5  # at most 100,000 keys can hold this share of all rows
 HOT_ROWS = 100_000  # a key below this fits a task whatever its share
 ACCURACY = 10_000  # of the sketch that brackets exact percentiles
 
 
-def _place(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int) -> DataFrame:
-    """Add ``_at``: key and slice as one value that is never NULL itself, so a NULL key joins
-    like any other. Only keys with at least ``hot_rows`` rows and HOT_SHARE of all rows are
-    cut, which are never more than 1/HOT_SHARE; any other key is one slice.
+def split_hot(df: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS, slices: int | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of cold keys, rows of hot keys with ``_at``); either is None if known to be empty.
+
+    Hot keys have at least ``hot_rows`` rows and HOT_SHARE of all rows; without ``keys`` all rows
+    are one hot key. ``_at`` is key and slice as one value that is never NULL itself, so a NULL key
+    joins like any other; slices ascend with the order. The cut is written, as a second evaluation
+    of a range partitioning may sample other borders. ``slices`` fixes the number of ranges;
+    otherwise it is that of the session's shuffles.
     """
-    if not keys:
-        return df.withColumn("_at", F.struct(slice_by.alias("_slice")))
-    counts = df.groupBy(F.struct(*keys).alias("_key")).agg(F.count("*").alias("_n"))
-    least = F.greatest(F.lit(hot_rows), df.agg(F.count("*")).scalar() * HOT_SHARE)
-    hot = F.broadcast(counts.filter(F.col("_n") >= least).select("_key", F.lit(True).alias("_hot")))
-    marked = df.withColumn("_key", F.struct(*keys)).join(hot, "_key", "left")
-    return marked.withColumn("_at", F.struct(*keys, F.when(F.col("_hot"), slice_by).alias("_slice"))).drop("_key", "_hot")
+    cold, hot = None, df
+    if keys:
+        marked = df.withColumn("_key", F.struct(*keys))
+        counts = marked.groupBy("_key").agg(F.count("*").alias("_n"))
+        least = F.greatest(F.lit(hot_rows), counts.agg(F.sum("_n")).scalar() * HOT_SHARE)
+        names = write_and_read(counts.filter(F.col("_n") >= least).select("_key"), "hot-keys")
+        if names.isEmpty():
+            return df, None
+        cold, hot = (marked.join(names, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
+    ranges = [*keys, *order]
+    ranged = hot.repartitionByRange(slices, *ranges) if slices else hot.repartitionByRange(*ranges)
+    placed = write_and_read(ranged.withColumn("_slice", F.spark_partition_id()), "ordered-slices")
+    return cold, placed.withColumn("_at", F.struct(*keys, "_slice")).drop("_slice")
+
+
+def _both(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
+    parts = [p for p in (cold, hot) if p is not None]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    slice_by: Column,
     *,
     row_number: str | None = None,
     rank: str | None = None,
@@ -44,100 +61,117 @@ def ordered_scan(
     leads: dict[str, str] | None = None,
     maxes_before: dict[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Add window columns over ``keys`` in ascending ``order`` (a total order).
+    """Add window columns over ``keys`` in ascending ``order`` (a total order, NULL first).
 
-    ``slice_by`` must be monotone in that order. ``rank`` and ``dense_rank`` compare the
-    first order column only, whose equal values must then share a slice. ``keys`` may be
-    empty for one global order. ``total`` adds the row count of the key; ``maxes_before``
-    is the maximum over all earlier rows.
+    ``rank`` and ``dense_rank`` compare the first order column only; its ties may lie in several
+    slices. ``keys`` may be empty for one global order. ``total`` adds the row count of the key;
+    ``maxes_before`` is the maximum over all earlier rows. ``df`` is read more than once.
     """
     sums, lags, leads, maxes = sums or {}, lags or {}, leads or {}, maxes_before or {}
-    sliced = _place(df, keys, slice_by, hot_rows)
-    local = Window.partitionBy("_at").orderBy(*order)
-    by_value = Window.partitionBy("_at").orderBy(order[0])
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sum_type = {n: df.select(F.sum(c)).schema[0].dataType for n, c in sums.items()}
+
+    def windows(by: list[str]) -> dict[str, Column]:
+        local = Window.partitionBy(*by).orderBy(*order)
+        by_value = Window.partitionBy(*by).orderBy(order[0])
+        running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        earlier = local.rowsBetween(Window.unboundedPreceding, -1)
+        out = {"_rn": F.row_number().over(local)} if row_number else {}
+        out |= {"_rank": F.rank().over(by_value)} if rank else {}
+        out |= {"_dense": F.dense_rank().over(by_value)} if dense_rank else {}
+        out |= {f"_sum_{n}": F.sum(c).over(running) for n, c in sums.items()}
+        out |= {f"_lag_{n}": F.lag(F.struct(F.col(c).alias("v"))).over(local) for n, c in lags.items()}
+        out |= {f"_lead_{n}": F.lead(F.struct(F.col(c).alias("v"))).over(local) for n, c in leads.items()}
+        return out | {f"_max_{n}": F.max(c).over(earlier) for n, c in maxes.items()}
+
+    cold, hot = split_hot(df, keys, order, hot_rows, slices)
+    if cold is not None:
+        scanned = cold.select("*", *[c.alias(n) for n, c in windows(keys).items()], *([F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_total")] if total else []))
+        out = [F.col(c).cast("bigint").alias(n) for c, n in (("_rn", row_number), ("_rank", rank), ("_dense", dense_rank), ("_total", total)) if n]
+        out += [F.col(f"_sum_{n}").alias(n) for n in sums]
+        out += [F.col(f"_{kind}_{n}")["v"].alias(n) for kind, names in (("lag", lags), ("lead", leads)) for n in names]
+        cold = scanned.select(*df.columns, *out, *[F.col(f"_max_{n}").alias(n) for n in maxes])
+    if hot is not None:
+        carry = _carry(hot, keys, order, bool(rank or dense_rank), sums, lags, leads, maxes)
+        joined = hot.select("*", *[c.alias(n) for n, c in windows(["_at"]).items()]).join(carry, "_at")
+        first = F.coalesce(F.col("_tied") & (F.struct(order[0]) == F.col("_first")), F.lit(False)) if rank or dense_rank else None
+        out = [(F.col("_rn") + F.col("_before")).alias(row_number)] if row_number else []
+        out += [F.when(first, F.col("_tie_rank")).otherwise(F.col("_rank") + F.col("_before")).alias(rank)] if rank else []
+        out += [(F.col("_dense") + F.col("_dbefore")).alias(dense_rank)] if dense_rank else []
+        out += [F.col("_total").alias(total)] if total else []
+        out += [F.coalesce(F.col(f"_sum_{n}") + F.col(f"_csum_{n}"), f"_sum_{n}", f"_csum_{n}").cast(sum_type[n]).alias(n) for n in sums]
+        out += [F.coalesce(f"_{kind}_{n}", f"_c{kind}_{n}")["v"].alias(n) for kind, names in (("lag", lags), ("lead", leads)) for n in names]
+        hot = joined.select(*df.columns, *out, *[F.greatest(f"_max_{n}", f"_cmax_{n}").alias(n) for n in maxes])
+    return _both(cold, hot)
+
+
+def _carry(hot: DataFrame, keys: list[str], order: list[str], ties: bool, sums: dict[str, str], lags: dict[str, str], leads: dict[str, str], maxes: dict[str, str]) -> DataFrame:
+    """One row per (key, slice): what the earlier slices of the key add to its rows."""
     position = F.struct(*order)
-
     edge = [F.count(F.lit(1)).alias("_n")]
-    if dense_rank:
-        edge.append(F.count_distinct(F.struct(order[0])).alias("_d"))
     edge += [F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     edge += [F.max_by(F.struct(F.col(c).alias("v")), position).alias(f"_last_{n}") for n, c in lags.items()]
     edge += [F.min_by(F.struct(F.col(c).alias("v")), position).alias(f"_first_{n}") for n, c in leads.items()]
     edge += [F.max(c).alias(f"_max_{n}") for n, c in maxes.items()]
-    per_slice = sliced.groupBy("_at").agg(*edge)
+    per_slice = hot.groupBy("_at").agg(*edge)
 
     of_key = [F.col("_at")[k] for k in keys]
-    slices = Window.partitionBy(*of_key).orderBy(F.col("_at")["_slice"])
-    before = slices.rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.partitionBy(*of_key).orderBy(F.col("_at")["_slice"])
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    carried = [zero(F.sum("_n").over(before)).alias("_before")]
-    if total:
-        carried.append(F.sum("_n").over(Window.partitionBy(*of_key)).alias("_total"))
-    if dense_rank:
-        carried.append(zero(F.sum("_d").over(before)).alias("_dbefore"))
-    carried += [zero(F.sum(f"_sum_{n}").over(before)).alias(f"_csum_{n}") for n in sums]
-    carried += [F.lag(f"_last_{n}").over(slices).alias(f"_clag_{n}") for n in lags]
-    carried += [F.lead(f"_first_{n}").over(slices).alias(f"_clead_{n}") for n in leads]
-    carried += [F.max(f"_max_{n}").over(before).alias(f"_cmax_{n}") for n in maxes]
-    carry = per_slice.select("_at", *carried)
-
-    windows = []
-    if row_number:
-        windows.append(F.row_number().over(local).alias("_rn"))
-    if rank:
-        windows.append(F.rank().over(by_value).alias("_rank"))
-    if dense_rank:
-        windows.append(F.dense_rank().over(by_value).alias("_dense"))
-    windows += [F.sum(c).over(running).alias(f"_lsum_{n}") for n, c in sums.items()]
-    windows += [F.lag(F.struct(F.col(c).alias("v"))).over(local).alias(f"_llag_{n}") for n, c in lags.items()]
-    windows += [F.lead(F.struct(F.col(c).alias("v"))).over(local).alias(f"_llead_{n}") for n, c in leads.items()]
-    earlier = local.rowsBetween(Window.unboundedPreceding, -1)
-    windows += [F.max(c).over(earlier).alias(f"_lmax_{n}") for n, c in maxes.items()]
-
-    joined = sliced.select("*", *windows).join(carry, "_at")
-    out = []
-    if row_number:
-        out.append((F.col("_rn") + F.col("_before")).alias(row_number))
-    if rank:
-        out.append((F.col("_rank") + F.col("_before")).alias(rank))
-    if dense_rank:
-        out.append((F.col("_dense") + F.col("_dbefore")).alias(dense_rank))
-    if total:
-        out.append(F.col("_total").alias(total))
-    out += [(F.col(f"_lsum_{n}") + F.col(f"_csum_{n}")).alias(n) for n in sums]
-    out += [F.coalesce(f"_llag_{n}", f"_clag_{n}")["v"].alias(n) for n in lags]
-    out += [F.coalesce(f"_llead_{n}", f"_clead_{n}")["v"].alias(n) for n in leads]
-    out += [F.greatest(f"_lmax_{n}", f"_cmax_{n}").alias(n) for n in maxes]
-    return joined.select(*df.columns, *out)
-
-
-def sessionise(df: DataFrame, key: str, order: list[str], gap: str, slice_by: Column, name: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    carried = {"_before": zero(F.sum("_n").over(before)), "_total": F.sum("_n").over(Window.partitionBy(*of_key))}
+    carried |= {f"_csum_{n}": F.sum(f"_sum_{n}").over(before) for n in sums}
+    carried |= {f"_clag_{n}": F.lag(f"_last_{n}").over(along) for n in lags}
+    carried |= {f"_clead_{n}": F.lead(f"_first_{n}").over(along) for n in leads}
+    carried |= {f"_cmax_{n}": F.max(f"_max_{n}").over(before) for n in maxes}
+    if ties:
+        values = hot.groupBy("_at", F.struct(order[0]).alias("_v")).agg(F.count("*").alias("_c")).groupBy("_at")
+        runs = values.agg(F.min("_v").alias("_first"), F.max("_v").alias("_last"), F.max_by("_c", "_v").alias("_n_last"), F.count("*").alias("_d"))
+        per_slice = per_slice.join(runs, "_at")
+        carried["_tied"] = F.coalesce(F.col("_first") == F.lag("_last").over(along), F.lit(False))
+    carry = per_slice.select("*", *[c.alias(n) for n, c in carried.items()])
+    if ties:
+        # where the run of a slice's last value began: in this slice, unless the run fills it and came in over the border
+        began = F.when(~(F.col("_tied") & (F.col("_first") == F.col("_last"))), F.col("_before") + F.col("_n") - F.col("_n_last") + 1)
+        repeated = F.col("_tied").cast("bigint")
+        carry = carry.withColumn("_began", F.last(began, ignorenulls=True).over(so_far))
+        carry = carry.withColumn("_dbefore", F.sum(F.col("_d") - repeated).over(so_far) - F.col("_d")).withColumn("_tie_rank", F.lag("_began").over(along))
+    kept = [*carried, *(["_first", "_dbefore", "_tie_rank"] if ties else [])]
+    return carry.select("_at", *kept)
+
+
+def sessionise(df: DataFrame, key: str, order: list[str], gap: str, name: str = "session_id", hot_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
     """Number the sessions of each key: a new one starts after a silence longer than ``gap``.
 
-    Same cut as ``ordered_scan``: one shuffle of the rows on (key, slice), then only the
+    Same cut as ``ordered_scan``: one shuffle of a cold key's rows, and for hot keys only the
     slice edges are compared per key.
     """
     ts = order[0]
     limit = F.expr(f"INTERVAL {gap}")
-    local = Window.partitionBy("_at").orderBy(*order)
-    flagged = (
-        _place(df, [key], slice_by, hot_rows)
-        .withColumn("_prev", F.lag(ts).over(local))
-        .withColumn("_new", F.coalesce((F.col(ts) > F.col("_prev") + limit).cast("int"), F.lit(0)))
-        .withColumn("_run", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
-    edges = flagged.groupBy("_at").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_new").alias("_inner"))
-    slices = Window.partitionBy(F.col("_at")[key]).orderBy(F.col("_at")["_slice"])
-    previous = F.lag("_last").over(slices)
-    starts = (
-        edges.withColumn("_start", F.when(previous.isNull() | (F.col("_first") > previous + limit), 1).otherwise(0))
-        .withColumn("_sessions", F.col("_start") + F.col("_inner"))
-        .withColumn("_base", F.sum("_sessions").over(slices.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_inner"))
-        .select("_at", "_base")
-    )
-    return flagged.join(starts, "_at").select(*df.columns, (F.col("_base") + F.col("_run")).cast("bigint").alias(name))
+
+    def runs(rows: DataFrame, by: str) -> DataFrame:
+        local = Window.partitionBy(by).orderBy(*order)
+        flagged = rows.withColumn("_prev", F.lag(ts).over(local)).withColumn("_new", F.coalesce((F.col(ts) > F.col("_prev") + limit).cast("int"), F.lit(0)))
+        return flagged.withColumn("_run", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    cold, hot = split_hot(df, [key], order, hot_rows, slices)
+    if cold is not None:
+        cold = runs(cold, key).select(*df.columns, (F.col("_run") + 1).cast("bigint").alias(name))
+    if hot is not None:
+        flagged = runs(hot, "_at")
+        edges = flagged.groupBy("_at").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.sum("_new").alias("_inner"))
+        along = Window.partitionBy(F.col("_at")[key]).orderBy(F.col("_at")["_slice"])
+        previous = F.lag("_last").over(along)
+        starts = (
+            edges.withColumn("_start", F.when(previous.isNull() | (F.col("_first") > previous + limit), 1).otherwise(0))
+            .withColumn("_sessions", F.col("_start") + F.col("_inner"))
+            .withColumn("_base", F.sum("_sessions").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_inner"))
+            .select("_at", "_base")
+        )
+        hot = flagged.join(starts, "_at").select(*df.columns, (F.col("_base") + F.col("_run")).cast("bigint").alias(name))
+    return _both(cold, hot)
 
 
 def tiles(position: Column, total: Column, n: int) -> Column:

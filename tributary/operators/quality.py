@@ -112,7 +112,7 @@ def overlaps(periods: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
     Linear: compares each period with the latest end before it, not with every other period.
     """
-    seen = ordered_scan(periods, [key], [start, end], F.col(start), maxes_before={"previous_end": end})
+    seen = ordered_scan(periods, [key], [start, end], maxes_before={"previous_end": end})
     return seen.filter(F.col(start) < F.col("previous_end"))
 
 
@@ -138,9 +138,9 @@ def column_profile(df: DataFrame, columns: list[str], top: int = 3) -> DataFrame
     return stats.join(best, "column", "left").select("column", "n_distinct", "null_frac", F.transform("_v", lambda v: v["value"]).alias("most_common"))
 
 
-def position_correlation(df: DataFrame, position: str, value: str, slice_by: Column) -> DataFrame:
+def position_correlation(df: DataFrame, position: str, value: str) -> DataFrame:
     """How closely the order of ``value`` follows the stored position (1 = sorted)."""
-    ranked = ordered_scan(df.select(position, value), [], [value, position], slice_by, row_number="_rank")
+    ranked = ordered_scan(df.select(position, value), [], [value, position], row_number="_rank")
     return ranked.agg(F.corr(F.col("_rank").cast("double"), F.col(position).cast("double")).alias("correlation"))
 
 

@@ -69,7 +69,7 @@ def _take(key: str, quantity: str):
     return run
 
 
-def allocate(requests: DataFrame, stock: DataFrame, key: str, quantity: str, order: list[str], slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+def allocate(requests: DataFrame, stock: DataFrame, key: str, quantity: str, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Requests with ``accepted``: served one after another, each taken if it fits what is left.
 
     A refused request takes nothing, so a later smaller one can still be served. ``order`` is a total
@@ -92,7 +92,7 @@ def allocate(requests: DataFrame, stock: DataFrame, key: str, quantity: str, ord
         rows = open_.join(hot, key, "left_semi")
         fits = F.coalesce(F.col(quantity).between(0, F.col("_left")), F.lit(False))
         done.append(rows.filter(~fits).select(*requests.columns, F.lit(False).alias("accepted")))
-        summed = write_and_read(ordered_scan(rows.filter(fits), [key], order, slice_by, sums={"_sum": quantity}, hot_rows=hot_rows), "allocate-sums")
+        summed = write_and_read(ordered_scan(rows.filter(fits), [key], order, sums={"_sum": quantity}, hot_rows=hot_rows), "allocate-sums")
         taken = F.col("_sum") <= F.col("_left")
         done.append(summed.filter(taken).select(*requests.columns, F.lit(True).alias("accepted")))
         used = summed.filter(taken).groupBy(key).agg(F.max("_sum").alias("_used"))

@@ -117,7 +117,7 @@ def column_profile(t: Tables) -> DataFrame:
     "SELECT round(corr(CAST(rn AS DOUBLE), CAST(event_id AS DOUBLE)), 6) AS correlation FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events)",
 )
 def position_correlation(t: Tables) -> DataFrame:
-    return quality.position_correlation(t.events, "event_id", "ts", F.date_trunc("hour", "ts")).select(F.round("correlation", 6).alias("correlation"))
+    return quality.position_correlation(t.events, "event_id", "ts").select(F.round("correlation", 6).alias("correlation"))
 
 
 @query(
@@ -246,7 +246,7 @@ def allocate_stock(t: Tables) -> DataFrame:
     requests = t.shop_items.select("order_id", "product_id", "qty", "shipped_at", "line_no", "supplier_id", "line_total")
     stock = t.part.select(F.col("p_partkey").alias("product_id"), (F.col("p_size") * 20).alias("stock"))
     order = ["shipped_at", "order_id", "line_no", "supplier_id", "line_total", "qty"]
-    allocated = versions.allocate(requests, stock, "product_id", "qty", order, F.to_date("shipped_at"))
+    allocated = versions.allocate(requests, stock, "product_id", "qty", order)
     return allocated.select("order_id", "product_id", "qty", "accepted")
 
 

@@ -39,7 +39,7 @@ def by_month():
 def ranks(t: Tables) -> DataFrame:
     priced = t.shop_products.select("product_id", "category", (-F.col("price")).alias("desc_price"))
     ranked = ordered_scan(
-        priced, ["category"], ["desc_price", "product_id"], F.floor("desc_price"), row_number="row_no", rank="rank", dense_rank="dense"
+        priced, ["category"], ["desc_price", "product_id"], row_number="row_no", rank="rank", dense_rank="dense"
     )
     return ranked.drop("desc_price")
 
@@ -121,7 +121,7 @@ def trailing_week(t: Tables) -> DataFrame:
 def range_versus_rows(t: Tables) -> DataFrame:
     """ROWS stops at the row, RANGE takes all its ties; ties are one day of one customer."""
     orders = t.shop_orders.select("order_id", "customer_id", "created_at", "total")
-    by_rows = ordered_scan(orders, ["customer_id"], ["created_at", "order_id"], F.col("created_at"), sums={"by_rows": "total"})
+    by_rows = ordered_scan(orders, ["customer_id"], ["created_at", "order_id"], sums={"by_rows": "total"})
     daily = orders.groupBy("customer_id", "created_at").agg(F.sum("total").alias("total"))
     so_far = Window.partitionBy("customer_id").orderBy("created_at").rowsBetween(Window.unboundedPreceding, 0)
     day = F.struct("customer_id", "created_at").alias("day")  # joins a missing customer, too
@@ -142,12 +142,12 @@ def range_versus_rows(t: Tables) -> DataFrame:
 def quartiles(t: Tables) -> DataFrame:
     """One global order over all customers without sending them to one task."""
     spent = t.shop_orders.groupBy("customer_id").agg(F.sum("total").alias("spent"))
-    placed = ordered_scan(spent, [], ["spent", "customer_id"], F.floor(F.col("spent") / 10000), row_number="rn", total="n")
+    placed = ordered_scan(spent, [], ["spent", "customer_id"], row_number="rn", total="n")
     return placed.select("customer_id", tiles(F.col("rn"), F.col("n"), 4).alias("quartile"))
 
 
 def sessions(t: Tables, gap: str = "6 HOURS") -> DataFrame:
-    return sessionise(t.clicks, "user_id", ["ts", "event_id"], gap, F.date_trunc("hour", "ts"))
+    return sessionise(t.clicks, "user_id", ["ts", "event_id"], gap)
 
 
 @query("win_09_sessions", with_("sessions", "SELECT event_id, user_id, session_id FROM sessions"))
@@ -206,7 +206,7 @@ def viewed_before_purchase(t: Tables) -> DataFrame:
 )
 def days_since_previous(t: Tables) -> DataFrame:
     orders = t.shop_orders.select("order_id", "customer_id", "created_at")
-    scanned = ordered_scan(orders, ["customer_id"], ["created_at", "order_id"], F.to_date("created_at"), lags={"previous": "created_at"})
+    scanned = ordered_scan(orders, ["customer_id"], ["created_at", "order_id"], lags={"previous": "created_at"})
     return scanned.select("order_id", "customer_id", F.date_diff("created_at", "previous").alias("days"))
 
 
@@ -226,7 +226,7 @@ def newest_version(t: Tables) -> DataFrame:
     with_("clicks", "SELECT event_id, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_type FROM clicks"),
 )
 def lead(t: Tables) -> DataFrame:
-    scanned = ordered_scan(t.clicks, ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"), leads={"next_type": "event_type"})
+    scanned = ordered_scan(t.clicks, ["user_id"], ["ts", "event_id"], leads={"next_type": "event_type"})
     return scanned.select("event_id", "next_type")
 
 
@@ -238,7 +238,7 @@ def lead(t: Tables) -> DataFrame:
 def counter_increase(t: Tables) -> DataFrame:
     """Growth of a counter that may restart: a drop counts the new value whole."""
     samples = t.events.select("user_id", "ts", "event_id", F.col("value").cast(MONEY).alias("value"))
-    scanned = ordered_scan(samples, ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"), lags={"previous": "value"})
+    scanned = ordered_scan(samples, ["user_id"], ["ts", "event_id"], lags={"previous": "value"})
     before = F.coalesce("previous", F.lit(0).cast(MONEY))
     grown = F.when(F.col("value") >= before, F.col("value") - before).otherwise(F.col("value"))
     return scanned.groupBy("user_id").agg(F.sum(grown).cast("double").alias("increase"))

@@ -225,6 +225,7 @@ def test_bpe_equals_library(spark, awkward, nothing):
 
 def test_outliers_counts_and_verdicts(spark, awkward, nothing):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source").unionByName(awkward.select("doc_id", "text", "lang", "source"))
+    docs = docs.withColumns({c: F.lit(7) for c in ("wide", "n", "m0", "d2", "start", "lines")})
     rows = {}
     for r in outliers.judge(docs).collect():
         rows.setdefault((r.doc_id, r.n_words), r)
@@ -246,7 +247,57 @@ def test_outliers_reject_what_is_far_from_its_group(spark):
     rows += [(2000 + i, " ".join(x + "***" for x in plain().split()), "en", "few") for i in range(5)]
     kept = {r.doc_id: r.kept for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert all(kept[i] for i in range(300)) and not any(kept[1000 + i] for i in range(60))
-    assert all(kept[2000 + i] for i in range(5))  # too few for an estimate
+    assert not any(kept[2000 + i] for i in range(5))  # too few for their own estimate: that of the language
+
+
+def test_outliers_in_each_direction(spark):
+    """Long words, symbols, repeated lines and repeated words, each alone, in a group whose clean texts have none of these."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9)))
+    lines = lambda n=30: [" ".join(word() for _ in range(rng.randint(1, 4))) for _ in range(n)]
+    clean = [(i, "\n".join(lines())) for i in range(300)]
+    clean += [(300 + i, "\n".join([*(own := lines()), own[3]])) for i in range(20)]  # one line twice
+    long = [(1000 + i, "\n".join(x.replace(" ", "") + word() * 3 for x in lines())) for i in range(20)]
+    symbols = [(1100 + i, "\n".join(x + "#|" for x in lines())) for i in range(20)]
+    repeated = [(1200 + i, "\n".join(own + rng.sample([x for x in own if " " not in x] * 2, 6))) for i in range(20) if (own := [word() for _ in range(5)] + lines(9))]
+    again = []
+    for i in range(20):
+        own = " ".join(lines(60)).split()[:100]
+        again.append((1300 + i, "\n".join(" ".join(own[at : at + 10]) + " " + (" ".join(own[:10]) if at == 50 else word()) for at in range(0, 100, 10))))
+    rows = clean + long + symbols + repeated + again
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i].kept for i, _ in clean)
+    for group in (long, symbols, repeated, again):
+        assert not any(got[i].kept for i, _ in group), group[0][0]
+    assert not any(got[i].base_failed for i, _ in rows)
+
+
+def test_outliers_determinant_is_the_least_that_many_random_starts_find(spark):
+    """Against plain concentration steps from 200 random subsets, on groups of which a third lies elsewhere."""
+    rng = np.random.default_rng(8)
+    data = {}
+    for source, n in (("a", 120), ("b", 81), (None, 60)):
+        shape = rng.normal(size=(4, 4))
+        x = rng.normal(size=(n, 4)) @ shape + 3
+        x[: n // 3] = rng.normal(size=(n // 3, 4)) * 0.5 + rng.normal(size=4) * 9
+        data[source] = np.round(x * outliers.SCALE).astype(int)
+    rows = [(0, "en", source, 100, *map(int, v)) for source, x in data.items() for v in x]
+    frame = spark.createDataFrame(rows, "wide int, lang string, source string, n_lines long, v0 long, v1 long, v2 long, v3 long")
+    found = {r.source: r for r in outliers.least_determinant(frame).collect()}
+    floors = np.array(outliers.SLACK) / outliers.CUTOFF**0.5
+    for source, whole in data.items():
+        x, best = whole / outliers.SCALE, np.inf
+        half = (len(x) + 1) // 2
+        for _ in range(200):
+            near = x[rng.choice(len(x), 6, replace=False)]
+            for _ in range(30):
+                cov = np.cov(near.T, bias=True) * outliers.CONSISTENT + np.diag(floors**2)
+                off = x - near.mean(0)
+                near = x[np.argsort(np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off))[:half]]
+            best = min(best, np.linalg.det(np.cov(near.T, bias=True) * outliers.CONSISTENT + np.diag(floors**2)) ** 0.5)
+        assert found[source].det <= best * 1.15
+        centre = [found[source][f"m{i}"] for i in range(4)]
+        assert np.linalg.norm(centre - x[len(x) // 3 :].mean(0)) < np.linalg.norm(centre - x[: len(x) // 3].mean(0)) / 3
 
 
 def test_outliers_small_groups_take_a_wider_estimate(spark):
@@ -256,11 +307,11 @@ def test_outliers_small_groups_take_a_wider_estimate(spark):
     rows = [(i, plain(), "en", f"s{i % 30}") for i in range(300)] + [(1000 + i, junk(), "en", f"s{i % 30}") for i in range(30)]
     rows += [(400 + i, plain(), [None, "de"][i % 2], None) for i in range(20)] + [(1100 + i, junk(), [None, "de"][i % 2], None) for i in range(4)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    found = outliers.judge(frame, wider=True).collect()
+    found = outliers.judge(frame).collect()
     assert len(found) == len(rows) and all(r.d2 is not None for r in found)
     assert {r.doc_id for r in found if not r.kept} == {i for i, *_ in rows if i >= 1000}
     # fewer in the whole corpus than an estimate needs
-    assert all(r.kept and r.d2 is None for r in outliers.judge(frame.filter("lang is null"), wider=True).collect())
+    assert all(r.kept and r.d2 is None for r in outliers.judge(frame.filter("lang is null")).collect())
 
 
 def test_cascade_is_exact_on_the_universe(spark):

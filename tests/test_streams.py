@@ -1,11 +1,12 @@
 import json
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tributary.plans import stream_queries
 from tributary.sources import scans
 from tributary.storage import run_path
-from tributary.streaming import jobs
+from tributary.streaming import keyed
 
 
 class LongHistory:
@@ -42,15 +43,58 @@ def change(op, key, lsn):
     return json.dumps({"before": before, "after": after, "source": {"schema": "s", "table": "t", "lsn": lsn}, "op": op, "ts_ms": lsn})
 
 
-def test_merged_state_keeps_deletes_and_ignores_older_changes(spark):
+def deliver(spark, source, batch, n):
+    rows = [("t", 0, 10 * n + i, change(*event)) for i, event in enumerate(batch)]
+    spark.createDataFrame(rows, scans.MESSAGES).coalesce(1).write.mode("append").parquet(source)
+
+
+def advance(spark, source, path, **options):
+    keyed.keyed_state(scans.file_stream(spark, source, scans.MESSAGES), path, f"{path}-checkpoint", **options)
+    return {r["id"]: r["lsn"] for r in keyed.read_keyed_state(spark, path).collect()}
+
+
+def test_state_survives_restarts_and_ignores_older_changes(spark):
     source, path = run_path(spark, "changes"), run_path(spark, "state")
     batches = [[("c", "a", 5), ("d", "b", 9)], [("u", "a", 4)], [("u", "b", 7), ("c", "c", 1)], [("u", "c", 3), ("u", "a", 6)]]
+    states = []
     for n, events in enumerate(batches):
-        rows = [("t", 0, 10 * n + i, change(*event)) for i, event in enumerate(events)]
-        spark.createDataFrame(rows, scans.MESSAGES).coalesce(1).write.mode("append").parquet(source)
-        jobs.keyed_state(scans.file_stream(spark, source, scans.MESSAGES), path, f"{path}-checkpoint", merge_every=2)
-        state = {r["id"]: r["lsn"] for r in jobs.read_keyed_state(spark, path).collect()}
-    assert state == {"a": 6, "c": 3}
-    merged = spark.read.parquet(f"{path}/merged")
-    assert {r["upto"] for r in merged.select("upto").collect()} == {1, 3}
-    assert {(r["id"], r["deleted"], r["lsn"]) for r in merged.filter("upto = 3").collect()} == {("a", False, 6), ("b", True, 9), ("c", False, 3)}
+        deliver(spark, source, events, n)
+        states.append(advance(spark, source, path, merge_every=2))  # every run restarts from the checkpoint
+    assert states == [{"a": 5}, {"a": 5}, {"a": 5, "c": 1}, {"a": 6, "c": 3}]
+    merged = spark.read.parquet(f"{path}/merged").filter("upto = 3").collect()
+    assert {(r["id"], r["deleted"], r["lsn"]) for r in merged} == {("a", False, 6), ("b", True, 9), ("c", False, 3)}
+
+
+def test_storage_of_the_state_is_bounded(spark):
+    source, path = run_path(spark, "changes"), run_path(spark, "state")
+    for n in range(9):
+        deliver(spark, source, [("u", "a", n), ("u", f"k{n % 3}", n)], n)
+        state = advance(spark, source, path, merge_every=2)
+    assert state == {"a": 8, "k0": 6, "k1": 7, "k2": 8}
+    changes, merged = spark.read.parquet(f"{path}/changes"), spark.read.parquet(f"{path}/merged")
+    assert changes.select("batch_id").distinct().count() == 4 and changes.count() <= 8
+    assert {r["upto"] for r in merged.select("upto").distinct().collect()} == {5, 7} and merged.count() == 8
+
+
+def test_timer_drops_a_tombstone(spark):
+    source, path = run_path(spark, "changes"), run_path(spark, "state")
+    for n, events in enumerate([[("c", "a", 1), ("d", "b", 9)], [("c", "x", 2)], [("c", "y", 3)], [("c", "b", 7)]]):
+        deliver(spark, source, events, n)
+        state = advance(spark, source, path, merge_every=2, retention_ms=1)
+    assert state == {"a": 1, "x": 2, "y": 3, "b": 7}  # the delete of b is forgotten, as the retention says
+    assert spark.read.parquet(f"{path}/merged").filter("upto = 3 AND deleted").count() == 0
+
+
+def test_truncate_empties_the_streamed_table(spark):
+    source, path = run_path(spark, "changes"), run_path(spark, "state")
+    for n, events in enumerate([[("c", "a", 1), ("c", "b", 8)], [("t", None, 5)], [("c", "c", 4), ("c", "d", 6)]]):
+        deliver(spark, source, events, n)
+        state = advance(spark, source, path, merge_every=2)
+    assert state == {"b": 8, "d": 6}
+
+
+def test_combine_keeps_the_newest_row_of_each_key():
+    columns = [*keyed.KEY, *keyed.EVENT]
+    rows = [("t", key, "u", False, None, 0, lsn, offset) for key, lsn, offset in [("a", 2, 1), ("a", 2, 3), ("a", 1, 9), (None, 1, 4), (None, 3, 2)]]
+    (kept,) = keyed.newest_per_batch(iter([pd.DataFrame(rows, columns=columns)]))
+    assert {(r.id, r.lsn, r.kafka_offset) for r in kept.itertuples()} == {("a", 2, 3), (None, 3, 2)}

@@ -14,7 +14,7 @@ from tributary.plans.registry import query
 from tributary.plans.sql import cte, with_
 from tributary.sources import scans
 from tributary.storage import remove, run_path, write_and_read
-from tributary.streaming import jobs
+from tributary.streaming import jobs, keyed
 from tributary.tables import Tables
 
 DELIVERIES = 4
@@ -230,8 +230,8 @@ def keyed_state(t: Tables) -> DataFrame:
     a merge of the batches before."""
     path = run_path(t.spark, "state")
     source = message_files(t, F.col("offset") >= 2 * BILLION, F.col("offset") < 2 * BILLION)
-    jobs.keyed_state(scans.file_stream(t.spark, source, MESSAGE_SCHEMA, files_per_batch=1), f"{path}/out", f"{path}/checkpoint", merge_every=3)
-    state = jobs.read_keyed_state(t.spark, f"{path}/out")
+    keyed.keyed_state(scans.file_stream(t.spark, source, MESSAGE_SCHEMA, files_per_batch=1), f"{path}/out", f"{path}/checkpoint", merge_every=3)
+    state = keyed.read_keyed_state(t.spark, f"{path}/out")
     return state.select(F.col("id").cast("bigint").alias("id"), "lsn", F.get_json_object("row_json", "$.status").alias("status"))
 
 

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: windows, late rows, deduplication, bronze ingestion, keyed state.
+"""Structured Streaming jobs: windows, late rows, deduplication, bronze ingestion. ``keyed`` holds the keyed state.
 
 Every sink is a folder written per batch id, so a replayed batch replaces itself.
 """
@@ -7,13 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.operators import cdc
 
 BatchWriter = Callable[[DataFrame, int], None]
-KEYED_EVENTS = "source_table STRING, id STRING, op STRING, deleted BOOLEAN, row_json STRING, source_ts_ms BIGINT, lsn BIGINT, kafka_offset BIGINT"
 
 
 def run_available(stream: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -119,41 +118,6 @@ def drop_redelivered_stream(changes: DataFrame, delay: str) -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["kafka_topic", "kafka_partition", "kafka_offset"])
 
 
-def keyed_state(messages: DataFrame, path: str, checkpoint: str, merge_every: int = 10) -> StreamingQuery:
-    """Newest event per key, batch by batch; an older lsn arriving later never wins.
-
-    A batch stores its own winners. Every ``merge_every`` batches they are merged with the last
-    merged table into the next one, so a read never covers more batches than that. Deleted keys
-    stay in the merged table: a late change of theirs must lose. A replayed batch replaces both.
-    """
-    spark = messages.sparkSession
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        cdc.latest_events(cdc.flatten(cdc.parse_envelopes(batch))).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
-        if (batch_id + 1) % merge_every == 0:
-            _newest_events(spark, path, batch_id).write.mode("overwrite").parquet(f"{path}/merged/upto={batch_id}")
-
-    spark.createDataFrame([], KEYED_EVENTS).write.mode("ignore").parquet(f"{path}/merged/upto=-1")
-    return run_available(messages, write, checkpoint)
-
-
-def _newest_events(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
-    """Newest event per key from the last merged table before batch ``last`` and the batches since."""
-    merged = spark.read.schema(f"{KEYED_EVENTS}, upto INT").parquet(f"{path}/merged")
-    changes = spark.read.schema(f"{KEYED_EVENTS}, batch_id INT").parquet(f"{path}/changes")
-    if last is not None:
-        merged, changes = merged.filter(F.col("upto") < last), changes.filter(F.col("batch_id") <= last)
-    upto = merged.agg(F.max("upto")).first()[0]
-    upto = -1 if upto is None else upto  # no merged table holds a key yet
-    events = merged.filter(F.col("upto") == upto).drop("upto").unionByName(changes.filter(F.col("batch_id") > upto).drop("batch_id"))
-    newest = F.max_by(F.struct("op", "deleted", "row_json", "source_ts_ms", "lsn", "kafka_offset"), F.struct("lsn", "kafka_offset"))
-    return events.groupBy("source_table", "id").agg(newest.alias("e")).select("source_table", "id", "e.*")
-
-
-def read_keyed_state(spark: SparkSession, path: str) -> DataFrame:
-    return _newest_events(spark, path).filter(~F.col("deleted"))
-
-
 def data_batches(query: StreamingQuery) -> int:
     """Batches of this run that read any input."""
     return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)

@@ -1,6 +1,7 @@
 import json
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tributary.plans import stream_queries
@@ -53,13 +54,17 @@ def advance(spark, source, path, **options):
     return {r["id"]: r["lsn"] for r in keyed.read_keyed_state(spark, path).collect()}
 
 
-def test_state_survives_restarts_and_ignores_older_changes(spark):
+WITH_AND_WITHOUT_TIMERS = pytest.mark.parametrize("retention_ms", [None, 3_600_000])
+
+
+@WITH_AND_WITHOUT_TIMERS
+def test_state_survives_restarts_and_ignores_older_changes(spark, retention_ms):
     source, path = run_path(spark, "changes"), run_path(spark, "state")
     batches = [[("c", "a", 5), ("d", "b", 9)], [("u", "a", 4)], [("u", "b", 7), ("c", "c", 1)], [("u", "c", 3), ("u", "a", 6)]]
     states = []
     for n, events in enumerate(batches):
         deliver(spark, source, events, n)
-        states.append(advance(spark, source, path, merge_every=2))  # every run restarts from the checkpoint
+        states.append(advance(spark, source, path, merge_every=2, retention_ms=retention_ms))  # every run restarts from the checkpoint
     assert states == [{"a": 5}, {"a": 5}, {"a": 5, "c": 1}, {"a": 6, "c": 3}]
     merged = spark.read.parquet(f"{path}/merged").filter("upto = 3").collect()
     assert {(r["id"], r["deleted"], r["lsn"]) for r in merged} == {("a", False, 6), ("b", True, 9), ("c", False, 3)}
@@ -85,11 +90,12 @@ def test_timer_drops_a_tombstone(spark):
     assert spark.read.parquet(f"{path}/merged").filter("upto = 3 AND deleted").count() == 0
 
 
-def test_truncate_empties_the_streamed_table(spark):
+@WITH_AND_WITHOUT_TIMERS
+def test_truncate_empties_the_streamed_table(spark, retention_ms):
     source, path = run_path(spark, "changes"), run_path(spark, "state")
     for n, events in enumerate([[("c", "a", 1), ("c", "b", 8)], [("t", None, 5)], [("c", "c", 4), ("c", "d", 6)]]):
         deliver(spark, source, events, n)
-        state = advance(spark, source, path, merge_every=2)
+        state = advance(spark, source, path, merge_every=2, retention_ms=retention_ms)
     assert state == {"b": 8, "d": 6}
 
 

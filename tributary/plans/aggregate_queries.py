@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tributary.operators import materialised
 from tributary.operators.ordered import exact_percentiles
 from tributary.plans.registry import query
 from tributary.plans.sql import cte, with_
@@ -11,6 +12,8 @@ from tributary.sources import sinks
 from tributary.storage import run_path
 from tributary.tables import FUNNEL, MONEY, ORDER_STATUS, Tables
 
+SPEND_PARTITIONS = 16
+
 cte(
     "order_totals",
     """SELECT order_id, customer_id, status, created_at, s.total FROM shop_orders JOIN (SELECT order_id, sum(line_total) AS total
@@ -330,6 +333,56 @@ def refreshed_daily_revenue(t: Tables) -> DataFrame:
     return stored.select("month", "day", F.col("revenue").cast("double").alias("revenue"), "orders")
 
 
+def before_changes(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """An earlier state of the orders, and the changes that lead from it to the present one:
+    inserts, updates that also move an order to another day or customer, and deletes."""
+    key, gone = F.col("order_id"), F.col("order_id") % 7 == 1
+    kept = orders.filter(key % 7 != 0)  # the others are inserted
+    moved = key % 7 == 2
+    earlier = kept.withColumns(
+        {
+            "total": F.when(moved, F.col("total") + 1).otherwise(F.col("total")).cast(MONEY),
+            "created_at": F.when(moved, F.col("created_at") - F.expr("INTERVAL 40 DAY")).otherwise(F.col("created_at")),
+            "customer_id": F.when(moved, F.col("customer_id") + 1).otherwise(F.col("customer_id")),
+        }
+    )
+    deleted = orders.filter(gone).withColumn("order_id", -key - 1)
+    newest = orders.filter((key % 7 == 0) | moved).withColumn("deleted", F.lit(False))
+    return earlier.unionByName(deleted), newest.unionByName(deleted.withColumn("deleted", F.lit(True)))
+
+
+@query(
+    "agg_21_incremental_daily_revenue",
+    with_("shop_orders", "SELECT strftime(created_at, '%Y-%m-%d') AS day, CAST(sum(total) AS DOUBLE) AS revenue, count(*) AS orders FROM shop_orders GROUP BY 1"),
+)
+def incremental_daily_revenue(t: Tables) -> DataFrame:
+    """Daily revenue by months, brought from an earlier state to the present by its changes."""
+    earlier, changes = before_changes(t.shop_orders)
+    day = F.date_format("created_at", "yyyy-MM-dd")
+    view = materialised.SumView(run_path(t.spark, "daily-view"), {"day": day}, {"revenue": F.col("total")}, F.substring("day", 1, 7))
+    materialised.build(view, earlier)
+    materialised.refresh(view, materialised.signed_changes(earlier, changes, "order_id"), 1)
+    stored = materialised.read(t.spark, view, t.shop_orders)
+    return stored.select("day", F.col("revenue").cast("double").alias("revenue"), F.col("n_rows").alias("orders"))
+
+
+@query(
+    "agg_21_incremental_spend",
+    with_("shop_orders", "SELECT customer_id, CAST(sum(total) AS DOUBLE) AS spent, count(*) AS orders FROM shop_orders GROUP BY 1"),
+)
+def incremental_spend(t: Tables) -> DataFrame:
+    """Spend per customer in hash partitions; the inserts and updates come first, then the deletes."""
+    earlier, changes = before_changes(t.shop_orders)
+    part = F.pmod(F.xxhash64("customer_id"), F.lit(SPEND_PARTITIONS))
+    view = materialised.SumView(run_path(t.spark, "spend-view"), {"customer_id": F.col("customer_id")}, {"spent": F.col("total")}, part)
+    materialised.build(view, earlier)
+    for version, deleted in enumerate((False, True), 1):
+        some = changes.filter(F.col("deleted") == deleted)
+        materialised.refresh(view, materialised.signed_changes(earlier, some, "order_id"), version)
+    stored = materialised.read(t.spark, view, t.shop_orders)
+    return stored.select("customer_id", F.col("spent").cast("double").alias("spent"), F.col("n_rows").alias("orders"))
+
+
 @query(
     "agg_22_size_distribution",
     """SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS total, min(n_chars) AS smallest, max(n_chars) AS largest,

@@ -230,7 +230,7 @@ def keyed_state(t: Tables) -> DataFrame:
     a merge of the batches before."""
     path = run_path(t.spark, "state")
     source = message_files(t, F.col("offset") >= 2 * BILLION, F.col("offset") < 2 * BILLION)
-    keyed.keyed_state(scans.file_stream(t.spark, source, MESSAGE_SCHEMA, files_per_batch=1), f"{path}/out", f"{path}/checkpoint", merge_every=3)
+    keyed.keyed_state(scans.file_stream(t.spark, source, MESSAGE_SCHEMA, files_per_batch=4), f"{path}/out", f"{path}/checkpoint", merge_every=2)
     state = keyed.read_keyed_state(t.spark, f"{path}/out")
     return state.select(F.col("id").cast("bigint").alias("id"), "lsn", F.get_json_object("row_json", "$.status").alias("status"))
 

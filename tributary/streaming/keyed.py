@@ -1,9 +1,11 @@
 """Current state per key of a change stream, on Spark's state store.
 
 The state of a key is its newest event by (lsn, offset), so an older change that arrives late
-loses. A deleted key keeps its delete as a tombstone until a timer drops it, ``retention``
-after the delete was processed, with the next batch that has data; a change may therefore come up to ``retention`` after a newer
-delete of its key. Keys that are present have no timer.
+loses. Without a retention the state is a streaming aggregate, all in the JVM, and deleted keys
+stay in it for ever. With one, an arbitrary stateful operator drops a deleted key by a timer,
+``retention`` after the delete was processed, with the next batch that has data; a change may
+then come up to ``retention`` after a newer delete of its key. That costs a Python call per key
+and batch. Keys that are present have no timer.
 
 The sink is two rings of folders that overwrite themselves: the winners of the latest batches,
 and two merged tables. Storage grows with the keys, not with the batches.
@@ -88,23 +90,27 @@ def _advance(retention_ms: int) -> Callable[[tuple, Iterator[pd.DataFrame], Grou
     return advance
 
 
-def winners(messages: DataFrame, retention_ms: int, key_fields: str | list[str] = "id") -> DataFrame:
-    """Stream of the keys whose newest event changed, with that event."""
-    combined = keyed_events(messages, key_fields).mapInPandas(newest_per_batch, KEYED_SCHEMA)
+def winners(messages: DataFrame, retention_ms: int | None = None, key_fields: str | list[str] = "id") -> DataFrame:
+    """Stream of the keys that the batch touches, with their newest event."""
+    events = keyed_events(messages, key_fields)
+    if retention_ms is None:
+        newest = F.max_by(F.struct(*EVENT), F.struct(*POSITION))
+        return events.groupBy(*KEY).agg(newest.alias("e")).select(*KEY, "e.*")
+    combined = events.mapInPandas(newest_per_batch, KEYED_SCHEMA)
     return combined.groupBy(*KEY).applyInPandasWithState(
         _advance(retention_ms), KEYED_SCHEMA, EVENT_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
 def keyed_state(
-    messages: DataFrame, path: str, checkpoint: str, merge_every: int = 10, retention_ms: int = 7 * 24 * 3600 * 1000, key_fields: str | list[str] = "id"
+    messages: DataFrame, path: str, checkpoint: str, merge_every: int = 10, retention_ms: int | None = None, key_fields: str | list[str] = "id"
 ) -> StreamingQuery:
     """Process what has arrived and keep the current state under ``path``.
 
     A batch writes its winners; every ``merge_every`` batches they are merged with the last merged
     table. A ring holds twice that many batches and two merged tables, so the folder being
     overwritten is never one that a merge or a replay of the batch needs. ``merge_every`` must
-    stay the same for one checkpoint.
+    stay the same for one checkpoint, and so must the choice to have a retention.
     """
     spark = messages.sparkSession
 

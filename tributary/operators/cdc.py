@@ -142,9 +142,12 @@ def current_state(bronze: DataFrame, key_fields: str | list[str] = "id") -> Data
 
 
 def since_truncate(latest: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Events that come after the last truncate of their table; one row per truncated table is joined."""
+    """Events that come after the last truncate of their table; one row per truncated table is joined.
+
+    These rows, as many as the catalog has tables at most, are sent to the events: dealt out by table, all events of one table would meet in one task.
+    """
     emptied = bronze.filter(F.col("op") == "t").groupBy(F.col("source_table").alias("_table")).agg(F.max(F.struct("lsn", "kafka_offset")).alias("_emptied"))
-    joined = latest.join(emptied, F.col("source_table").eqNullSafe(F.col("_table")), "left")
+    joined = latest.join(F.broadcast(emptied), F.col("source_table").eqNullSafe(F.col("_table")), "left")
     return joined.filter(F.col("_emptied").isNull() | (F.struct("lsn", "kafka_offset") > F.col("_emptied"))).drop("_table", "_emptied")
 
 
@@ -171,7 +174,7 @@ def states_at(bronze: DataFrame, lsns: list[int], key_fields: str | list[str] =
     cuts = bronze.filter(F.col("op") == "t").groupBy("source_table").agg(*[F.max(F.when(F.col("lsn") <= at, place)).alias(f"_{i}") for i, at in enumerate(lsns)])
     each = F.array(*[F.struct(F.lit(at).cast("bigint").alias("at"), F.col(f"_{i}").alias("cut")) for i, at in enumerate(lsns)])
     cuts = cuts.select(F.col("source_table").alias("_table"), F.explode(each).alias("c")).select("_table", F.col("c.at").alias("_at"), F.col("c.cut").alias("_cut"))
-    joined = rows.join(cuts, F.col("source_table").eqNullSafe(F.col("_table")) & (F.col("at") == F.col("_at")), "left")
+    joined = rows.join(F.broadcast(cuts), F.col("source_table").eqNullSafe(F.col("_table")) & (F.col("at") == F.col("_at")), "left")
     return joined.filter(F.col("_cut").isNull() | (place > F.col("_cut"))).select("at", "source_table", "id", "row_json", "lsn")
 
 

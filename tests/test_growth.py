@@ -1,6 +1,9 @@
 """What must not grow with the input: memory and reads of one task, batches, intermediate files."""
 
+import re
+
 from tributary.operators import cdc
+from tributary.plans import QUERIES
 
 
 def plan(df):
@@ -8,6 +11,16 @@ def plan(df):
     return df._jdf.queryExecution().explainString(mode)
 
 
+def test_approximate_counts_keep_one_sketch_per_task(spark, tmp_path):
+    keys = [None, None, 5, 5, *range(300)]
+    spark.createDataFrame([(k,) for k in keys], "l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    counts = QUERIES["agg_08_approx_distinct"](spark, str(tmp_path))
+    assert counts.collect() == [(300, True)]
+    text = plan(counts)
+    keys_of_sketches = re.findall(r"Keys(?: \[\d+\])?: \[([^\]]*)\]\s*\nFunctions[^\n]*approx_count_distinct", text)
+    assert keys_of_sketches and not any(keys_of_sketches)
+
+
 BRONZE = "source_table string, op string, deleted boolean, source_ts_ms long, lsn long, kafka_offset long, row_json string"
 
 

@@ -114,8 +114,12 @@ def exact_distinct(t: Tables) -> DataFrame:
 
 @query("agg_08_approx_distinct", "SELECT count(DISTINCT l_partkey) AS exact, true AS within_bound FROM lineitem")
 def approx_distinct(t: Tables) -> DataFrame:
-    """HyperLogLog++ at 2 % standard error, within three of them of the exact count."""
-    counts = t.lineitem.agg(F.count_distinct("l_partkey").alias("exact"), F.approx_count_distinct("l_partkey", 0.02).alias("approx"))
+    """HyperLogLog++ at 2 % standard error, within three of them of the exact count.
+
+    Each count is an aggregate of its own: beside an exact count a plan would keep one sketch per distinct value.
+    """
+    exact = t.lineitem.agg(F.count_distinct("l_partkey").alias("exact"))
+    counts = exact.crossJoin(t.lineitem.agg(F.approx_count_distinct("l_partkey", 0.02).alias("approx")))
     return counts.select("exact", (F.abs(F.col("approx") - F.col("exact")) <= 0.06 * F.col("exact")).alias("within_bound"))
 
 

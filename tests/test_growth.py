@@ -2,7 +2,9 @@
 
 import re
 
-from tributary.operators import cdc
+import pyarrow as pa
+
+from tributary.operators import cdc, search
 from tributary.plans import QUERIES
 
 
@@ -38,3 +40,17 @@ def test_truncates_do_not_deal_out_events_by_table(spark):
         assert states.filter("at = 40").count() == 42 and states.filter("at = 70").count() == 11
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
+
+
+def test_words_are_grouped_a_bounded_number_at_a_time(monkeypatch):
+    texts = [["a", "b", "a"], [], None, ["c"] * 25, ["a"] * 4, ["b", "a"] * 3, ["d"], []]
+    batch = pa.RecordBatch.from_pydict({"id": range(8), "words": pa.array(texts, pa.list_(pa.string()))})
+    whole = search._group_positions(batch).to_pylist()
+    assert sorted((r["id"], r["term"], r["positions"]) for r in whole)[:2] == [(0, "a", [1, 3]), (0, "b", [2])]
+    monkeypatch.setattr(search, "WORDS_AT_ONCE", 10)
+    for one in (batch, batch.slice(1, 6)):
+        pieces = list(search._pieces(one))
+        assert [i for p in pieces for i in p.column("id").to_pylist()] == one.column("id").to_pylist()
+        assert all(p.num_rows == 1 or sum(map(len, filter(None, p.column("words").to_pylist()))) <= 10 for p in pieces)
+        rows = [r for p in pieces for r in search._group_positions(p).to_pylist()]
+        assert sorted(rows, key=str) == sorted((r for r in whole if r["id"] in one.column("id").to_pylist()), key=str)

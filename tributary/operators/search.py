@@ -28,6 +28,9 @@ STOPWORDS = (
     "she so such that the their then there these they this to was we were will with you"
 ).split()
 
+WORDS_AT_ONCE = 250_000  # words that a Python worker groups at a time; only memory depends on it
+
+
 def _without_accent(letter: str) -> str:
     """The plain letter under any number of accents; the strokes of đ and ø are no accents in Unicode."""
     return {"đ": "d", "ø": "o"}.get(letter) or unicodedata.normalize("NFD", letter)[0]
@@ -64,6 +67,16 @@ def token_rows(docs: DataFrame, text: str, *keep: str, accents: bool = True) ->
     return rows.withColumn("pos", F.col("pos") + 1)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch cut between texts, so that a piece has no more words than are grouped at once; a longer text is one piece."""
+    ends = batch.column("words").offsets.to_numpy()
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + WORDS_AT_ONCE, side="right")) - 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _group_positions(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Word lists of a batch of texts → one row per text and distinct word with its positions."""
     lists = batch.column("words")
@@ -93,8 +106,8 @@ def _index_words(texts: DataFrame) -> DataFrame:
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield _group_positions(batch)
+            for piece in _pieces(batch):
+                yield _group_positions(piece)
 
     return texts.mapInArrow(group, schema)
 

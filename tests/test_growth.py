@@ -1,11 +1,13 @@
 """What must not grow with the input: memory and reads of one task, batches, intermediate files."""
 
+import os
 import re
 
 import pyarrow as pa
 
-from tributary.operators import cdc, search
+from tributary.operators import cdc, search, text_index
 from tributary.plans import QUERIES
+from tributary.storage import run_path
 
 
 def plan(df):
@@ -54,3 +56,22 @@ def test_words_are_grouped_a_bounded_number_at_a_time(monkeypatch):
         assert all(p.num_rows == 1 or sum(map(len, filter(None, p.column("words").to_pylist()))) <= 10 for p in pieces)
         rows = [r for p in pieces for r in search._group_positions(p).to_pylist()]
         assert sorted(rows, key=str) == sorted((r for r in whole if r["id"] in one.column("id").to_pylist()), key=str)
+
+
+def test_an_index_reads_the_texts_once(spark, tmp_path):
+    read = f"{tmp_path}/read"
+    os.mkdir(read)
+
+    def group(batches):
+        for batch in batches:
+            with open(f"{read}/{os.urandom(8).hex()}", "w") as f:
+                f.write(str(batch.num_rows))
+            yield batch
+
+    docs = spark.createDataFrame([(i, f"t{i % 7}", f"the w{i % 11} the") for i in range(500)], "id long, title string, body string")
+    once = docs.mapInArrow(group, docs.schema)
+    index = text_index.build(once, "title", "body", "id", [], run_path(spark, "test-once"))
+    # once for the postings and once for the table of documents
+    assert sum(int(open(f"{read}/{f}").read()) for f in os.listdir(read)) == 1000
+    assert index.postings(["the"]).count() == 500 and index._table("postings").count() == 1500
+    assert sorted((r.block, r.most, r.docs) for r in index.bounds(["the"]).collect()) == [(0, 2, 128), (1, 2, 128), (2, 2, 128), (3, 2, 116)]

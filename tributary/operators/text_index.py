@@ -60,13 +60,14 @@ def bucket(term: Column) -> Column:
 def build(docs: DataFrame, title: str, body: str, key: str, keep: list[str], path: str) -> TextIndex:
     """Index title (A) and body (B) of ``docs``; ``key`` is an integer, ``keep`` columns can be filtered by.
 
-    Rows are ranged by bucket, term and document, so the postings of a very common term are many files.
+    Rows are dealt out by bucket and large buckets cut into several tasks by their size, so the postings of a very
+    common term are many files, each in order. Nothing is sampled beforehand: the texts are read once.
     """
     rows = weighted_postings(docs, title, body, key)
     block = F.shiftright(F.col(key).cast("long"), BLOCK).alias("block")
     rows = rows.select(bucket(F.col("term")).alias("bucket"), "term", "weight", key, block, F.size("positions").alias("hits"), "positions")
-    ranged = rows.repartitionByRange("bucket", "term", key).sortWithinPartitions("bucket", "term", "weight", key)
-    ranged.write.mode("error").partitionBy("bucket").parquet(f"{path}/postings")
+    dealt = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "weight", key)
+    dealt.write.mode("error").partitionBy("bucket").parquet(f"{path}/postings")
     kinds = dict(docs.dtypes)
     schemas = {
         "postings": f"term string, weight string, `{key}` {kinds[key]}, block bigint, hits int, positions array<int>, bucket int",
@@ -75,7 +76,7 @@ def build(docs: DataFrame, title: str, body: str, key: str, keep: list[str], pat
     }
     index = TextIndex(docs.sparkSession, path, key, schemas)
     most = index._table("postings").groupBy("bucket", "term", "weight", "block").agg(F.max("hits").alias("most"), F.count("*").alias("docs"))
-    most.repartitionByRange("bucket", "term", "block").sortWithinPartitions("bucket", "term", "block").write.mode("error").partitionBy("bucket").parquet(f"{path}/bounds")
+    most.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "block").write.mode("error").partitionBy("bucket").parquet(f"{path}/bounds")
     docs.select(key, *keep).write.mode("error").parquet(f"{path}/documents")
     return index
 

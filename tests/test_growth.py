@@ -2,12 +2,13 @@
 
 import os
 import re
+import time
 
 import pyarrow as pa
 
 from tributary.operators import cdc, search, text_index
 from tributary.plans import QUERIES
-from tributary.storage import run_path
+from tributary.storage import run_path, write_and_read
 
 
 def plan(df):
@@ -75,3 +76,19 @@ def test_an_index_reads_the_texts_once(spark, tmp_path):
     assert sum(int(open(f"{read}/{f}").read()) for f in os.listdir(read)) == 1000
     assert index.postings(["the"]).count() == 500 and index._table("postings").count() == 1500
     assert sorted((r.block, r.most, r.docs) for r in index.bounds(["the"]).collect()) == [(0, 2, 128), (1, 2, 128), (2, 2, 128), (3, 2, 116)]
+
+
+def test_shuffles_of_a_written_table_are_dropped(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+_\d+_0\.data", disk.getAllFiles().mkString(",")))
+
+    rows = spark.range(1000).selectExpr("id % 10 AS k", "id").groupBy("k").count()
+    before = shuffles()
+    kept = write_and_read(rows, "test-dropped")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert kept.count() == rows.count() == rows.count() == 10

@@ -197,7 +197,8 @@ def repeats(documents: DataFrame, id_column: str = "doc_id", text: str = "text",
     twice = write_and_read(classes.filter("n > 1").select(F.col("sha"), "first"), "substring-classes")
     known = write_and_read(known.join(twice, "sha", "left").withColumn("whole", F.col("first").isNotNull()), "substring-known")
     # texts to read again: those with marks, one of each class of equal texts
-    marked = candidates(piece_rows(rows, window)).withColumnsRenamed({"doc_id": "d", "k": "kk"})
+    # written, so that the pieces' shuffles are dropped before the windows are shuffled
+    marked = write_and_read(candidates(piece_rows(rows, window)), "substring-marks").withColumnsRenamed({"doc_id": "d", "k": "kk"})
     one = known.filter(~F.col("whole") | (F.col("first") == F.struct("doc_id", "k"))).select("doc_id", "k", "whole").distinct()
     wanted = one.join(marked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).select("d", "kk", "whole", "marks")
     found = packed(rows).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).select("doc_id", "k", "packed", "whole", "marks")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +40,29 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings that hold inside the block only."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+#: Executors drop the shuffle files of a write when it ends; else they stay until the driver's next garbage collection.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def write_and_read(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Cut lineage with a written table: survives the loss of any executor."""
+    """Cut lineage with a written table: survives the loss of any executor, and what was shuffled for it is dropped."""
     path = run_path(df.sparkSession, name)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with settings(df.sparkSession, DROP_SHUFFLES):
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

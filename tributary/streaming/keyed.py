@@ -14,7 +14,6 @@ and two merged tables. Storage grows with the keys, not with the batches.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tributary.operators import cdc
+from tributary.storage import settings
 from tributary.streaming.jobs import run_available
 
 KEY = ["source_table", "id"]
@@ -38,18 +38,6 @@ STATE_STORE = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def keyed_events(messages: DataFrame, key_fields: str | list[str] = "id") -> DataFrame:
     """Accepted changes with their key. A truncate has no key; it is the event of the null key of its table."""
     changes = cdc.flatten(cdc.parse_envelopes(messages))
@@ -122,7 +110,7 @@ def keyed_state(
             kept.withColumn("upto", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/merged/slot={slot}")
 
     spark.createDataFrame([], f"{KEYED_SCHEMA}, upto BIGINT").write.mode("ignore").parquet(f"{path}/merged/slot=1")
-    with _settings(spark, STATE_STORE):
+    with settings(spark, STATE_STORE):
         return run_available(winners(messages, retention_ms, key_fields), write, checkpoint, "update")
 
 

@@ -5,9 +5,10 @@ import re
 import time
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 
 from tributary.operators import cdc, search, text_index
-from tributary.plans import QUERIES
+from tributary.plans import QUERIES, stream_queries
 from tributary.storage import run_path, write_and_read
 
 
@@ -78,6 +79,12 @@ def test_an_index_reads_the_texts_once(spark, tmp_path):
     assert sorted((r.block, r.most, r.docs) for r in index.bounds(["the"]).collect()) == [(0, 2, 128), (1, 2, 128), (2, 2, 128), (3, 2, 116)]
 
 
+def test_files_of_messages_can_be_split(spark, tables, monkeypatch):
+    monkeypatch.setattr(stream_queries, "ROW_GROUP", 1 << 16, raising=False)
+    path = stream_queries.message_files(tables)
+    assert min(pq.ParquetFile(f"{path}/{f}").num_row_groups for f in os.listdir(path) if f.endswith(".parquet")) > 1
+
+
 def test_shuffles_of_a_written_table_are_dropped(spark):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 

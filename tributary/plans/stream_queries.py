@@ -18,6 +18,7 @@ from tributary.streaming import jobs, keyed
 from tributary.tables import Tables
 
 DELIVERIES = 4
+ROW_GROUP = 16 << 20  # bytes; a batch of few files is then read by many tasks
 EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING"
 
 cte(
@@ -154,7 +155,7 @@ def message_files(t: Tables, *parts) -> str:
     path = run_path(t.spark, "messages")
     messages = change_messages(t)
     for part in parts or (F.lit(True),):
-        messages.filter(part).write.mode("append").parquet(path)
+        messages.filter(part).write.option("parquet.block.size", ROW_GROUP).mode("append").parquet(path)
     return path
 
 
